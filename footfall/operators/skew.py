@@ -1,0 +1,39 @@
+"""Cut the groups that are too large for one task into ordered slices.
+
+A window over a whole group runs in one task, however large the group.  Groups that hold more
+than ``share`` of all rows are cut at quantiles of the order column, so that each slice is a
+window partition of its own and the slices of a group are themselves in order.  There are fewer
+than ``1 / share`` such groups, which bounds everything that is broadcast here.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SHARE = 0.001
+SLICES = 128
+
+
+def hot_groups(df: DataFrame, keys: list[str], share: float = SHARE) -> DataFrame:
+    """The keys of the groups with more than ``share`` of all rows."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    return counts.where(F.col("_rows") > F.lit(share) * total).select(*keys)
+
+
+def with_slices(df: DataFrame, keys: list[str], order: str, share: float = SHARE,
+                slices: int = SLICES) -> DataFrame:
+    """``df`` with ``_slice``, rising as the numeric column ``order`` falls, and ``_hot``.
+
+    ``_slice`` is 0 in all but the hot groups.  Equal values are always in the same slice.
+    """
+    hot = F.broadcast(hot_groups(df, keys, share))
+    cuts = [i / slices for i in range(1, slices)]
+    bounds = (df.join(hot, keys, "left_semi").groupBy(*keys)
+              .agg(F.percentile_approx(order, cuts, 10 * slices).alias("_cuts")))
+    hot_slice = F.size(F.filter("_cuts", lambda cut: cut > F.col(order)))
+    return (df.join(F.broadcast(bounds), keys, "left")
+            .withColumn("_hot", F.col("_cuts").isNotNull())
+            .withColumn("_slice", F.when(F.col("_hot"), hot_slice).otherwise(0))
+            .drop("_cuts"))

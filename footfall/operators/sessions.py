@@ -132,7 +132,7 @@ def kept_actions(actions: DataFrame, users: DataFrame, flt: SessionFilter = NO_F
     with no session shuffle at all; only behaviour filters need the sessions first.
     """
     keep = _where_all(users, flt.on_users()).select("user_id")
-    kept = actions.join(keep, "user_id", "left_semi")
+    kept = actions.join(keep, "user_id", "left_semi").select(*actions.columns)
     hits = flt.on_actions()
     if not hits:
         return kept

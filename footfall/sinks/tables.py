@@ -23,7 +23,7 @@ BATCH = "batch_id"
 
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Write a catalog table, replacing the one there is."""
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+    by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
 
 
 def append_table(df: DataFrame, table: str) -> None:
@@ -31,9 +31,17 @@ def append_table(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 
 
+def by_folder(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a folder together before writing, so that it gets few files.
+
+    A rebalance, unlike a repartition, splits a folder that is too large for one task.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Add rows to a folder of files."""
-    df.write.mode("append").partitionBy(*partition_by).format(fmt).save(path)
+    by_folder(df, partition_by).write.mode("append").partitionBy(*partition_by).format(fmt).save(path)
 
 
 def jdbc_options(url: str, table: str, batch_size: int = 1000, **options: str) -> dict[str, str]:
@@ -51,7 +59,7 @@ def append_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000, con
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """What one batch adds to a keyed table; running the batch again replaces it."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}")
+    by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType,
@@ -111,5 +119,5 @@ def replace_by_key(df: DataFrame, path: str, keys: Sequence[str]) -> None:
 
     The keys are the folders of the table, so only the folders of these keys are rewritten.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (by_folder(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(path))

@@ -26,8 +26,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
 def date_range(actions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """The actions of the days ``start`` to ``end``, both included; a missing end is open.
 
-    Days are compared as text on the bare column, so the test prunes a ``date`` partitioned table
-    and is pushed into the files of any other.
+    The bare column is compared, be it text or a date, so the test prunes a ``date`` partitioned
+    table and is pushed into the files of any other.
     """
     if start:
         actions = actions.where(F.col("date") >= start)
@@ -38,8 +38,8 @@ def date_range(actions: DataFrame, start: str | None = None, end: str | None = N
 
 def visit_actions(df: DataFrame, start: str | None = None, end: str | None = None,
                   extra: tuple[str, ...] = ()) -> DataFrame:
-    """A table of visit actions within a range of days."""
-    return date_range(conform(df, VISIT_ACTION, extra), start, end)
+    """A table of visit actions within a range of days, which is cut on the stored column."""
+    return conform(date_range(df, start, end), VISIT_ACTION, extra)
 
 
 def product_click_columns(actions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -101,10 +101,13 @@ def _record(kept: DataFrame, listed: DataFrame, batch_id: int, base: str) -> Non
 
 
 def _province_step(changed: DataFrame, stat: DataFrame, base: str, top: int) -> None:
-    """Rank anew the days and provinces that a batch touched, and replace their rows."""
-    touched = changed.select("date", "province").distinct()
-    current = stat.join(touched, ["date", "province"], "left_semi")
-    tables.replace_by_key(ads.province_top_ads(current, top), f"{base}/{TOP3}", ["date", "province"])
+    """Rank anew the days that a batch touched, and replace them in the table.
+
+    Days are the folders of the counts and of the ranking: only those of the batch are read, and
+    only they are rewritten.
+    """
+    current = stat.join(changed.select("date").distinct(), "date", "left_semi")
+    tables.replace_by_key(ads.province_top_ads(current, top), f"{base}/{TOP3}", ["date"])
 
 
 def _each_batch(df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, name: str | None,

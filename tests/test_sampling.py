@@ -1,0 +1,64 @@
+import hashlib
+from collections import defaultdict
+
+import pytest
+
+from footfall.operators import sampling, sessions
+
+
+@pytest.fixture(scope="module")
+def three_days(actions):
+    """On each of three days one session at 10 h and ten sessions at 11 h, two actions each."""
+    rows = [(f"d{day}h{hour}n{i}", day * 86400 + hour * 3600 + i + step,
+             {"search_keyword": f"k{i}", "click_category_id": str(i)})
+            for day in range(3) for hour, n in ((0, 1), (1, 10)) for i in range(n) for step in (0, 5)]
+    return actions(rows).cache()
+
+
+@pytest.fixture(scope="module")
+def one_user(users):
+    return users((1, 30, "j", "c", "male"))
+
+
+def expected(size, extra, seed=""):
+    """The drawn sessions by the definition, counted by hand in plain Python."""
+    drawn = set()
+    for day in range(3):
+        for hour, n in ((0, 1), (1, 10)):
+            quota = min(n, int(n / 11 * (size // 3)) + extra)
+            ids = sorted((f"d{day}h{hour}n{i}" for i in range(n)),
+                         key=lambda s: hashlib.md5((seed + s).encode()).hexdigest())
+            drawn |= set(ids[:quota])
+    return drawn
+
+
+@pytest.mark.parametrize("size,extra,seed", [(100, 1, ""), (12, 1, ""), (12, 0, "x"), (2, 1, ""), (2, 0, "")])
+def test_quota_draw_and_detail_agree(three_days, one_user, size, extra, seed):
+    extract = sampling.session_random_extract(three_days, one_user, size, extra, seed, task_id="t").collect()
+    ids = [r.session_id for r in extract]
+    assert len(ids) == len(set(ids)) and set(ids) == expected(size, extra, seed)
+    detail = sampling.session_detail(three_days, one_user, size, extra, seed).collect()
+    seen = defaultdict(int)
+    for r in detail:
+        seen[r.session_id] += 1
+    assert seen == {s: 2 for s in ids}
+    again = sampling.session_random_extract(three_days.repartition(3), one_user, size, extra, seed)
+    assert {r.session_id for r in again.collect()} == set(ids)
+
+
+def test_extract_row(three_days, one_user):
+    row = next(r for r in sampling.session_random_extract(three_days, one_user, task_id="t").collect()
+               if r.session_id == "d1h1n4")
+    assert tuple(row) == ("t", "d1h1n4", "2024-01-11 11:00:04", "k4", "4")
+
+
+def test_hour_share(three_days):
+    per_hour = sampling.sessions_per_hour(sessions.session_rollup(three_days))
+    for r in sampling.hour_share_of_day(per_hour).collect():
+        assert r.day_count == 11 and r.share == r.session_count / 11
+
+
+def test_hot_hour_is_cut_before_the_shuffle(three_days, one_user):
+    kept = sessions.kept_sessions(three_days, one_user)
+    plan = sampling.sample_sessions(kept)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 101, Partial" in plan

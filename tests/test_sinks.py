@@ -1,0 +1,75 @@
+import pytest
+from pyspark.sql import functions as F
+
+from footfall import schemas
+from footfall.sinks import tables
+
+KEYS = ["date", "userid", "adid"]
+SCHEMA = schemas.AD_USER_CLICK_COUNT
+
+
+@pytest.fixture
+def counts(spark):
+    return lambda *rows: spark.createDataFrame([(d, u, a, n) for d, u, a, n in rows], SCHEMA)
+
+
+def test_adding_again_after_a_failure_changes_nothing(spark, counts, rows, tmp_path):
+    path = str(tmp_path / "t")
+    read = lambda **kw: rows(tables.read_sums(spark, path, SCHEMA, KEYS, "click_count", **kw))
+    assert read() == []
+    tables.upsert_add(counts(("d1", 1, 1, 5), ("d1", 1, 1, 1), ("d2", 2, 1, 1)), path, 0, KEYS, "click_count", ["date"])
+    for _ in range(2):
+        tables.upsert_add(counts(("d1", 1, 1, 2), ("d1", 3, 1, 1)), path, 1, KEYS, "click_count", ["date"])
+    assert read() == [("d1", 1, 1, 8), ("d1", 3, 1, 1), ("d2", 2, 1, 1)]
+    assert read(before=1) == [("d1", 1, 1, 6), ("d2", 2, 1, 1)]
+
+
+def test_setting_keeps_the_latest_value(spark, counts, rows, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert_set(counts(("d1", 1, 1, 5), ("d1", 2, 1, 5)), path, 0, ["date"])
+    for _ in range(2):
+        tables.upsert_set(counts(("d1", 1, 1, 3)), path, 1, ["date"])
+    assert rows(tables.read_latest(spark, path, SCHEMA, KEYS, "click_count")) == [("d1", 1, 1, 3), ("d1", 2, 1, 5)]
+
+
+def test_batches_open_their_days_only(spark, counts, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert_set(counts(("d1", 1, 1, 5), ("d2", 2, 1, 5)), path, 0, ["date"])
+    out = tables.read_batches(spark, path, SCHEMA, before=3).where(F.col("date") == "d2")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "(batch_id" in plan and "(date" in plan and out.count() == 1
+
+
+def test_replacing_drops_old_rows_of_the_keys_only(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    frame = lambda *r: spark.createDataFrame(list(r), schemas.AD_PROVINCE_TOP3)
+    tables.replace_by_key(frame(("d1", 1, 1, 9), ("d1", 1, 2, 8), ("d1", 2, 1, 7)), path, ["date", "province"])
+    for _ in range(2):
+        tables.replace_by_key(frame(("d1", 1, 3, 10)), path, ["date", "province"])
+    assert rows(tables.read_or_empty(spark, path, schemas.AD_PROVINCE_TOP3)) == [("d1", 1, 3, 10), ("d1", 2, 1, 7)]
+
+
+def test_inserting_known_keys_does_nothing(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    users = lambda *u: spark.createDataFrame([(x,) for x in u], schemas.AD_BLACKLIST)
+    for batch, new in ((0, (1, 1, 2)), (1, (2, 3)), (1, (2, 3)), (2, (3,))):
+        tables.insert_new(users(*new), path, batch, schemas.AD_BLACKLIST, ["userid"])
+    assert rows(tables.read_batches(spark, path, schemas.AD_BLACKLIST).select("userid")) == [(1,), (2,), (3,)]
+
+
+def test_catalog_tables(spark, counts):
+    try:
+        tables.replace_table(counts(("d0", 1, 1, 1)), "user_counts")
+        tables.replace_table(counts(("d1", 1, 1, 1), ("d2", 1, 1, 1)), "user_counts", ["date"])
+        tables.append_files(counts(("d1", 2, 1, 1)), spark.conf.get("spark.sql.warehouse.dir") + "/extra")
+        assert spark.table("user_counts").count() == 2
+        tables.replace_table(counts(("d1", 1, 1, 1)), "user_counts")
+        tables.append_table(counts(("d2", 1, 1, 1)), "user_counts")
+        assert sorted(r.date for r in spark.table("user_counts").collect()) == ["d1", "d2"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS user_counts")
+
+
+def test_jdbc_options():
+    options = tables.jdbc_options("jdbc:x://h/db", "ad_stat", 500, user="u")
+    assert options == {"url": "jdbc:x://h/db", "dbtable": "ad_stat", "batchsize": "500", "user": "u"}

@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.times import format_date, format_time, hour_text, minute_text
+from footfall.runtime import stored
 
 BLACKLIST_THRESHOLD = 100
 TOP_ADS = 3
 USER_KEYS = ["date", "userid", "adid"]
 STAT_KEYS = ["date", "province", "city", "adid"]
+PROVINCE_KEYS = ["date", "province", "adid"]
 TREND_KEYS = ["date", "hour", "minute", "adid"]
 
 
@@ -62,8 +64,12 @@ def drop_after_cutoff(clicks: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 
 def filtered_clicks(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
-    """All clicks but those a user makes after being blacklisted."""
-    return drop_after_cutoff(clicks, blacklist_cutoffs(clicks, threshold))
+    """All clicks but those a user makes after being blacklisted.
+
+    The cutoffs are written out first.  Spark then knows their true size: while they are small, as
+    they should be, the clicks are filtered as they are scanned and are not shuffled for it.
+    """
+    return drop_after_cutoff(clicks, stored(blacklist_cutoffs(clicks, threshold), "cutoffs"))
 
 
 def drop_users(clicks: DataFrame, blacklisted: DataFrame) -> DataFrame:
@@ -78,16 +84,21 @@ def ad_stat(clicks: DataFrame) -> DataFrame:
 
 def province_counts(stat: DataFrame) -> DataFrame:
     """:func:`ad_stat` with the cities of a province added up."""
-    return stat.groupBy("date", "province", "adid").agg(F.sum("click_count").alias("click_count"))
+    return stat.groupBy(*PROVINCE_KEYS).agg(F.sum("click_count").alias("click_count"))
 
 
-def province_top_ads(stat: DataFrame, n: int = TOP_ADS) -> DataFrame:
+def top_ads(counts: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """The ads ranked 1 to ``n`` per day and province; ties share a rank."""
     w = Window.partitionBy("date", "province").orderBy(F.desc("click_count"))
-    return (province_counts(stat).withColumn("_rank", F.rank().over(w)).where(F.col("_rank") <= n)
+    return (counts.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") <= n)
             .select("date", "province", "adid", "click_count"))
 
 
+def province_top_ads(stat: DataFrame, n: int = TOP_ADS) -> DataFrame:
+    """:func:`top_ads` of an :func:`ad_stat` table."""
+    return top_ads(province_counts(stat), n)
+
+
 def province_top_ads_all_days(stat: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """The ``n`` largest day-and-ad counts of each province, over all days."""
     w = Window.partitionBy("province").orderBy(F.desc("click_count"), "date", "adid")

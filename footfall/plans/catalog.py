@@ -13,6 +13,7 @@ from footfall.plans import replay, views
 from footfall.sources import tables as source
 from footfall.sources.clicks import click_records, parse_clicks
 from footfall.streaming import ads as streams
+from footfall.streaming import screening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,9 +119,9 @@ def _filtered_query(step):
     return lambda spark, d: step(_filtered(spark, d))
 
 
-def _ad_filtered_clicks(spark, d):
-    return _filtered(spark, d).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("clicked_at"),
-                                      "province", "city", "userid", "adid")
+def _click_rows(clicks):
+    return clicks.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("clicked_at"),
+                         "province", "city", "userid", "adid")
 
 
 def _parsed_clicks(spark, d):
@@ -157,12 +158,14 @@ def _stream(table, start, **options):
     return lambda spark, d: table(spark, replay.stream_tables(spark, d, start, **options))
 
 
+def _screened(table, start=None):
+    return lambda spark, d: table(spark, replay.screened_tables(spark, d, THRESHOLD, start))
+
+
 def _sink(step):
     return lambda spark, d: step(spark, views.ad_clicks(spark, d))
 
 
-_exact = {"threshold": THRESHOLD, "exact": True}
-
 QUERIES: dict[str, Query] = {
     # scans and filters
     "actions_date_range": _actions_date_range,
@@ -214,7 +217,7 @@ QUERIES: dict[str, Query] = {
     "ad_click_records": _parsed_clicks,
     "ad_user_click_count": _filtered_query(ads.user_click_counts),
     "ad_blacklist": lambda s, d: ads.blacklist(views.ad_clicks(s, d), THRESHOLD),
-    "ad_filtered_clicks": _ad_filtered_clicks,
+    "ad_filtered_clicks": _filtered_query(_click_rows),
     "ad_stat": _filtered_query(ads.ad_stat),
     "ad_stat_unfiltered": _clicks_query(ads.ad_stat),
     "ad_province_counts": _filtered_query(lambda c: ads.province_counts(ads.ad_stat(c))),
@@ -226,10 +229,13 @@ QUERIES: dict[str, Query] = {
     "ad_click_sliding": _filtered_query(ads.sliding_clicks),
     # ad clicks, streaming
     "stream_ad_stat": _stream(streams.read_latest_stat, streams.start_stat),
-    "stream_ad_province_top3": _stream(streams.read_province_top, streams.start_ad_job, **_exact),
     "stream_ad_minute_clicks": _stream(streams.read_latest_trend, streams.start_minute_clicks),
-    "stream_ad_user_click_count": _stream(streams.read_user_counts, streams.start_blacklist, **_exact),
-    "stream_ad_blacklist": _stream(streams.read_blacklist, streams.start_blacklist, **_exact),
+    "stream_ad_job_stat": _stream(streams.read_stat, streams.start_ad_job, threshold=THRESHOLD, exact=True),
+    "stream_ad_blacklist": _screened(screening.read_listed),
+    "stream_ad_filtered_clicks": _screened(
+        lambda s, base: _click_rows(screening.read_kept(s, base))),
+    "stream_ad_user_click_count": _screened(streams.read_latest_user_counts, streams.start_user_counts),
+    "stream_ad_province_top3": _screened(streams.read_province_top, streams.start_province_top),
     # sinks
     "sink_append": _sink(replay.append_twice),
     "sink_upsert_add": _sink(replay.upsert_add_twice),

@@ -177,6 +177,7 @@ TOP3 = ("SELECT date, province, adid, click_count FROM (SELECT *, rank() OVER (P
         "ORDER BY click_count DESC) AS r FROM (" + PROVINCE + ")) WHERE r <= 3")
 TREND = ("SELECT * FROM (" + MINUTE.replace(" FROM {}", " FROM (SELECT * FROM {0} WHERE ts >= "
          "(SELECT date_trunc('minute', max(ts)) - INTERVAL 59 MINUTES FROM {0}))") + ")")
+CLICK_ROWS = "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS clicked_at, province, city, userid, adid FROM click"
 SLIDING = """
 SELECT strftime(make_timestamp(window_end * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end, adid,
        count(*) AS click_count
@@ -323,8 +324,7 @@ ORACLE: dict[str, str] = {
     "ad_click_records": _with(CLICKS, select="SELECT epoch_us(ts) // 1000 AS ts, province, city, userid, adid FROM all_click"),
     "ad_user_click_count": _with(*_ads, select=USER_COUNT.format("click")),
     "ad_blacklist": _with(*_ads, select="SELECT userid FROM cutoff"),
-    "ad_filtered_clicks": _with(*_ads, select="""
-        SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS clicked_at, province, city, userid, adid FROM click"""),
+    "ad_filtered_clicks": _with(*_ads, select=CLICK_ROWS),
     "ad_stat": _with(*_ads, select=STAT.format("click")),
     "ad_stat_unfiltered": _with(CLICKS, select=STAT.format("all_click")),
     "ad_province_counts": _with(*_ads, select=PROVINCE.format("click")),
@@ -343,6 +343,8 @@ ORACLE: dict[str, str] = {
     "stream_ad_minute_clicks": _with(CLICKS, select=MINUTE.format("all_click")),
     "stream_ad_user_click_count": _with(*_ads, select=USER_COUNT.format("click")),
     "stream_ad_blacklist": _with(*_ads, select="SELECT userid FROM cutoff"),
+    "stream_ad_filtered_clicks": _with(*_ads, select=CLICK_ROWS),
+    "stream_ad_job_stat": _with(*_ads, select=STAT.format("click")),
     "sink_append": "",
     "sink_upsert_add": _with(CLICKS, select=USER_COUNT.format("all_click")),
     "sink_upsert_set": _with(CLICKS, select=STAT.format("all_click")),

@@ -20,6 +20,7 @@ from footfall.runtime import shared_dir
 from footfall.sinks import tables
 from footfall.sources.clicks import click_records, parse_clicks, text_stream
 from footfall.streaming import ads as streams
+from footfall.streaming.screening import kept_stream, start_screening
 
 Start = Callable[..., StreamingQuery]
 
@@ -99,4 +100,17 @@ def append_twice(spark: SparkSession, clicks: DataFrame) -> DataFrame:
 
 
 def stream_tables(spark: SparkSession, sf_dir: str, start: Start, **options) -> str:
+    """Run one query over the test clicks."""
     return run_in_parts(spark, views.ad_clicks(spark, sf_dir), start, **options)
+
+
+def screened_tables(spark: SparkSession, sf_dir: str, threshold: int, start: Start | None = None) -> str:
+    """Screen the test clicks and run ``start`` on those that pass, part by part."""
+    def both(clicks: DataFrame, base: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+        query = start_screening(clicks, base, f"{checkpoint}/screening", threshold, trigger=trigger)
+        if start is None:
+            return query
+        query.awaitTermination()
+        return start(kept_stream(spark, base), base, f"{checkpoint}/next", trigger=trigger)
+
+    return run_in_parts(spark, views.ad_clicks(spark, sf_dir), both)

@@ -40,6 +40,12 @@ def read_stat(spark: SparkSession, base: str, before: int | None = None) -> Data
     return tables.read_sums(spark, f"{base}/{STAT}", schemas.AD_STAT, ads.STAT_KEYS, "click_count", before)
 
 
+def read_latest_user_counts(spark: SparkSession, base: str) -> DataFrame:
+    """Counts kept as latest values by :func:`start_user_counts`."""
+    return tables.read_latest(spark, f"{base}/{USER_COUNTS}", schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS,
+                              "click_count")
+
+
 def read_latest_stat(spark: SparkSession, base: str) -> DataFrame:
     """Counts kept as latest values by :func:`start_stat`."""
     return tables.read_latest(spark, f"{base}/{STAT}", schemas.AD_STAT, ads.STAT_KEYS, "click_count")
@@ -132,8 +138,12 @@ def start_ad_job(clicks: DataFrame, base: str, checkpoint: str, threshold: int =
     """All of the ad tables from one reading of the stream.
 
     Each batch in turn: drop blacklisted users, add to the user counts, extend the blacklist, add
-    to the counts per place and per minute, refresh the touched provinces.  ``trend_of_all`` counts
+    to the counts per place and per minute, refresh the touched days.  ``trend_of_all`` counts
     the minutes over all clicks, blacklisted or not.
+
+    A batch looks up its days in the tables themselves, so its cost grows with what these days
+    have so far.  For streams where that is much, :mod:`footfall.streaming.screening` keeps the
+    counts of a user in Spark's state instead.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         kept, listed = _screen(batch, batch_id, base, threshold, exact)
@@ -159,30 +169,51 @@ def start_blacklist(clicks: DataFrame, base: str, checkpoint: str, threshold: in
     return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 
 
-def start_stat(clicks: DataFrame, base: str, checkpoint: str, with_top: bool = True, top: int = ads.TOP_ADS,
-               watermark: str | None = None, trigger: dict | None = None,
-               name: str | None = None) -> StreamingQuery:
+def start_stat(clicks: DataFrame, base: str, checkpoint: str, watermark: str | None = None,
+               trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """Running counts per day, province, city and ad, with the state kept by Spark.
 
     A batch writes the counts that changed only.  Without a ``watermark`` every count is kept for
     good; with one, days that ended before it leave the state and their late clicks are dropped.
     """
-    keys = [F.col(k) for k in ads.STAT_KEYS]
+    return _running_counts(clicks, ads.STAT_KEYS, f"{base}/{STAT}", checkpoint, watermark, trigger, name)
+
+
+def start_user_counts(clicks: DataFrame, base: str, checkpoint: str, watermark: str | None = None,
+                      trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Running counts per day, user and ad, kept like those of :func:`start_stat`."""
+    return _running_counts(clicks, ads.USER_KEYS, f"{base}/{USER_COUNTS}", checkpoint, watermark, trigger, name)
+
+
+def _running_counts(clicks: DataFrame, keys: list[str], path: str, checkpoint: str, watermark: str | None,
+                    trigger: dict | None, name: str | None) -> StreamingQuery:
     if watermark:
-        day = F.window("ts", "1 day")
-        counted = (clicks.withWatermark("ts", watermark).withColumn("date", ads.format_date(F.col("ts")))
-                   .groupBy(day, *keys).agg(F.count(F.lit(1)).alias("click_count")).drop("window"))
+        counted = (ads.with_day(clicks.withWatermark("ts", watermark)).groupBy(F.window("ts", "1 day"), *keys)
+                   .agg(F.count(F.lit(1)).alias("click_count")).drop("window"))
     else:
-        counted = ads.ad_stat(clicks)
+        counted = ads.click_counts(ads.with_day(clicks), keys)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert_set(batch, f"{base}/{STAT}", batch_id, ["date"])
-        if with_top:
-            _province_step(batch, read_latest_stat(batch.sparkSession, base), base, top)
+        tables.upsert_set(batch, path, batch_id, ["date"])
 
     return _each_batch(counted, step, checkpoint, name, trigger, "update")
 
 
+def start_province_top(clicks: DataFrame, base: str, checkpoint: str, top: int = ads.TOP_ADS,
+                       trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """The favourite ads of each day and province, ranked anew in every batch.
+
+    The state has one count per day, province and ad, however many clicks there are; only the few
+    rows that make the ranking are written.
+    """
+    counted = ads.click_counts(ads.with_day(clicks), ads.PROVINCE_KEYS)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        tables.replace_by_key(ads.top_ads(batch, top), f"{base}/{TOP3}", ["date"])
+
+    return _each_batch(counted, step, checkpoint, name, trigger, "complete")
+
+
 def start_minute_clicks(clicks: DataFrame, base: str, checkpoint: str, watermark: str = "60 minutes",
                         trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """Clicks per minute and ad; a minute leaves the state once it is ``watermark`` old."""

@@ -1,10 +1,12 @@
 from collections import Counter
 
+import pandas as pd
 import pytest
 
 from footfall.operators import ads
 from footfall.sources.clicks import click_records, parse_clicks, rejected_lines, text_stream
 from footfall.streaming import ads as streams
+from footfall.streaming import screening
 from footfall.streaming.offsets import offset_report
 
 DAY = "2024-01-10"
@@ -22,7 +24,8 @@ class Log:
 
     def run(self, start, **options):
         stream = parse_clicks(text_stream(self.spark, f"{self.root}/log", 1))
-        query = start(stream, self.base, self.checkpoint, trigger=streams.UNTIL_NOW, **options)
+        query = start(stream, self.base, options.pop("checkpoint", self.checkpoint), trigger=streams.UNTIL_NOW,
+                      **options)
         query.awaitTermination()
         return query
 
@@ -86,6 +89,46 @@ def test_exact_blacklist_does_not_depend_on_the_batches(spark, clicks, log, rows
     assert rows(streams.read_province_top(spark, log.base)) == rows(ads.province_top_ads(ads.ad_stat(kept)))
 
 
+@pytest.mark.parametrize("sizes", [(4,), (1, 2, 1)])
+def test_screening_with_state(spark, clicks, log, rows, sizes):
+    everything = clicks(*[r for part in BATCHES for r in part])
+    left = list(BATCHES)
+    for n in sizes:
+        log.add(clicks(*[r for part in left[:n] for r in part]))
+        left = left[n:]
+        log.run(screening.start_screening, threshold=3)      # resumes with the state of its checkpoint
+        streams.start_user_counts(screening.kept_stream(spark, log.base), log.base, f"{log.root}/counts",
+                                  trigger=streams.UNTIL_NOW).awaitTermination()
+    kept = ads.filtered_clicks(everything, 3)
+    assert rows(screening.read_kept(spark, log.base).drop("listed")) == rows(kept)
+    assert rows(screening.read_listed(spark, log.base)) == rows(ads.blacklist(everything, 3)) == [(7,), (8,), (9,)]
+    assert rows(streams.read_latest_user_counts(spark, log.base)) == rows(ads.user_click_counts(kept))
+
+
+def test_screening_of_a_busy_user_and_of_equal_times():
+    """Rows beyond the threshold go before the shuffle; clicks of the same instant pass together."""
+    at = pd.to_datetime([f"{DAY} 08:00:{s:02}" for s in (0, 1, 2, 2, 3, 4, 5)])
+    rows = pd.DataFrame({"ts": at, "province": 1, "city": 1, "userid": 7, "adid": 1, "date": DAY})
+    few = pd.concat(screening.first_clicks(3)(iter([rows])))
+    assert list(few["ts"].dt.second) == [0, 1, 2, 2]
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    state, step = State(), screening.screen_user(3, 2)
+    first = pd.concat(step((7,), iter([rows[:2], rows[2:0]]), state))
+    assert list(first["listed"]) == [False, False] and state.get == (False, [DAY], [1], [2])
+    later = rows[:1].assign(date="2024-01-12", ts=pd.Timestamp("2024-01-12"))
+    pd.concat(step((7,), iter([later]), state))
+    assert state.get == (False, ["2024-01-12"], [1], [1])     # two days on, the first day is forgotten
+    out = pd.concat(step((7,), iter([rows]), state))
+    assert list(out["ts"].dt.second) == [0, 1, 2, 2] and list(out["listed"]) == [False] * 3 + [True]
+    assert list(step((7,), iter([rows]), state)) == []
+
+
 def test_job_by_batch_and_trend_of_all(spark, clicks, log, rows):
     for part in BATCHES:
         log.add(clicks(*part))
@@ -113,6 +156,7 @@ def test_running_counts_and_favourites(spark, clicks, log, rows):
     for part in BATCHES:
         log.add(clicks(*part))
         log.run(streams.start_stat)
+        log.run(streams.start_province_top, checkpoint=f"{log.root}/top")
     everything = clicks(*[r for part in BATCHES for r in part])
     assert rows(streams.read_latest_stat(spark, log.base)) == rows(ads.ad_stat(everything))
     assert rows(streams.read_province_top(spark, log.base)) == rows(ads.province_top_ads(ads.ad_stat(everything)))
@@ -123,7 +167,7 @@ def test_watermark_bounds_the_days_kept(spark, clicks, log, rows):
     log.add(clicks(("2024-01-20 08:00:00", 1, 1)))
     log.add(clicks(("2024-01-20 07:00:00", 1, 1)))   # an hour late: counted
     log.add(clicks(("2024-01-10 09:00:00", 1, 1)))   # ten days late: dropped
-    log.run(streams.start_stat, watermark="1 day", with_top=False)
+    log.run(streams.start_stat, watermark="1 day")
     assert [(r[0], r[-1]) for r in rows(streams.read_latest_stat(spark, log.base))] == [
         ("2024-01-10", 1), ("2024-01-20", 2)]
 

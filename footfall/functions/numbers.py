@@ -11,12 +11,12 @@ def round_half_up(c: Column, scale: int) -> Column:
     return F.round(c.cast("double"), scale)
 
 
-def ratio(n: Column, d: Column, scale: int = 2) -> Column:
-    """``n / d`` rounded half up; NULL where ``d`` is 0."""
-    return F.when(d != 0, round_half_up(n.cast("double") / d, scale))
+def ratio(n: str, d: str, scale: int = 2) -> Column:
+    """Column ``n`` over column ``d``, rounded half up; NULL where ``d`` is 0."""
+    return F.expr(f"CASE WHEN {d} <> 0 THEN round(CAST({n} AS DOUBLE) / {d}, {scale}) END")
 
 
-def bucket_count(value: Column, low: int, high: int | None) -> Column:
-    """How many values lie in ``low..high`` (both included; no ``high`` = open end)."""
-    inside = value >= low if high is None else value.between(low, high)
-    return F.count_if(inside)
+def bucket_count(column: str, low: int, high: int | None, name: str) -> Column:
+    """How many values of ``column`` lie in ``low..high`` (both included; no ``high`` = open end)."""
+    test = f">= {low}" if high is None else f"BETWEEN {low} AND {high}"
+    return F.expr(f"count_if({column} {test}) AS {name}")

@@ -70,8 +70,8 @@ def _flow_totals(actions: DataFrame, flow: str | Iterable[object], tiebreak: Ite
         *_edges())
     joined = slices.withColumn("_next", _next_slice_page())
     return joined.agg(
-        F.coalesce(F.sum("start_pv"), F.lit(0)).alias("start_pv"),
-        *[(F.coalesce(F.sum(f"n{i}"), F.lit(0))
+        F.expr("coalesce(sum(start_pv), 0) AS start_pv"),
+        *[(F.expr(f"coalesce(sum(n{i}), 0)")
            + F.count_if((F.col("_last_page") == a) & (F.col("_next") == b))).alias(f"n{i}")
           for i, a, b in pairs])
 
@@ -96,4 +96,4 @@ def page_convert_rate(actions: DataFrame, flow: str | Iterable[object], tiebreak
     """
     counts = page_pair_counts(actions, flow, tiebreak, slice_seconds)
     return with_task(counts.select("step", "page_pair",
-                                   ratio(F.col("pair_count"), F.col("previous_count")).alias("rate")), task_id)
+                                   ratio("pair_count", "previous_count").alias("rate")), task_id)

@@ -146,16 +146,14 @@ def visit_buckets(sessions: DataFrame) -> DataFrame:
     return sessions.agg(
         F.count(F.lit(1)).alias("session_count"),
         F.count_if(F.col("visit_length") == 0).alias("visit_0s_count"),
-        *[bucket_count(F.col("visit_length"), lo, hi).alias(f"visit_{label}_count")
-          for label, lo, hi in VISIT_BUCKETS])
+        *[bucket_count("visit_length", lo, hi, f"visit_{label}_count") for label, lo, hi in VISIT_BUCKETS])
 
 
 def step_buckets(sessions: DataFrame) -> DataFrame:
     """One row: session count and the count of each step bucket."""
     return sessions.agg(
         F.count(F.lit(1)).alias("session_count"),
-        *[bucket_count(F.col("step_length"), lo, hi).alias(f"step_{label}_count")
-          for label, lo, hi in STEP_BUCKETS])
+        *[bucket_count("step_length", lo, hi, f"step_{label}_count") for label, lo, hi in STEP_BUCKETS])
 
 
 def session_aggr_stat(actions: DataFrame, users: DataFrame, flt: SessionFilter = NO_FILTER,
@@ -168,8 +166,8 @@ def session_aggr_stat(actions: DataFrame, users: DataFrame, flt: SessionFilter =
              + [(f"step_length_{label}_ratio", "step_length", lo, hi) for label, lo, hi in STEP_BUCKETS])
     counted = kept_sessions(actions, users, flt).agg(
         F.count(F.lit(1)).alias("session_count"),
-        *[bucket_count(F.col(column), lo, hi).alias(name) for name, column, lo, hi in named])
-    shares = [ratio(F.col(name), F.col("session_count")).alias(name) for name, *_ in named]
+        *[bucket_count(column, lo, hi, name) for name, column, lo, hi in named])
+    shares = [ratio(name, "session_count").alias(name) for name, *_ in named]
     return with_task(counted.select("session_count", *shares), task_id)
 
 

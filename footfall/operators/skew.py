@@ -28,12 +28,17 @@ def with_slices(df: DataFrame, keys: list[str], order: str, share: float = SHARE
 
     ``_slice`` is 0 in all but the hot groups.  Equal values are always in the same slice.
     """
+    if slices < 2 or slices & (slices - 1):
+        raise ValueError("slices must be a power of two")
     hot = F.broadcast(hot_groups(df, keys, share))
-    cuts = [i / slices for i in range(1, slices)]
+    shares = [i / slices for i in range(1, slices)]
     bounds = (df.join(hot, keys, "left_semi").groupBy(*keys)
-              .agg(F.percentile_approx(order, cuts, 10 * slices).alias("_cuts")))
-    hot_slice = F.size(F.filter("_cuts", lambda cut: cut > F.col(order)))
-    return (df.join(F.broadcast(bounds), keys, "left")
-            .withColumn("_hot", F.col("_cuts").isNotNull())
-            .withColumn("_slice", F.when(F.col("_hot"), hot_slice).otherwise(0))
-            .drop("_cuts"))
+              .agg(F.percentile_approx(order, shares, 10 * slices).alias("_cuts")))
+    out = df.join(F.broadcast(bounds), keys, "left").withColumn("_at", F.lit(0))
+    # Binary search, a step per column: _at ends as the number of cuts that are not above the value.
+    step = slices // 2
+    while step:
+        out = out.withColumn("_at", F.expr(f"_at + if(get(_cuts, _at + {step - 1}) <= {order}, {step}, 0)"))
+        step //= 2
+    return out.selectExpr(*df.columns, "_cuts IS NOT NULL AS _hot",
+                          f"if(_cuts IS NULL, 0, {slices - 1} - _at) AS _slice")

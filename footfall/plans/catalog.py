@@ -151,7 +151,7 @@ def _time_functions(spark, d):
 def _round_half_up(spark, d):
     per_user = views.read(spark, d, "events").groupBy("user_id").agg(
         F.count_if(F.col("event_type") == "click").alias("clicks"), F.count(F.lit(1)).alias("events"))
-    return per_user.withColumn("click_share", numbers.ratio(F.col("clicks"), F.col("events")))
+    return per_user.withColumn("click_share", numbers.ratio("clicks", "events"))
 
 
 def _stream(table, start, **options):

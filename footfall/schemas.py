@@ -56,12 +56,13 @@ def conform(df: DataFrame, schema: T.StructType, extra: tuple[str, ...] = ()) ->
     source = dict(df.dtypes)
     out = []
     for field in schema:
-        col = F.col(field.name)
-        if isinstance(field.dataType, T.TimestampType) and source[field.name] == "string":
-            col = F.try_to_timestamp(col, F.lit(TIME_FORMAT))
-        elif isinstance(field.dataType, T.StringType) and source[field.name] == "date":
-            col = F.date_format(col, DATE_FORMAT)
-        elif source[field.name] != field.dataType.simpleString():
-            col = col.try_cast(field.dataType)
-        out.append(col.alias(field.name))
+        name, wanted = field.name, field.dataType.simpleString()
+        if source[name] == wanted:
+            out.append(name)
+        elif wanted == "timestamp" and source[name] == "string":
+            out.append(F.try_to_timestamp(name, F.lit(TIME_FORMAT)).alias(name))
+        elif wanted == "string" and source[name] == "date":
+            out.append(F.date_format(name, DATE_FORMAT).alias(name))
+        else:
+            out.append(F.col(name).try_cast(field.dataType).alias(name))
     return df.select(*out, *extra)

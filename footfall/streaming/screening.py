@@ -38,14 +38,18 @@ def first_clicks(threshold: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[
     A click with ``threshold`` earlier ones of the same day, user and ad comes after the user's
     cutoff in any case.  What is left of a very busy user no longer grows with the clicks.
     """
+    keys = list(ads.USER_KEYS)   # workers get values only, and need not have this package
+
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            yield rows[rows.groupby(ads.USER_KEYS)["ts"].rank(method="min") <= threshold]
+            yield rows[rows.groupby(keys)["ts"].rank(method="min") <= threshold]
     return keep
 
 
 def screen_user(threshold: int, keep_days: int | None) -> Callable:
     """The state step of one user."""
+    columns = list(KEPT_CLICK.names)
+
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         listed, dates, adids, counts = state.get if state.exists else (False, [], [], [])
         if listed:
@@ -63,11 +67,11 @@ def screen_user(threshold: int, keep_days: int | None) -> Callable:
                 so_far = {k: n for k, n in so_far.items() if k[0] > oldest}
             state.update((False, [k[0] for k in so_far], [int(k[1]) for k in so_far],
                           [int(n) for n in so_far.values()]))
-            yield rows.assign(listed=False)[KEPT_CLICK.names]
+            yield rows.assign(listed=False)[columns]
         else:
             state.update((True, [], [], []))
             passed = rows[rows["ts"] <= reached.min()]
-            yield passed.assign(listed=[False] * (len(passed) - 1) + [True])[KEPT_CLICK.names]
+            yield passed.assign(listed=[False] * (len(passed) - 1) + [True])[columns]
     return step
 
 

@@ -53,7 +53,7 @@ def test_millis(spark):
 def test_rounding_is_half_up_on_the_decimal_text(spark):
     assert one(spark, round_half_up(F.lit(0.285), 2), round_half_up(F.lit(1.005), 2),
                round_half_up(F.lit(0.125), 2), round_half_up(F.lit(2.0), 2)) == (0.29, 1.01, 0.13, 2.0)
-    assert one(spark, ratio(F.lit(57), F.lit(200)), ratio(F.lit(1), F.lit(0)), ratio(F.lit(2), F.lit(3))) == (
+    assert one(spark, ratio("57", "200"), ratio("1", "0"), ratio("2", "3")) == (
         0.29, None, 0.67)
 
 

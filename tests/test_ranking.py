@@ -63,12 +63,12 @@ def test_suite_equals_brute_force_whether_groups_are_cut_or_not(spark, share, sl
 
 def test_slices_cut_the_large_group_only(spark):
     df = spark.createDataFrame([("x", 1, i) for i in range(900)] + [("y", 2 + i % 50, i) for i in range(100)], COLUMNS)
-    sliced = skew.with_slices(df, ["class"], "score", share=0.1, slices=10)
+    sliced = skew.with_slices(df, ["class"], "score", share=0.1, slices=8)
     sizes = {(r["class"], r["_slice"]): r["count"] for r in sliced.groupBy("class", "_slice").count().collect()}
     assert {s for c, s in sizes if c != 1} == {0}
     big = [n for (c, _), n in sizes.items() if c == 1]
-    assert len(big) == 10 and max(big) < 150
-    assert sliced.where("class = 1").orderBy("_slice").first().score >= 800
+    assert len(big) == 8 and max(big) < 150
+    assert sliced.where("class = 1").where("_slice = 0").agg({"score": "min"}).first()[0] >= 770
 
 
 def test_group_totals(scores):

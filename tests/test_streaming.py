@@ -227,3 +227,15 @@ def test_stop_while_running(spark, clicks, log):
     finally:
         query.stop()
     assert streams.read_user_counts(spark, log.base).first().click_count == 2
+
+
+def test_stream_steps_run_where_the_package_is_not(tmp_path):
+    """A worker gets the steps by value."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    (tmp_path / "steps").write_bytes(cloudpickle.dumps([screening.first_clicks(3), screening.screen_user(3, None)]))
+    code = "import pickle; print(len(pickle.load(open('steps', 'rb'))))"
+    done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert done.stdout.strip() == "2"

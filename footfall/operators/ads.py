@@ -13,6 +13,8 @@ from footfall.functions.times import format_date, format_time, hour_text, minute
 from footfall.runtime import stored
 
 BLACKLIST_THRESHOLD = 100
+# Rows of one day, user and ad each that are safe to broadcast (about 50 MB).
+BROADCAST_ROWS = 1_000_000
 TOP_ADS = 3
 USER_KEYS = ["date", "userid", "adid"]
 STAT_KEYS = ["date", "province", "city", "adid"]
@@ -28,9 +30,15 @@ def click_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("click_count"))
 
 
+def daily_counts(clicks: DataFrame, keys: list[str]) -> DataFrame:
+    """Clicks per day and the other ``keys``; a day is counted as a number and put into words after."""
+    days = clicks.withColumn("date", F.to_date("ts"))
+    return click_counts(days, keys).withColumn("date", format_date(F.col("date")))
+
+
 def user_click_counts(clicks: DataFrame) -> DataFrame:
     """Clicks of each user on each ad per day."""
-    return click_counts(with_day(clicks), USER_KEYS)
+    return daily_counts(clicks, USER_KEYS)
 
 
 def nth_click(rows: DataFrame, n: int) -> DataFrame:
@@ -40,14 +48,23 @@ def nth_click(rows: DataFrame, n: int) -> DataFrame:
     clicks costs no more than another (Spark applies it up to
     ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default).
     """
-    w = Window.partitionBy(*USER_KEYS).orderBy("ts")
+    w = Window.partitionBy("userid", "adid", "date").orderBy("ts")   # numbers first: quicker to sort
     return (rows.select(*USER_KEYS, "ts").withColumn("_nth", F.row_number().over(w))
             .where(F.col("_nth") <= n))
 
 
 def blacklist_cutoffs(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
-    """Users with ``threshold`` clicks on one ad in one day, and when the first such click was."""
-    return (nth_click(with_day(clicks), threshold).where(F.col("_nth") == threshold)
+    """Users with ``threshold`` clicks on one ad in one day, and when the first such click was.
+
+    Counting tells which days, users and ads get there at all.  As long as these are few, and that
+    is checked, only their clicks are put in order.
+    """
+    rows = clicks.withColumn("date", F.to_date("ts"))
+    reached = stored(click_counts(rows, USER_KEYS).where(F.col("click_count") >= threshold)
+                     .select(*USER_KEYS), "reached")
+    if reached.count() <= BROADCAST_ROWS:
+        rows = rows.join(F.broadcast(reached), USER_KEYS, "left_semi")
+    return (nth_click(rows, threshold).where(F.col("_nth") == threshold)
             .groupBy("userid").agg(F.min("ts").alias("cutoff")))
 
 
@@ -79,7 +96,7 @@ def drop_users(clicks: DataFrame, blacklisted: DataFrame) -> DataFrame:
 
 def ad_stat(clicks: DataFrame) -> DataFrame:
     """Clicks per day, province, city and ad."""
-    return click_counts(with_day(clicks), STAT_KEYS)
+    return daily_counts(clicks, STAT_KEYS)
 
 
 def province_counts(stat: DataFrame) -> DataFrame:
@@ -111,8 +128,11 @@ def minute_columns(ts: Column) -> list[Column]:
 
 
 def minute_clicks(clicks: DataFrame) -> DataFrame:
-    """Clicks per minute and ad."""
-    return click_counts(clicks.select(*minute_columns(F.col("ts")), "adid"), TREND_KEYS)
+    """Clicks per minute and ad; the minutes are put into words after counting."""
+    # By way of the local time, so that the two hours a clock may show twice count as one.
+    minute = F.date_trunc("minute", F.col("ts").cast("timestamp_ntz").cast("timestamp"))
+    counts = click_counts(clicks.select(minute.alias("_minute"), "adid"), ["_minute", "adid"])
+    return counts.select(*minute_columns(F.col("_minute")), "adid", "click_count")
 
 
 def click_trend(clicks: DataFrame, minutes: int = 60) -> DataFrame:

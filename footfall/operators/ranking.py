@@ -8,10 +8,11 @@ add up to.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.operators.skew import SHARE, SLICES, with_slices
+from footfall.runtime import stored
 
 
 def _slice_offsets(sliced: DataFrame, keys: list[str], score: str, name: str) -> DataFrame:
@@ -84,17 +85,28 @@ def window_suite(df: DataFrame, keys: list[str], score: str, name: str, share: f
         F.coalesce("_lead", "_score_after", F.lit(default)).alias("lead_score"))
 
 
+def _numbered(df: DataFrame, keys: list[str], score: str, name: str, share: float, slices: int,
+              number: Column, order: list) -> DataFrame:
+    """Every row with ``number`` within its slice plus the rows of the slices before."""
+    sliced = with_slices(df.select(name, *keys, score), keys, score, share, slices)
+    w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = (sliced.where("_hot").groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+              .select(*keys, "_slice", F.sum("_n").over(w).alias("_before")))
+    local = sliced.withColumn("_local", number.over(Window.partitionBy(*keys, "_slice").orderBy(*order)))
+    return local.join(F.broadcast(before), [*keys, "_slice"], "left").select(
+        name, *keys, score, (F.col("_local") + F.coalesce("_before", F.lit(0))).alias("rank"))
+
+
 def rank_per_group(df: DataFrame, keys: list[str], score: str, name: str, share: float = SHARE,
                    slices: int = SLICES) -> DataFrame:
     """Every row with its rank in the group (ties share a rank, gaps follow)."""
-    return window_suite(df, keys, score, name, share, slices).select(name, *keys, score, "rank")
+    return _numbered(df, keys, score, name, share, slices, F.rank(), [F.desc(score)])
 
 
 def row_number_per_group(df: DataFrame, keys: list[str], score: str, name: str, share: float = SHARE,
                          slices: int = SLICES) -> DataFrame:
     """Every row with its number in the group, ties in order of ``name``."""
-    return window_suite(df, keys, score, name, share, slices).select(
-        name, *keys, score, F.col("row_number").alias("rank"))
+    return _numbered(df, keys, score, name, share, slices, F.row_number(), [F.desc(score), name])
 
 
 def top_per_group(df: DataFrame, keys: list[str], score: str, name: str, n: int = 1) -> DataFrame:
@@ -111,15 +123,22 @@ def max_per_group(df: DataFrame, keys: list[str], score: str) -> DataFrame:
 
 def max_join_back(df: DataFrame, keys: list[str], score: str, name: str) -> DataFrame:
     """The rows that reach the best score of their own group."""
-    best = max_per_group(df, keys, score).withColumnRenamed("max_score", score)
-    return df.select(name, *keys, score).join(best, [*keys, score]).select(
+    return df.select(name, *keys, score).join(_best(df, keys, score), [*keys, score]).select(
         name, *keys, F.col(score).alias("max_score"))
 
 
 def max_join_back_loose(df: DataFrame, keys: list[str], score: str, name: str) -> DataFrame:
     """The rows that reach the best score of *any* group, with the group that score is best in."""
-    best = max_per_group(df, keys, score).withColumnRenamed("max_score", score)
-    return df.select(name, score).join(best, score).select(name, *keys, F.col(score).alias("max_score"))
+    return df.select(name, score).join(_best(df, keys, score), score).select(
+        name, *keys, F.col(score).alias("max_score"))
+
+
+def _best(df: DataFrame, keys: list[str], score: str) -> DataFrame:
+    """The best score of each group, written out so that the join knows its true size.
+
+    With few groups the rows are matched as they are scanned; with many Spark shuffles both sides.
+    """
+    return stored(max_per_group(df, keys, score).withColumnRenamed("max_score", score), "best")
 
 
 def group_totals(df: DataFrame, keys: list[str], score: str, name: str) -> DataFrame:

@@ -191,7 +191,7 @@ def _running_counts(clicks: DataFrame, keys: list[str], path: str, checkpoint: s
         counted = (ads.with_day(clicks.withWatermark("ts", watermark)).groupBy(F.window("ts", "1 day"), *keys)
                    .agg(F.count(F.lit(1)).alias("click_count")).drop("window"))
     else:
-        counted = ads.click_counts(ads.with_day(clicks), keys)
+        counted = ads.daily_counts(clicks, keys)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         tables.upsert_set(batch, path, batch_id, ["date"])
@@ -206,7 +206,7 @@ def start_province_top(clicks: DataFrame, base: str, checkpoint: str, top: int =
     The state has one count per day, province and ad, however many clicks there are; only the few
     rows that make the ranking are written.
     """
-    counted = ads.click_counts(ads.with_day(clicks), ads.PROVINCE_KEYS)
+    counted = ads.daily_counts(clicks, ads.PROVINCE_KEYS)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         tables.replace_by_key(ads.top_ads(batch, top), f"{base}/{TOP3}", ["date"])

@@ -109,6 +109,24 @@ def row_number_per_group(df: DataFrame, keys: list[str], score: str, name: str,
     return _numbered(df, keys, score, name, share, slices, F.row_number(), [F.desc(score), name])
 
 
+def lag_lead_per_group(df: DataFrame, keys: list[str], score: str, name: str, offset: int = 1,
+                       default: int = 0, share: float = SHARE, slices: int = SLICES) -> DataFrame:
+    """Every row with the scores ``offset`` rows before and after it in its group.
+
+    Rows are numbered once; a neighbour is then found by its number, which no two rows of a group
+    share, so these joins spread evenly whatever the size of a group.
+    """
+    rows = stored(row_number_per_group(df, keys, score, name, share, slices), "numbered")
+
+    def neighbours(shift: int, column: str) -> DataFrame:
+        return rows.select(*keys, (F.col("rank") + shift).alias("rank"), F.col(score).alias(column))
+
+    return (rows.join(neighbours(offset, "lag_score"), [*keys, "rank"], "left")
+            .join(neighbours(-offset, "lead_score"), [*keys, "rank"], "left")
+            .select(name, *keys, score, F.coalesce("lag_score", F.lit(default)).alias("lag_score"),
+                    F.coalesce("lead_score", F.lit(default)).alias("lead_score")))
+
+
 def top_per_group(df: DataFrame, keys: list[str], score: str, name: str, n: int = 1) -> DataFrame:
     """The rows ranked 1 to ``n`` in their group, ties included."""
     w = Window.partitionBy(*keys).orderBy(F.desc(score))

@@ -207,6 +207,7 @@ QUERIES: dict[str, Query] = {
     # ranking
     "rank_per_group": _score_query(ranking.rank_per_group),
     "row_number_per_group": _score_query(ranking.row_number_per_group),
+    "lag_lead_per_group": _score_query(ranking.lag_lead_per_group, offset=3, default=-1),
     "top1_per_group": _score_query(ranking.top_per_group),
     "max_per_group": lambda s, d: ranking.max_per_group(views.scores(s, d), CLASS, SCORE),
     "max_join_back": _score_query(ranking.max_join_back),

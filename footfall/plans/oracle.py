@@ -297,6 +297,10 @@ ORACLE: dict[str, str] = {
     "row_number_per_group": _with(SCORE, select="""
         SELECT name, class, score, row_number() OVER (PARTITION BY class ORDER BY score DESC, name) AS rank
         FROM score"""),
+    "lag_lead_per_group": _with(SCORE, select="""
+        SELECT name, class, score, lag(score, 3, -1::BIGINT) OVER by_row AS lag_score,
+               lead(score, 3, -1::BIGINT) OVER by_row AS lead_score
+        FROM score WINDOW by_row AS (PARTITION BY class ORDER BY score DESC, name)"""),
     "top1_per_group": _with(SCORE, select="""
         SELECT name, class, score, 1::BIGINT AS rank FROM score s
         WHERE score = (SELECT max(score) FROM score t WHERE t.class = s.class)"""),

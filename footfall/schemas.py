@@ -44,6 +44,12 @@ AD_PROVINCE_TOP3 = _schema(date=_S, province=_I, adid=_L, click_count=_L)
 AD_CLICK_TREND = _schema(date=_S, hour=_S, minute=_S, adid=_L, click_count=_L)
 
 
+def like(schema: T.StructType, df: DataFrame) -> T.StructType:
+    """``schema`` with province and city of the types they have in ``df``: some logs name them."""
+    types = {f.name: f.dataType for f in df.schema if f.name in ("province", "city")}
+    return T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in schema])
+
+
 def conform(df: DataFrame, schema: T.StructType, extra: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with exactly the columns and types of ``schema`` (plus ``extra`` columns as they are).
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall import schemas
@@ -35,9 +36,12 @@ def read_blacklist(spark: SparkSession, base: str, before: int | None = None) ->
     return tables.read_batches(spark, f"{base}/{BLACKLIST}", schemas.AD_BLACKLIST, before).select("userid")
 
 
-def read_stat(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
+# Tables with places take a schema, for logs that name province and city (see schemas.like).
+
+def read_stat(spark: SparkSession, base: str, before: int | None = None,
+              schema: T.StructType = schemas.AD_STAT) -> DataFrame:
     """Counts kept as increments by :func:`start_ad_job`."""
-    return tables.read_sums(spark, f"{base}/{STAT}", schemas.AD_STAT, ads.STAT_KEYS, "click_count", before)
+    return tables.read_sums(spark, f"{base}/{STAT}", schema, ads.STAT_KEYS, "click_count", before)
 
 
 def read_latest_user_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -46,13 +50,14 @@ def read_latest_user_counts(spark: SparkSession, base: str) -> DataFrame:
                               "click_count")
 
 
-def read_latest_stat(spark: SparkSession, base: str) -> DataFrame:
+def read_latest_stat(spark: SparkSession, base: str, schema: T.StructType = schemas.AD_STAT) -> DataFrame:
     """Counts kept as latest values by :func:`start_stat`."""
-    return tables.read_latest(spark, f"{base}/{STAT}", schemas.AD_STAT, ads.STAT_KEYS, "click_count")
+    return tables.read_latest(spark, f"{base}/{STAT}", schema, ads.STAT_KEYS, "click_count")
 
 
-def read_province_top(spark: SparkSession, base: str) -> DataFrame:
-    return tables.read_or_empty(spark, f"{base}/{TOP3}", schemas.AD_PROVINCE_TOP3)
+def read_province_top(spark: SparkSession, base: str,
+                      schema: T.StructType = schemas.AD_PROVINCE_TOP3) -> DataFrame:
+    return tables.read_or_empty(spark, f"{base}/{TOP3}", schema)
 
 
 def read_trend(spark: SparkSession, base: str) -> DataFrame:
@@ -153,7 +158,8 @@ def start_ad_job(clicks: DataFrame, base: str, checkpoint: str, threshold: int =
             tables.write_batch(ads.ad_stat(kept), f"{base}/{STAT}", batch_id, ["date"])
             tables.write_batch(ads.minute_clicks(batch if trend_of_all else kept), f"{base}/{TREND}",
                                batch_id, ["date"])
-            _province_step(kept, read_stat(batch.sparkSession, base, before=batch_id + 1), base, top)
+            stat = read_stat(batch.sparkSession, base, batch_id + 1, schemas.like(schemas.AD_STAT, clicks))
+            _province_step(kept, stat, base, top)
         finally:
             kept.unpersist()
 

@@ -86,7 +86,7 @@ def screened_clicks(clicks: DataFrame, threshold: int = ads.BLACKLIST_THRESHOLD,
     few = ads.with_day(clicks).select(*columns)
     few = few.mapInPandas(first_clicks(threshold), few.schema)
     return few.groupBy("userid").applyInPandasWithState(
-        screen_user(threshold, keep_days), KEPT_CLICK, USER_STATE, "append", GroupStateTimeout.NoTimeout)
+        screen_user(threshold, keep_days), schemas.like(KEPT_CLICK, clicks), USER_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def start_screening(clicks: DataFrame, base: str, checkpoint: str, threshold: int = ads.BLACKLIST_THRESHOLD,
@@ -99,15 +99,15 @@ def start_screening(clicks: DataFrame, base: str, checkpoint: str, threshold: in
     return (writer.queryName(name) if name else writer).start()
 
 
-def kept_stream(spark: SparkSession, base: str) -> DataFrame:
+def kept_stream(spark: SparkSession, base: str, schema: T.StructType = KEPT_CLICK) -> DataFrame:
     """The kept clicks as a stream, for further queries."""
-    return spark.readStream.schema(KEPT_CLICK).parquet(f"{base}/{KEPT}").select(*schemas.AD_CLICK.names)
+    return spark.readStream.schema(schema).parquet(f"{base}/{KEPT}").select(*schemas.AD_CLICK.names)
 
 
-def read_kept(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(KEPT_CLICK).parquet(f"{base}/{KEPT}")
+def read_kept(spark: SparkSession, base: str, schema: T.StructType = KEPT_CLICK) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{base}/{KEPT}")
 
 
 def read_listed(spark: SparkSession, base: str) -> DataFrame:
     """The blacklist: each user on it once."""
-    return read_kept(spark, base).where("listed").select("userid")
+    return spark.read.parquet(f"{base}/{KEPT}").where("listed").select("userid")

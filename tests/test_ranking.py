@@ -61,6 +61,14 @@ def test_suite_equals_brute_force_whether_groups_are_cut_or_not(spark, share, sl
     assert len(got) == len(data) and {tuple(r) for r in got} == brute(data)
 
 
+def test_lag_and_lead_by_any_offset(spark):
+    df = spark.createDataFrame([(f"n{i:02}", 1, i) for i in range(40)] + [("x", 2, 5)], COLUMNS)
+    got = {r.name: (r.lag_score, r.lead_score)
+           for r in ranking.lag_lead_per_group(df, *ARGS, offset=7, default=-1, share=0.1, slices=4).collect()}
+    assert got == {f"n{i:02}": (i + 7 if i + 7 < 40 else -1, i - 7 if i >= 7 else -1) for i in range(40)} | {
+        "x": (-1, -1)}
+
+
 def test_slices_cut_the_large_group_only(spark):
     df = spark.createDataFrame([("x", 1, i) for i in range(900)] + [("y", 2 + i % 50, i) for i in range(100)], COLUMNS)
     sliced = skew.with_slices(df, ["class"], "score", share=0.1, slices=8)

@@ -3,6 +3,7 @@ from collections import Counter
 import pandas as pd
 import pytest
 
+from footfall import schemas
 from footfall.operators import ads
 from footfall.sources.clicks import click_records, parse_clicks, rejected_lines, text_stream
 from footfall.streaming import ads as streams
@@ -214,6 +215,25 @@ def test_bad_lines_go_aside_and_the_stream_goes_on(spark, clicks, log):
     assert sorted(r.value for r in spark.table("rejects").collect()) == ["", "abc 1 2"]
 
 
+def test_named_places(spark, log, rows):
+    """Province and city may be text; the tables follow."""
+    lines = [f"170490720{i}000 Jiangsu {city} 1 {ad}" for i, (city, ad) in enumerate(
+        [("Nanjing", 1), ("Nanjing", 2), ("Suzhou", 1)])]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{log.root}/log")
+    clicks = parse_clicks(text_stream(spark, f"{log.root}/log"), text_places=True)
+    for start, place in ((streams.start_ad_job, "job"), (screening.start_screening, "screening")):
+        start(clicks, f"{log.root}/{place}", f"{log.root}/{place}-checkpoint", threshold=9,
+              trigger=streams.UNTIL_NOW).awaitTermination()
+    stat, top = schemas.like(schemas.AD_STAT, clicks), schemas.like(schemas.AD_PROVINCE_TOP3, clicks)
+    expected = [("2024-01-10", "Jiangsu", "Nanjing", 1, 1), ("2024-01-10", "Jiangsu", "Nanjing", 2, 1),
+                ("2024-01-10", "Jiangsu", "Suzhou", 1, 1)]
+    assert rows(streams.read_stat(spark, f"{log.root}/job", schema=stat)) == expected
+    assert rows(streams.read_province_top(spark, f"{log.root}/job", top)) == [
+        ("2024-01-10", "Jiangsu", 1, 2), ("2024-01-10", "Jiangsu", 2, 1)]
+    kept = screening.read_kept(spark, f"{log.root}/screening", schemas.like(screening.KEPT_CLICK, clicks))
+    assert rows(ads.ad_stat(kept)) == expected
+
+
 def test_stop_while_running(spark, clicks, log):
     log.add(clicks((f"{DAY} 08:00:00", 1, 1)))
     stream = parse_clicks(text_stream(spark, f"{log.root}/log", 1))

@@ -162,11 +162,12 @@ def _best(df: DataFrame, keys: list[str], score: str) -> DataFrame:
 def group_totals(df: DataFrame, keys: list[str], score: str, name: str) -> DataFrame:
     """Every row with aggregates over its whole group and the number of all rows.
 
-    Aggregated first and joined back, so no group is gathered in one task.
+    Aggregated first and joined back, so no group is gathered in one task.  The totals are written
+    out, so that the join knows their true size.
     """
-    totals = df.groupBy(*keys).agg(
+    totals = stored(df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("group_count"), F.sum(score).alias("group_sum"),
-        F.min(score).alias("group_min"), F.max(score).alias("group_max"))
+        F.min(score).alias("group_min"), F.max(score).alias("group_max")), "totals")
     everything = totals.agg(F.sum("group_count")).scalar()
     return (df.select(name, *keys, score).join(totals, keys)
             .withColumn("group_avg", F.col("group_sum").cast("double") / F.col("group_count"))

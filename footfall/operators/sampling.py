@@ -6,7 +6,7 @@ a rerun, a retry or a second table drawn from the same sample all agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.times import format_date, format_time, hour_text
@@ -36,6 +36,12 @@ def hour_share_of_day(per_hour: DataFrame) -> DataFrame:
             .withColumn("share", F.col("session_count") / F.col("day_count").cast("double")))
 
 
+def _with_quota(shares: DataFrame, days: Column, sample_size: int, extra: int) -> DataFrame:
+    per_day = F.floor(F.lit(sample_size).cast("int") / days)
+    wanted = F.floor(F.col("share") * per_day) + F.lit(extra)
+    return shares.withColumn("quota", F.least(F.col("session_count"), wanted))
+
+
 def hour_quota(per_hour: DataFrame, sample_size: int = 100, extra: int = 1) -> DataFrame:
     """How many sessions to draw from each hour.
 
@@ -43,28 +49,36 @@ def hour_quota(per_hour: DataFrame, sample_size: int = 100, extra: int = 1) -> D
     by their share, cut to a whole number.  ``extra`` sessions more are drawn per hour (1 by
     default, as the original job does; 0 gives the proportional number), never more than there are.
     """
-    per_day = F.lit(sample_size).cast("int") / per_hour.agg(F.count_distinct("date")).scalar()
-    wanted = F.floor(F.col("share") * F.floor(per_day)) + F.lit(extra)
-    return hour_share_of_day(per_hour).select(
-        "date", "hour", "session_count", F.least(F.col("session_count"), wanted).alias("quota"))
+    days = per_hour.agg(F.count_distinct("date")).scalar()
+    return _with_quota(hour_share_of_day(per_hour), days, sample_size, extra).select(
+        "date", "hour", "session_count", "quota")
 
 
 def sample_sessions(sessions: DataFrame, sample_size: int = 100, extra: int = 1, seed: str = "") -> DataFrame:
     """``session_id``, ``date`` and ``hour`` of the drawn sessions.
 
-    No quota exceeds ``sample_size + extra``.  That constant bound lets each map task keep only
-    its first few sessions of an hour, so an hour with a large part of all sessions costs no more
-    than any other.
+    The drawing order is that of a hash, so its first two digits cut every hour into 256 even parts
+    that are in order themselves.  Counting the parts tells in which of them the quota of the hour
+    ends; only sessions up to there are put in order, part by part, whatever the size of an hour
+    and of the sample.
     """
-    w = Window.partitionBy("date", "hour").orderBy("_draw", "session_id")
-    drawn = (_with_hour(sessions)
-             .select("session_id", "date", "hour",
-                     F.md5(F.concat(F.lit(seed), F.col("session_id"))).alias("_draw"))
-             .withColumn("_nth", F.row_number().over(w))
-             .where(F.col("_nth") <= sample_size + extra))
-    quota = hour_quota(sessions_per_hour(sessions), sample_size, extra).select("date", "hour", "quota")
-    return (drawn.join(quota, ["date", "hour"]).where(F.col("_nth") <= F.col("quota"))
-            .select("session_id", "date", "hour"))
+    drawing = (_with_hour(sessions)
+               .select("session_id", "date", "hour",
+                       F.md5(F.concat(F.lit(seed), F.col("session_id"))).alias("_draw"))
+               # Never NULL: a test for that would set the two uses of the roll-up below apart.
+               .withColumn("_part", F.coalesce(F.substring("_draw", 1, 2), F.lit(""))))
+    counts = drawing.groupBy("date", "hour", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    hour, day = Window.partitionBy("date", "hour"), Window.partitionBy("date")   # 256 and 24 * 256 rows
+    earlier = F.sum("_n").over(hour.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = (counts.withColumn("session_count", F.sum("_n").over(hour))
+             .withColumn("_before", F.coalesce(earlier, F.lit(0)))
+             .withColumn("share", F.col("session_count") / F.sum("_n").over(day).cast("double")))
+    days = counts.agg(F.count_distinct("date")).scalar()
+    needed = (_with_quota(parts, days, sample_size, extra).where(F.col("_before") < F.col("quota"))
+              .select("date", "hour", "_part", "_before", "quota"))
+    nth = F.row_number().over(Window.partitionBy("date", "hour", "_part").orderBy("_draw", "session_id"))
+    return (drawing.join(needed, ["date", "hour", "_part"]).withColumn("_nth", nth + F.col("_before"))
+            .where(F.col("_nth") <= F.col("quota")).select("session_id", "date", "hour"))
 
 
 def actions_of_sample(actions: DataFrame, sampled: DataFrame, sample_size: int, extra: int) -> DataFrame:

@@ -38,7 +38,7 @@ def time_parts(clicks: DataFrame, parts: int) -> list[DataFrame]:
     return out
 
 
-def run_in_parts(spark: SparkSession, clicks: DataFrame, start: Start, parts: int = 3, **options) -> str:
+def run_in_parts(spark: SparkSession, clicks: DataFrame, start: Start, parts: int = 2, **options) -> str:
     """Feed ``clicks`` to the query ``start`` begins, part by part; returns the folder of its tables."""
     root = shared_dir(spark, "stream")
     for part in time_parts(clicks, parts):

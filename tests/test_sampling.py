@@ -58,7 +58,28 @@ def test_hour_share(three_days):
         assert r.day_count == 11 and r.share == r.session_count / 11
 
 
-def test_hot_hour_is_cut_before_the_shuffle(three_days, one_user):
-    kept = sessions.kept_sessions(three_days, one_user)
-    plan = sampling.sample_sessions(kept)._jdf.queryExecution().executedPlan().toString()
-    assert "row_number(), 101, Partial" in plan
+def test_a_large_hour_is_drawn_in_parts(spark):
+    """3000 sessions of one hour, sample sizes on both sides of what a rank filter would cut."""
+    sessions_of_hour = spark.range(3000).selectExpr(
+        "concat('s', id) AS session_id", "timestamp '2024-01-10 10:00:00' AS start_time")
+    order = sorted((f"s{i}" for i in range(3000)), key=lambda s: hashlib.md5(s.encode()).hexdigest())
+    for size in (7, 1500, 3000, 5000):
+        drawn = sampling.sample_sessions(sessions_of_hour, size, extra=0).collect()
+        assert sorted(r.session_id for r in drawn) == sorted(order[:size])
+
+
+def test_actions_are_rolled_up_once_for_the_draw(spark, three_days, one_user, tmp_path):
+    """Drawing, counting the parts and counting the days share the shuffle of the roll-up."""
+    for name, df in (("actions", three_days), ("users", one_user)):
+        df.write.parquet(str(tmp_path / name))
+    kept = sessions.kept_sessions(*[spark.read.parquet(str(tmp_path / n)) for n in ("actions", "users")])
+    drawn = sampling.sample_sessions(kept)
+    assert len(drawn.collect()) == len(expected(100, 1))
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange [session_id") >= 2
+
+
+def test_only_the_needed_parts_are_sorted(three_days, one_user):
+    plan = sampling.sample_sessions(sessions.kept_sessions(three_days, one_user))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Window [row_number()") < text.index("Join Inner")   # the join is below

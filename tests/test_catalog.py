@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from footfall.plans.catalog import QUERIES
+from footfall.plans.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -30,10 +32,10 @@ def comparable(columns, rows):
     return [columns[i] for i in order], sorted(clean, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SF_DIR)
-    expected = duck.sql(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    expected = duck.sql(ORACLE[name])
     assert {c: TYPES.get(t) for c, t in df.dtypes} == {
         c: str(t) for c, t in zip(expected.columns, expected.types)}
     assert comparable(df.columns, [tuple(r) for r in df.collect()]) == comparable(
@@ -41,7 +43,12 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_contract_lists_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -223,7 +224,15 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def encoder(spark: SparkSession, path: str, pattern: str):
     """The encoder of a rank file, broadcast; its size is that of the vocabulary."""
-    return spark.sparkContext.broadcast(Encoder(read_ranks(path), pattern))
+    return spark.sparkContext.broadcast({"packed": cloudpickle.dumps(Encoder(read_ranks(path), pattern))})
+
+
+def unpacked(shared) -> Encoder:
+    """The broadcast encoder; a worker unpacks it once and keeps it, with its cache, for its further tasks."""
+    held = shared.value
+    if "ready" not in held:
+        held["ready"] = cloudpickle.loads(held["packed"]).ready()
+    return held["ready"]
 
 
 def large_list(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -239,7 +248,7 @@ def binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 def tokenized(docs: DataFrame, shared, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and each text's ``ids``; ``shared`` comes from :func:`encoder`."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = shared.value
+        tool = unpacked(shared)
         for rows, texts in in_blocks(batches, "__text", BLOCK):
             ids, ends = tool.encode([t.decode() for t in texts])
             yield pa.RecordBatch.from_arrays(
@@ -253,7 +262,7 @@ def tokenized(docs: DataFrame, shared, text: str = "text", keep: tuple[str, ...]
 def detokenized(rows: DataFrame, shared, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and the bytes, ``decoded``, that each row's ids stand for; null ids are none."""
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = shared.value
+        tool = unpacked(shared)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -273,7 +282,7 @@ def round_trip(docs: DataFrame, shared, text: str = "text", keep: tuple[str, ...
     ``packed`` holds the ids as little-endian unsigned 32-bit integers, as token files do.
     """
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = shared.value
+        tool = unpacked(shared)
         for rows, texts in in_blocks(batches, "__text", BLOCK):
             ids, ends = tool.encode([t.decode() for t in texts])
             found, stops = tool.decode(ids, ends)

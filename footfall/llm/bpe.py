@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.blocks import GOLDEN, Numbers, in_blocks, mixed
+from footfall.llm.blocks import GOLDEN, Numbers, in_blocks, mixed, runs
 
 U = np.uint64
 BLOCK = 4 << 20
@@ -207,15 +207,6 @@ class Encoder:
         return self.blob[runs(self.starts, self.sizes, ids)], counts[ends]
 
 
-def runs(starts: np.ndarray, sizes: np.ndarray, use: np.ndarray) -> np.ndarray:
-    """The positions of the runs numbered ``use``, one run after another."""
-    size = sizes[use]
-    ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    kind = np.int32 if total < 2 ** 31 and (not len(starts) or starts[-1] < 2 ** 31) else np.int64
-    return np.repeat((starts[use] - (ends - size)).astype(kind), size) + np.arange(total, dtype=kind)
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """A rank file: a line per entry with its bytes in base64 and its rank."""
     with open(path, "rb") as lines:

@@ -12,8 +12,8 @@ so a count of w costs about log w.  Only points up to a time that fills the sign
 
 Candidates and links.  Texts that agree in a band meet in its bucket.  Within a bucket everyone is first compared to
 the first and the last member only, and what the true multiset overlap confirms is linked.  Members of
-one bucket that are in different classes after that are compared one by one, so no pair
-that shares a bucket is passed over, and groups of any size cost as many comparisons as they have members.
+one bucket that are in different classes after that are all compared, large buckets inside a task by an
+index that returns links only, so no pair that shares a bucket is passed over and no group's pairs are rows.
 
 Edge cases.  Null text is empty.  Equal texts are one node of the graph, whatever their ids, and
 always share a class; a text without words is like its equals only.  A null id is kept, and
@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.blocks import GOLDEN, Words, in_blocks, list_array, mixed, unit
+from footfall.llm.blocks import GOLDEN, Words, in_blocks, list_array, mixed, runs, unit
 from footfall.runtime import stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5   # a pair of likeness 0.8 meets in a band with probability 0.99995
+SMALL, CHUNK = 8, 2000
 U = np.uint64
 NODE = "node binary"
 
@@ -280,8 +281,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     links = stored(confirmed(pairs, texts, similarity), "links")
     labels = components(links)
 
-    rest = confirmed(_unsettled(members, labels).join(pairs, ["a", "b"], "left_anti"), texts, similarity)
-    rest = stored(rest, "links")
+    rest = stored(_rest(members, labels, pairs, texts, similarity), "links")
     if rest.limit(1).count():
         labels = components(links.union(rest))
     label = F.coalesce("label", "node")
@@ -291,19 +291,64 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return found.join(per_class, "label").select("id", "node", "class_id", "class_size")
 
 
-def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket whose classes differ, once each.
+def _rest(members: DataFrame, labels: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between members of a bucket that are in different classes so far.
 
-    The first class of a bucket (the one of its smallest member) is on one side only, so a bucket of which nearly all are one
-    class gives a pair per other member and member, not all pairs.
+    Buckets of up to ``SMALL`` members give the pairs to compare.  In larger ones members are compared inside a task,
+    which returns only links that join classes.  Above ``CHUNK`` members a bucket is cut by a hash in chunks, and
+    each pair of chunks is a task's group: a member goes to as many groups as there are chunks.
     """
     named = members.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    mixed_up = (named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                .where("low != high").select("band"))
-    named = stored(named.join(mixed_up, "band", "left_semi"), "unsettled")
-    a = named.select("band", F.col("node").alias("a"), F.col("label").alias("la"))
-    b = named.select("band", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return a.join(b, "band").where("a < b and la != lb").select("a", "b").distinct()
+    open_bands = (named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                            F.count(F.lit(1)).alias("size")).where("low != high").select("band", "size"))
+    named = stored(named.join(open_bands, "band"), "unsettled")
+
+    small = named.where(F.col("size") <= SMALL)
+    a = small.select("band", F.col("node").alias("a"), F.col("label").alias("la"))
+    b = small.select("band", F.col("node").alias("b"), F.col("label").alias("lb"))
+    few = a.join(b, "band").where("a < b and la != lb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    large = named.where(F.col("size") > SMALL).withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    large = large.select("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+                         "node", "label").join(texts.select("node", "units"), "node")
+
+    def compare(group: pa.Table) -> pa.Table:
+        return joining(group["node"].to_pylist(), group["label"].to_pylist(), group["units"], similarity)
+
+    return confirmed(few, texts, similarity).union(
+        large.groupBy("band", "i", "j").applyInArrow(compare, "a binary, b binary"))
+
+
+def joining(nodes: list[bytes], labels: list[bytes], units: pa.ChunkedArray, similarity: float) -> pa.Table:
+    """The links that join classes of a group's members, found from an index of which members have a unit.
+
+    Members of the largest class are looked up by the others, not among themselves.
+    """
+    flat = units.combine_chunks()
+    if isinstance(flat, pa.ChunkedArray):
+        flat = pa.concat_arrays(flat.chunks)
+    sizes = flat.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    kinds, unit_of = np.unique(flat.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+    order = np.argsort(unit_of, kind="stable")
+    member = np.repeat(np.arange(len(nodes)), sizes)[order]
+    stops = np.cumsum(np.bincount(unit_of, minlength=len(kinds)))
+    starts = np.concatenate([[0], stops[:-1]]) if len(stops) else stops
+    names, root = np.unique(np.array(labels, object), return_inverse=True)
+    largest = int(np.argmax(np.bincount(root)))
+    out_a, out_b = [], []
+    for x in np.flatnonzero(root != largest).tolist():
+        mine = unit_of[ends[x] - sizes[x]:ends[x]]
+        common = np.bincount(member[runs(starts, stops - starts, mine)], minlength=len(nodes))
+        like = common >= similarity * (sizes[x] + sizes - common)
+        for y in np.flatnonzero(like & (root != root[x])).tolist():
+            if root[y] != root[x]:
+                out_a.append(min(nodes[x], nodes[y]))
+                out_b.append(max(nodes[x], nodes[y]))
+                root[root == root[x]] = root[y]
+    return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,8 +3,8 @@
 Events of the standard library's parser build a page's lines (the text of one block element each, white space as one
 blank) without a tree.  A line's ratio is its characters per tag; ratios are smoothed by a Gaussian over neighbouring
 lines, and lines at or above the threshold (a share of the mean) are content.  Neighbouring content lines are clusters.
-The innermost section of the page that holds nearly all of the clusters' text is the article, and its lines are
-the result, short ones too.  Lines in elements that are never article text (menus, headers, footers, asides, forms, scripts), or
+The innermost section of the page that holds nearly all of the clusters' text, and the title if it is not an article
+element, is the article, and its lines are the result, short ones too.  Lines in elements that are never article text (menus, headers, footers, asides, forms, scripts), or
 whose class, id or role says so (adverts, notices, comments, ...), neither count nor are returned; nor, outside an
 article element, lines that are mostly links.
 
@@ -49,12 +49,12 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+").findall
 
 
 class Lines(HTMLParser):
-    """The lines of a page: (text, tags, characters in links, path of sections, never content, heading)."""
+    """The lines of a page: (text, tags, characters in links, path of sections, never content, name of its heading)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []   # open block elements: name, never content, section
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, bool]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, str]] = []
         self.sections: list[str] = []
         self.parts: list[str] = []
         self.tags = self.linked = self.link = 0
@@ -64,7 +64,7 @@ class Lines(HTMLParser):
         if text:
             path = tuple(section for _, _, section in self.stack if section >= 0)
             never = any(bad for _, bad, _ in self.stack)
-            heading = any(name in HEADINGS for name, _, _ in self.stack[-2:])
+            heading = next((name for name, _, _ in self.stack[-2:] if name in HEADINGS), "")
             if any(name == "header" for name, _, _ in self.stack):
                 never |= not heading or not any(name in ("article", "main") for name, _, _ in self.stack)
             self.lines.append((text, self.tags, min(self.linked, len(text)), path, never, heading))
@@ -173,8 +173,10 @@ def main_text(html: str) -> str:
             for section in line[3]:
                 mass[section] = mass.get(section, 0) + len(line[0])
     best = -1
+    title = next((line[3] for level in ("h1", "h2") for line in lines if line[5] == level), None)
     for section in sorted(mass):   # a section's number is above those of the sections around it
-        if mass[section] >= HOLDS * total and (best < 0 or page.sections[best] not in ("article", "main")):
+        named = page.sections[section] in ("article", "main") or title is None or section in title
+        if mass[section] >= HOLDS * total and named and (best < 0 or page.sections[best] not in ("article", "main")):
             best = section
     article = any(page.sections[s] in ("article", "main") for line in lines for s in line[3] if best in line[3] and s <= best)
     return "\n".join(text for text, _, linked, path, _, heading in lines

@@ -258,7 +258,9 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             similarity: float = SIMILARITY) -> DataFrame:
-    """Every row's (id, node, class_id, class_size): its class of near duplicates and how many rows that has.
+    """Every row's (id, node, label, class_id, class_size): its class of near duplicates and how many rows that has.
+
+    ``label`` tells classes apart even if ids are repeated or null.
 
     Runs jobs while it is called; what they find is in the shared folder.
     """
@@ -288,7 +290,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     found = signed.select("id", "node").join(labels, "node", "left").select("id", "node", label.alias("label"))
     found = stored(found, "found")
     per_class = found.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return found.join(per_class, "label").select("id", "node", "class_id", "class_size")
+    return found.join(per_class, "label").select("id", "node", "label", "class_id", "class_size")
 
 
 def _rest(members: DataFrame, labels: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -364,7 +366,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class, all columns; of repeated rows one stays."""
     found = classes(docs, id_col, text)
-    stay = (found.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("class_id")
+    stay = (found.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("label", "class_id")
             .agg(F.min("node").alias("keep_node")).select(F.col("class_id").alias("keep_id"), "keep_node"))
     kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col("keep_id")) & (node_of(text) == F.col("keep_node")),
                      "left_semi")

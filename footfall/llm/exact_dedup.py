@@ -24,8 +24,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.runtime import shared_dir, stored
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# State on disk; a store takes the space it needs only, since there is one per shuffle partition.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 UNTIL_NOW = {"availableNow": True}
 KEEP = "keep struct<id: {id}, locator: string>"
 
@@ -60,16 +64,18 @@ def start(spark: SparkSession, content: str, groups: str, checkpoint: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{groups}/batch={batch_id}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
     try:
+        for key, value in STATE_CONF.items():
+            spark.conf.set(key, value)
         return (state.writeStream.outputMode("update").foreachBatch(write)
                 .option("checkpointLocation", checkpoint).trigger(**trigger).start())
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def read_groups(spark: SparkSession, content: str, groups: str) -> DataFrame:

@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIELDS = ["ts", "province", "city", "userid", "adid"]
+# Milliseconds of the first instant of year 1 and the last of year 9999, UTC.
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def split_record(lines: DataFrame, text_places: bool = False) -> DataFrame:
-    """``value`` next to its five fields; a field that cannot be read is NULL.
+    """``value`` next to its five fields; a field that cannot be read is NULL, as is a time outside years 1 to 9999.
 
     ``text_places`` keeps province and city as text, for logs that name them.
     """
     at = [F.trim(F.get(F.split(F.col("value"), " "), i)) for i in range(5)]
     place = "string" if text_places else "int"
+    millis = at[0].try_cast("long")
     return lines.select(
         "value",
-        F.timestamp_millis(at[0].try_cast("long")).alias("ts"),
+        F.timestamp_millis(F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), millis)).alias("ts"),
         at[1].try_cast(place).alias("province"), at[2].try_cast(place).alias("city"),
         at[3].try_cast("long").alias("userid"), at[4].try_cast("long").alias("adid"))
 

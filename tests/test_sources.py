@@ -22,6 +22,13 @@ def test_records(spark, rows):
     assert back == {LINES[0], "1704067200000 1 2 3 4"}
 
 
+def test_times_out_of_range_are_rejected(spark):
+    bad = ["9223372036854775807 1 2 3 4", "-9223372036854775808 1 2 3 4", "253402300800000 1 2 3 4"]
+    lines = spark.createDataFrame([(v,) for v in [*bad, "253402300799999 1 2 3 4"]], "value string")
+    assert {r.value for r in source.rejected_lines(lines).collect()} == set(bad)
+    assert source.parse_clicks(lines).count() == 1
+
+
 def test_kafka_options():
     assert json.loads(source.starting_offsets("ads", {1: 20, 0: 7})) == {"ads": {"0": 7, "1": 20}}
     new = source.kafka_options("h1:9092,h2:9092", "ads")

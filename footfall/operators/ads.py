@@ -142,16 +142,26 @@ def click_trend(clicks: DataFrame, minutes: int = 60) -> DataFrame:
     return minute_clicks(clicks.where(F.col("ts").cast("timestamp") >= first))
 
 
+def pane_clicks(clicks: DataFrame, slide: str = "30 seconds") -> DataFrame:
+    """Clicks per ad in consecutive panes of the length ``slide``, by the end of the pane."""
+    return (clicks.groupBy(F.window(F.col("ts").cast("timestamp"), slide).alias("_pane"), "adid")
+            .agg(F.count(F.lit(1)).alias("click_count"))
+            .select(F.col("_pane.end").alias("pane_end"), "adid", "click_count"))
+
+
+def sliding_sums(panes: DataFrame, length: str = "60 minutes", slide: str = "30 seconds") -> DataFrame:
+    """:func:`pane_clicks` added up for every window of panes that saw any click."""
+    last = F.col("pane_end") + F.expr(f"INTERVAL {length}") - F.expr(f"INTERVAL {slide}")
+    ends = F.explode(F.sequence(F.col("pane_end"), last, F.expr(f"INTERVAL {slide}")))
+    return (panes.select(ends.alias("_end"), "adid", "click_count").groupBy("_end", "adid")
+            .agg(F.sum("click_count").alias("click_count"))
+            .select(format_time(F.col("_end")).alias("window_end"), "adid", "click_count"))
+
+
 def sliding_clicks(clicks: DataFrame, length: str = "60 minutes", slide: str = "30 seconds") -> DataFrame:
     """Clicks per ad in every sliding window that saw any, by the end of the window.
 
     Clicks are counted per slide first; only these counts are repeated for the windows they are
     in, so the fan-out does not grow with the clicks.  ``length`` must be a multiple of ``slide``.
     """
-    panes = (clicks.groupBy(F.window(F.col("ts").cast("timestamp"), slide).alias("_pane"), "adid")
-             .agg(F.count(F.lit(1)).alias("_n")))
-    last = F.col("_pane.end") + F.expr(f"INTERVAL {length}") - F.expr(f"INTERVAL {slide}")
-    ends = F.explode(F.sequence(F.col("_pane.end"), last, F.expr(f"INTERVAL {slide}")))
-    return (panes.select(ends.alias("_end"), "adid", "_n").groupBy("_end", "adid")
-            .agg(F.sum("_n").alias("click_count"))
-            .select(format_time(F.col("_end")).alias("window_end"), "adid", "click_count"))
+    return sliding_sums(pane_clicks(clicks, slide), length, slide)

@@ -230,8 +230,17 @@ QUERIES: dict[str, Query] = {
     "ad_click_sliding": _filtered_query(ads.sliding_clicks),
     # ad clicks, streaming
     "stream_ad_stat": _stream(streams.read_latest_stat, streams.start_stat),
-    "stream_ad_minute_clicks": _stream(streams.read_latest_trend, streams.start_minute_clicks),
+    "stream_ad_stat_watermark": _stream(streams.read_latest_stat, streams.start_stat, watermark="1 day"),
+    "stream_ad_minute_clicks": _stream(streams.read_trend, streams.start_minute_clicks),
+    "stream_ad_late_minutes": _stream(streams.read_trend, streams.start_minute_clicks, newest_first=True),
+    "stream_ad_sliding": _screened(streams.read_sliding, streams.start_sliding_clicks),
     "stream_ad_job_stat": _stream(streams.read_stat, streams.start_ad_job, threshold=THRESHOLD, exact=True),
+    "stream_ad_job_user_click_count": _stream(streams.read_user_counts, streams.start_ad_job, threshold=THRESHOLD,
+                                              exact=True),
+    "stream_ad_job_province_top3": _stream(streams.read_province_top, streams.start_ad_job, threshold=THRESHOLD,
+                                           exact=True),
+    "stream_ad_job_trend_unfiltered": _stream(lambda s, base: streams.last_minutes(streams.read_trend(s, base)),
+                                              streams.start_ad_job, threshold=THRESHOLD, trend_of_all=True),
     "stream_ad_blacklist": _screened(screening.read_listed),
     "stream_ad_filtered_clicks": _screened(
         lambda s, base: _click_rows(screening.read_kept(s, base))),

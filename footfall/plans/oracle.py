@@ -349,6 +349,12 @@ ORACLE: dict[str, str] = {
     "stream_ad_blacklist": _with(*_ads, select="SELECT userid FROM cutoff"),
     "stream_ad_filtered_clicks": _with(*_ads, select=CLICK_ROWS),
     "stream_ad_job_stat": _with(*_ads, select=STAT.format("click")),
+    "stream_ad_job_user_click_count": _with(*_ads, select=USER_COUNT.format("click")),
+    "stream_ad_job_province_top3": _with(*_ads, select=TOP3.format("click")),
+    "stream_ad_job_trend_unfiltered": _with(CLICKS, select=TREND.format("all_click")),
+    "stream_ad_stat_watermark": _with(CLICKS, select=STAT.format("all_click")),
+    "stream_ad_late_minutes": _with(CLICKS, select=MINUTE.format("all_click")),
+    "stream_ad_sliding": _with(*_ads, select=SLIDING),
     "sink_append": "",
     "sink_upsert_add": _with(CLICKS, select=USER_COUNT.format("all_click")),
     "sink_upsert_set": _with(CLICKS, select=STAT.format("all_click")),

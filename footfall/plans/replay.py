@@ -38,10 +38,11 @@ def time_parts(clicks: DataFrame, parts: int) -> list[DataFrame]:
     return out
 
 
-def run_in_parts(spark: SparkSession, clicks: DataFrame, start: Start, parts: int = 2, **options) -> str:
+def run_in_parts(spark: SparkSession, clicks: DataFrame, start: Start, parts: int = 2, newest_first: bool = False,
+                 **options) -> str:
     """Feed ``clicks`` to the query ``start`` begins, part by part; returns the folder of its tables."""
     root = shared_dir(spark, "stream")
-    for part in time_parts(clicks, parts):
+    for part in time_parts(clicks, parts)[::-1 if newest_first else 1]:
         click_records(part).write.mode("append").text(f"{root}/log")
         stream = parse_clicks(text_stream(spark, f"{root}/log"))
         start(stream, f"{root}/tables", f"{root}/checkpoint", trigger=streams.UNTIL_NOW,

@@ -1,10 +1,11 @@
 """Result tables: append, replace, and the keyed updates a stream makes batch by batch.
 
-A keyed table is a folder of Parquet files with one sub folder per batch, ``batch_id=N``.  A batch
-writes its own folder and nothing else, so a batch that is run again after a failure replaces
-what it wrote the first time and every update happens exactly once.  The current value of a key
-is worked out on reading: the sum of its increments, or its latest value.  Folders below the batch
-(``date=...``) let a reader or the next batch open the days it needs only.
+A keyed table is a folder of Parquet files with one sub folder per run and batch, ``run=R/batch_id=N``.  A
+run is a streaming query with its checkpoint, which numbers its batches from 0.  A batch writes its own
+folder and nothing else, so a batch that is run again after a failure replaces what it wrote the first time,
+every update happens exactly once, and a query that starts on a new checkpoint adds to what earlier runs left.
+The current value of a key is worked out on reading: the sum of its increments, or its latest value.
+Folders below the batch (``date=...``) let a reader or the next batch open the days it needs only.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH = "batch_id"
+RUN, BATCH = "run", "batch_id"
+ONE_RUN = "0"   # of callers that number all their batches themselves
 
 
 # ---- whole tables -------------------------------------------------------------------------
@@ -57,21 +59,23 @@ def append_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000, con
 
 # ---- keyed tables -------------------------------------------------------------------------
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
+                run: str = ONE_RUN) -> None:
     """What one batch adds to a keyed table; running the batch again replaces it."""
-    by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}")
+    folder = f"{path}/{RUN}={run}/{BATCH}={batch_id}"
+    by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType,
-                 before: int | None = None) -> DataFrame:
-    """All rows of a keyed table with their ``batch_id``, or those of batches below ``before``.
+                 before: int | None = None, run: str = ONE_RUN) -> DataFrame:
+    """All rows of a keyed table with their ``run`` and ``batch_id``; with ``before``, of ``run`` only batches below it.
 
     A batch that asks for what was there before it must not see its own earlier attempt.  A table
     nobody has written to yet is empty.
     """
-    columns = T.StructType([*schema, T.StructField(BATCH, T.LongType())])
+    columns = T.StructType([*schema, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())])
     rows = read_or_empty(spark, path, columns)
-    return rows if before is None else rows.where(F.col(BATCH) < before)
+    return rows if before is None else rows.where((F.col(RUN) != run) | (F.col(BATCH) < before))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -85,33 +89,38 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_sums(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], value: str,
-              before: int | None = None) -> DataFrame:
+              before: int | None = None, run: str = ONE_RUN) -> DataFrame:
     """A table of increments: each key with the sum of its increments."""
-    return (read_batches(spark, path, schema, before).groupBy(*keys).agg(F.sum(value).alias(value)))
+    return (read_batches(spark, path, schema, before, run).groupBy(*keys).agg(F.sum(value).alias(value)))
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], value: str,
-                before: int | None = None) -> DataFrame:
-    """A table of set values: each key with the value of the latest batch that has it."""
-    return (read_batches(spark, path, schema, before).groupBy(*keys)
-            .agg(F.max_by(value, BATCH).alias(value)))
+                before: int | None = None, run: str = ONE_RUN) -> DataFrame:
+    """A table of set values: each key with the value of the latest batch that has it.
+
+    Every run counts from nothing, so what several runs set for a key is added up.
+    """
+    return (read_batches(spark, path, schema, before, run).groupBy(*keys, RUN)
+            .agg(F.max_by(value, BATCH).alias(value)).groupBy(*keys).agg(F.sum(value).alias(value)))
 
 
 def upsert_add(df: DataFrame, path: str, batch_id: int, keys: Sequence[str], value: str,
-               partition_by: Sequence[str] = ()) -> None:
+               partition_by: Sequence[str] = (), run: str = ONE_RUN) -> None:
     """Add ``value`` to what each key has (keys not seen before start at 0); see :func:`read_sums`."""
-    write_batch(df.groupBy(*keys).agg(F.sum(value).alias(value)), path, batch_id, partition_by)
+    write_batch(df.groupBy(*keys).agg(F.sum(value).alias(value)), path, batch_id, partition_by, run)
 
 
-def upsert_set(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+def upsert_set(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
+               run: str = ONE_RUN) -> None:
     """Give each key of ``df`` its new value; see :func:`read_latest`."""
-    write_batch(df, path, batch_id, partition_by)
+    write_batch(df, path, batch_id, partition_by, run)
 
 
-def insert_new(df: DataFrame, path: str, batch_id: int, schema: T.StructType, keys: Sequence[str]) -> None:
+def insert_new(df: DataFrame, path: str, batch_id: int, schema: T.StructType, keys: Sequence[str],
+               run: str = ONE_RUN) -> None:
     """Insert the keys that are not in the table yet, each once."""
-    known = read_batches(df.sparkSession, path, schema, before=batch_id).select(*keys)
-    write_batch(df.dropDuplicates(list(keys)).join(known, list(keys), "left_anti"), path, batch_id)
+    known = read_batches(df.sparkSession, path, schema, batch_id, run).select(*keys)
+    write_batch(df.dropDuplicates(list(keys)).join(known, list(keys), "left_anti"), path, batch_id, run=run)
 
 
 def replace_by_key(df: DataFrame, path: str, keys: Sequence[str]) -> None:

@@ -23,25 +23,31 @@ UNTIL_NOW = {"availableNow": True}
 
 USER_COUNTS, BLACKLIST, STAT, TOP3, TREND = (
     "ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend")
+PROVINCE_COUNTS, PANES = "ad_province_count", "ad_click_panes"
+PANE = T.StructType([T.StructField("date", T.StringType()), T.StructField("pane_end", T.TimestampType()),
+                     T.StructField("adid", T.LongType()), T.StructField("click_count", T.LongType())])
+PANE_KEYS = ["date", "pane_end", "adid"]
 
 
 # ---- the tables a stream keeps ------------------------------------------------------------
 
-def read_user_counts(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
+def read_user_counts(spark: SparkSession, base: str, before: int | None = None,
+                     run: str = tables.ONE_RUN) -> DataFrame:
     return tables.read_sums(spark, f"{base}/{USER_COUNTS}", schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS,
-                            "click_count", before)
+                            "click_count", before, run)
 
 
-def read_blacklist(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
-    return tables.read_batches(spark, f"{base}/{BLACKLIST}", schemas.AD_BLACKLIST, before).select("userid")
+def read_blacklist(spark: SparkSession, base: str, before: int | None = None,
+                   run: str = tables.ONE_RUN) -> DataFrame:
+    return tables.read_batches(spark, f"{base}/{BLACKLIST}", schemas.AD_BLACKLIST, before, run).select("userid")
 
 
 # Tables with places take a schema, for logs that name province and city (see schemas.like).
 
 def read_stat(spark: SparkSession, base: str, before: int | None = None,
-              schema: T.StructType = schemas.AD_STAT) -> DataFrame:
+              schema: T.StructType = schemas.AD_STAT, run: str = tables.ONE_RUN) -> DataFrame:
     """Counts kept as increments by :func:`start_ad_job`."""
-    return tables.read_sums(spark, f"{base}/{STAT}", schema, ads.STAT_KEYS, "click_count", before)
+    return tables.read_sums(spark, f"{base}/{STAT}", schema, ads.STAT_KEYS, "click_count", before, run)
 
 
 def read_latest_user_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -61,26 +67,41 @@ def read_province_top(spark: SparkSession, base: str,
 
 
 def read_trend(spark: SparkSession, base: str) -> DataFrame:
-    """Minute counts kept as increments by :func:`start_ad_job`."""
+    """Minute counts kept by :func:`start_ad_job` or :func:`start_minute_clicks`."""
     return tables.read_sums(spark, f"{base}/{TREND}", schemas.AD_CLICK_TREND, ads.TREND_KEYS, "click_count")
 
 
-def read_latest_trend(spark: SparkSession, base: str) -> DataFrame:
-    """Minute counts kept as latest values by :func:`start_minute_clicks`."""
-    return tables.read_latest(spark, f"{base}/{TREND}", schemas.AD_CLICK_TREND, ads.TREND_KEYS, "click_count")
+def read_sliding(spark: SparkSession, base: str, length: str = "60 minutes", slide: str = "30 seconds") -> DataFrame:
+    """Sliding windows over the panes kept by :func:`start_sliding_clicks` with the same ``slide``."""
+    panes = tables.read_sums(spark, _panes(base, slide), PANE, PANE_KEYS, "click_count")
+    return ads.sliding_sums(panes, length, slide)
+
+
+def _panes(base: str, slide: str) -> str:
+    return f"{base}/{PANES}/{slide.replace(' ', '_')}"
 
 
 def last_minutes(trend: DataFrame, minutes: int = 60) -> DataFrame:
-    """The part of a trend table that lies in the ``minutes`` minutes up to its newest one."""
+    """The part of a trend table that lies in the ``minutes`` minutes up to its newest one.
+
+    Days, which are folders, are chosen before minutes are looked at.
+    """
     at = F.to_timestamp(F.concat_ws(" ", "date", F.concat_ws(":", "hour", "minute")), "yyyy-MM-dd HH:mm")
-    newest = trend.agg(F.max(at)).scalar()
-    return trend.where(at > newest - F.expr(f"INTERVAL {minutes} MINUTES"))
+    newest = trend.where(F.col("date") == trend.agg(F.max("date")).scalar()).agg(F.max(at).alias("at"))
+    first = newest.select(F.col("at") - F.expr(f"INTERVAL {minutes} MINUTES"))
+    return trend.where(F.col("date") >= first.select(ads.format_date(F.col(first.columns[0]))).scalar()).where(
+        at > first.scalar())
 
 
 # ---- one batch ----------------------------------------------------------------------------
 
-def _screen(batch: DataFrame, batch_id: int, base: str, threshold: int,
-            exact: bool) -> tuple[DataFrame, DataFrame]:
+def _in_days_of(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The days of a table from the first to the last of ``rows``; days are folders, and others are not opened."""
+    return table.where(F.col("date").between(rows.agg(F.min("date")).scalar(), rows.agg(F.max("date")).scalar()))
+
+
+def _screen(batch: DataFrame, batch_id: int, base: str, threshold: int, exact: bool,
+            run: str = tables.ONE_RUN) -> tuple[DataFrame, DataFrame]:
     """The clicks of a batch that count, and the users to put on the blacklist.
 
     Clicks of users listed by an earlier batch drop out.  With ``exact`` a user's clicks also stop
@@ -88,10 +109,10 @@ def _screen(batch: DataFrame, batch_id: int, base: str, threshold: int,
     batch on.  Only the days and keys of the batch are looked up in the counts.
     """
     spark = batch.sparkSession
-    clicks = ads.with_day(ads.drop_users(batch, read_blacklist(spark, base, before=batch_id)))
+    clicks = ads.with_day(ads.drop_users(batch, read_blacklist(spark, base, batch_id, run)))
     keys = clicks.select(*ads.USER_KEYS).distinct()
-    earlier = (tables.read_batches(spark, f"{base}/{USER_COUNTS}", schemas.AD_USER_CLICK_COUNT, batch_id)
-               .join(keys.select("date").distinct(), "date", "left_semi")
+    counts = tables.read_batches(spark, f"{base}/{USER_COUNTS}", schemas.AD_USER_CLICK_COUNT, batch_id, run)
+    earlier = (_in_days_of(counts, keys)
                .join(keys, ads.USER_KEYS, "left_semi")
                .groupBy(*ads.USER_KEYS).agg(F.sum("click_count").alias("_earlier")))
     so_far = F.coalesce("_earlier", F.lit(0))
@@ -105,28 +126,32 @@ def _screen(batch: DataFrame, batch_id: int, base: str, threshold: int,
     return clicks, listed
 
 
-def _record(kept: DataFrame, listed: DataFrame, batch_id: int, base: str) -> None:
+def _record(kept: DataFrame, listed: DataFrame, batch_id: int, base: str, run: str = tables.ONE_RUN) -> None:
     """Add a screened batch to the user counts and the blacklist."""
-    tables.write_batch(ads.click_counts(kept, ads.USER_KEYS), f"{base}/{USER_COUNTS}", batch_id, ["date"])
-    tables.insert_new(listed, f"{base}/{BLACKLIST}", batch_id, schemas.AD_BLACKLIST, ["userid"])
+    tables.write_batch(ads.click_counts(kept, ads.USER_KEYS), f"{base}/{USER_COUNTS}", batch_id, ["date"], run)
+    tables.insert_new(listed, f"{base}/{BLACKLIST}", batch_id, schemas.AD_BLACKLIST, ["userid"], run)
 
 
-def _province_step(changed: DataFrame, stat: DataFrame, base: str, top: int) -> None:
-    """Rank anew the days that a batch touched, and replace them in the table.
+def _province_step(changed: DataFrame, counts: DataFrame, base: str, top: int) -> None:
+    """Rank anew the days and provinces that a batch touched, and replace them in the table.
 
-    Days are the folders of the counts and of the ranking: only those of the batch are read, and
-    only they are rewritten.
+    ``counts`` has clicks per day, province and ad, with a folder per day.
     """
-    current = stat.join(changed.select("date").distinct(), "date", "left_semi")
-    tables.replace_by_key(ads.province_top_ads(current, top), f"{base}/{TOP3}", ["date"])
+    touched = changed.select("date", "province").distinct()
+    current = _in_days_of(counts, touched).join(touched, ["date", "province"], "left_semi")
+    tables.replace_by_key(ads.top_ads(current, top), f"{base}/{TOP3}", ["date", "province"])
 
 
-def _each_batch(df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, name: str | None,
+def _each_batch(df: DataFrame, step: Callable[[DataFrame, int, str], None], checkpoint: str, name: str | None,
                 trigger: dict | None, mode: str) -> StreamingQuery:
+    """Start a query that calls ``step`` with each batch, its number and the id that the checkpoint gives the query."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("the id of the streaming query is not known, so its batches cannot be told from others")
         batch.persist()   # a batch is read several times
         try:
-            step(batch, batch_id)
+            step(batch, batch_id, query_id)
         finally:
             batch.unpersist()
 
@@ -150,16 +175,16 @@ def start_ad_job(clicks: DataFrame, base: str, checkpoint: str, threshold: int =
     have so far.  For streams where that is much, :mod:`footfall.streaming.screening` keeps the
     counts of a user in Spark's state instead.
     """
-    def step(batch: DataFrame, batch_id: int) -> None:
-        kept, listed = _screen(batch, batch_id, base, threshold, exact)
+    def step(batch: DataFrame, batch_id: int, run: str) -> None:
+        kept, listed = _screen(batch, batch_id, base, threshold, exact, run)
         kept.persist()
         try:
-            _record(kept, listed, batch_id, base)
-            tables.write_batch(ads.ad_stat(kept), f"{base}/{STAT}", batch_id, ["date"])
+            _record(kept, listed, batch_id, base, run)
+            tables.write_batch(ads.ad_stat(kept), f"{base}/{STAT}", batch_id, ["date"], run)
             tables.write_batch(ads.minute_clicks(batch if trend_of_all else kept), f"{base}/{TREND}",
-                               batch_id, ["date"])
-            stat = read_stat(batch.sparkSession, base, batch_id + 1, schemas.like(schemas.AD_STAT, clicks))
-            _province_step(kept, stat, base, top)
+                               batch_id, ["date"], run)
+            stat = read_stat(batch.sparkSession, base, batch_id + 1, schemas.like(schemas.AD_STAT, clicks), run)
+            _province_step(kept, ads.province_counts(stat), base, top)
         finally:
             kept.unpersist()
 
@@ -169,8 +194,8 @@ def start_ad_job(clicks: DataFrame, base: str, checkpoint: str, threshold: int =
 def start_blacklist(clicks: DataFrame, base: str, checkpoint: str, threshold: int = ads.BLACKLIST_THRESHOLD,
                     exact: bool = False, trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """The blacklist and the user counts only."""
-    def step(batch: DataFrame, batch_id: int) -> None:
-        _record(*_screen(batch, batch_id, base, threshold, exact), batch_id, base)
+    def step(batch: DataFrame, batch_id: int, run: str) -> None:
+        _record(*_screen(batch, batch_id, base, threshold, exact, run), batch_id, base, run)
 
     return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 
@@ -194,50 +219,63 @@ def start_user_counts(clicks: DataFrame, base: str, checkpoint: str, watermark:
 def _running_counts(clicks: DataFrame, keys: list[str], path: str, checkpoint: str, watermark: str | None,
                     trigger: dict | None, name: str | None) -> StreamingQuery:
     if watermark:
-        counted = (ads.with_day(clicks.withWatermark("ts", watermark)).groupBy(F.window("ts", "1 day"), *keys)
-                   .agg(F.count(F.lit(1)).alias("click_count")).drop("window"))
+        # The end of the local day is the event time, so a day is one row of state in any time zone.  It lies up to
+        # 25 hours (where clocks go back) after the click, and the watermark waits for as much longer.
+        day_end = F.date_trunc("day", F.col("ts").cast("timestamp")) + F.expr("INTERVAL 1 DAY")
+        days = ads.with_day(clicks).withColumn("_day_end", day_end).withWatermark("_day_end", f"{watermark} 25 hours")
+        counted = ads.click_counts(days, ["_day_end", *keys]).drop("_day_end")
     else:
         counted = ads.daily_counts(clicks, keys)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert_set(batch, path, batch_id, ["date"])
+    def step(batch: DataFrame, batch_id: int, run: str) -> None:
+        tables.upsert_set(batch, path, batch_id, ["date"], run)
 
     return _each_batch(counted, step, checkpoint, name, trigger, "update")
 
 
 def start_province_top(clicks: DataFrame, base: str, checkpoint: str, top: int = ads.TOP_ADS,
                        trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """The favourite ads of each day and province, ranked anew in every batch.
+    """The favourite ads of each day and province, ranked anew when a batch touches them.
 
-    The state has one count per day, province and ad, however many clicks there are; only the few
-    rows that make the ranking are written.
+    Each batch adds its counts per day, province and ad to a table, reads the days it touched
+    from it, and replaces the ranking of the days and provinces it touched; others stay as they are.
     """
-    counted = ads.daily_counts(clicks, ads.PROVINCE_KEYS)
+    schema = schemas.like(schemas.AD_PROVINCE_TOP3, clicks)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        tables.replace_by_key(ads.top_ads(batch, top), f"{base}/{TOP3}", ["date"])
+    def step(batch: DataFrame, batch_id: int, run: str) -> None:
+        added, path = ads.daily_counts(batch, ads.PROVINCE_KEYS), f"{base}/{PROVINCE_COUNTS}"
+        tables.write_batch(added, path, batch_id, ["date"], run)
+        counts = tables.read_sums(batch.sparkSession, path, schema, ads.PROVINCE_KEYS, "click_count", batch_id + 1, run)
+        _province_step(added, counts, base, top)
 
-    return _each_batch(counted, step, checkpoint, name, trigger, "complete")
+    return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 
 
-def start_minute_clicks(clicks: DataFrame, base: str, checkpoint: str, watermark: str = "60 minutes",
-                        trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Clicks per minute and ad; a minute leaves the state once it is ``watermark`` old."""
-    at = F.col("window.start")
-    counted = (clicks.withWatermark("ts", watermark).groupBy(F.window("ts", "1 minute"), "adid")
-               .agg(F.count(F.lit(1)).alias("click_count"))
-               .select(*ads.minute_columns(at), "adid", "click_count"))
+def start_minute_clicks(clicks: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
+                        name: str | None = None) -> StreamingQuery:
+    """Clicks per minute and ad, however late they come: each batch adds its own counts to the table."""
+    def step(batch: DataFrame, batch_id: int, run: str) -> None:
+        tables.write_batch(ads.minute_clicks(batch), f"{base}/{TREND}", batch_id, ["date"], run)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert_set(batch, f"{base}/{TREND}", batch_id, ["date"])
+    return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 
-    return _each_batch(counted, step, checkpoint, name, trigger, "update")
+
+def start_sliding_clicks(clicks: DataFrame, base: str, checkpoint: str, slide: str = "30 seconds",
+                         trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Counts per pane of ``slide`` and ad, of which :func:`read_sliding` makes windows; late clicks are added too."""
+    def step(batch: DataFrame, batch_id: int, run: str) -> None:
+        panes = ads.pane_clicks(batch, slide).withColumn("date", ads.format_date(F.col("pane_end")))
+        tables.write_batch(panes, _panes(base, slide), batch_id, ["date"], run)
+
+    return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 
 
 def sliding_clicks(clicks: DataFrame, length: str = "60 minutes", slide: str = "30 seconds",
                    watermark: str = "60 minutes") -> DataFrame:
     """Clicks per ad in sliding windows, each emitted once it can no longer change.
 
+    Clicks later than ``watermark`` cannot be in it; :func:`start_sliding_clicks` counts all.
+
     The windows are built on counts per slide, not on clicks: a click updates one row of state, and
     only the counts are repeated for the windows they are in.
     """

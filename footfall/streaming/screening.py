@@ -110,4 +110,5 @@ def read_kept(spark: SparkSession, base: str, schema: T.StructType = KEPT_CLICK)
 
 def read_listed(spark: SparkSession, base: str) -> DataFrame:
     """The blacklist: each user on it once."""
-    return spark.read.parquet(f"{base}/{KEPT}").where("listed").select("userid")
+    mark = T.StructType([KEPT_CLICK["userid"], KEPT_CLICK["listed"]])
+    return read_kept(spark, base, mark).where("listed").select("userid")

@@ -144,11 +144,11 @@ def test_a_batch_run_again_changes_nothing(spark, clicks, log, rows):
     """The step of a batch that failed half way is repeated with the same id and input."""
     for part in BATCHES[:2]:
         log.add(clicks(*part))
-    log.run(streams.start_blacklist, threshold=3)
+    run = str(log.run(streams.start_blacklist, threshold=3).id)
     before = rows(streams.read_user_counts(spark, log.base)), rows(streams.read_blacklist(spark, log.base))
     last = clicks(*BATCHES[1])
     for exact in (False, False):
-        streams._record(*streams._screen(last, 1, log.base, 3, exact), 1, log.base)
+        streams._record(*streams._screen(last, 1, log.base, 3, exact, run), 1, log.base, run)
     after = rows(streams.read_user_counts(spark, log.base)), rows(streams.read_blacklist(spark, log.base))
     assert before == after
 
@@ -179,7 +179,7 @@ def test_minutes(spark, clicks, log, rows):
     for part in parts:
         log.add(part)
     query = log.run(streams.start_minute_clicks)
-    trend = streams.read_latest_trend(spark, log.base)
+    trend = streams.read_trend(spark, log.base)
     assert rows(trend) == [(DAY, "07", "59", 1, 1), (DAY, "08", "00", 1, 2), (DAY, "08", "01", 1, 1),
                            (DAY, "08", "59", 2, 1)]
     assert [r[1:3] for r in rows(streams.last_minutes(trend))] == [("08", "00"), ("08", "01"), ("08", "59")]
@@ -188,6 +188,80 @@ def test_minutes(spark, clicks, log, rows):
     assert report[0]["until_offset"] == report[1]["from_offset"]
 
 
+@pytest.fixture
+def zone(spark):
+    def use(name):
+        spark.conf.set("spark.sql.session.timeZone", name)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    yield use
+    use(before)
+
+
+def at_millis(spark, *seconds):
+    """Clicks at given seconds of the epoch."""
+    lines = spark.createDataFrame([(f"{s}000 1 1 1 1",) for s in seconds], "value string")
+    return parse_clicks(lines)
+
+
+def test_a_local_day_is_one_count(spark, zone, log, rows):
+    zone("Asia/Shanghai")
+    start = 1704816000                       # 2024-01-10 00:00 there
+    parts = [(start + 3600,), (start + 10 * 3600, start + 23 * 3600), (start + 24 * 3600,)]
+    for part in parts:
+        log.add(at_millis(spark, *part))
+    log.run(streams.start_stat, watermark="1 hour")
+    bounded = ads.ad_stat(at_millis(spark, *[s for part in parts for s in part]))
+    assert rows(streams.read_latest_stat(spark, log.base)) == rows(bounded)
+    assert [r[-1] for r in rows(bounded)] == [3, 1]
+
+
+def test_minutes_of_the_hour_a_clock_shows_twice(spark, zone, log, rows):
+    zone("America/New_York")
+    first = 1730611800                       # 2024-11-03 01:30, and again an hour later
+    for s in (first, first + 3600, first + 3601):
+        log.add(at_millis(spark, s))
+    log.run(streams.start_minute_clicks)
+    bounded = ads.minute_clicks(at_millis(spark, first, first + 3600, first + 3601))
+    assert rows(streams.read_trend(spark, log.base)) == rows(bounded) == [("2024-11-03", "01", "30", 1, 3)]
+
+
+def test_late_clicks_count(spark, clicks, log, rows):
+    data = [(f"{DAY} 12:00:00", 1, 1), (f"{DAY} 12:30:00", 1, 1), (f"{DAY} 13:00:00", 1, 1), (f"{DAY} 10:30:00", 1, 1)]
+    for row in data:
+        log.add(clicks(row))
+    log.run(streams.start_minute_clicks)
+    log.run(streams.start_sliding_clicks, checkpoint=f"{log.root}/sliding")
+    assert rows(streams.read_trend(spark, log.base)) == rows(ads.minute_clicks(clicks(*data)))
+    assert rows(streams.read_sliding(spark, log.base)) == rows(ads.sliding_clicks(clicks(*data)))
+
+
+def test_a_new_checkpoint_adds_to_the_tables(spark, clicks, rows, tmp_path):
+    old, new = (Log(spark, str(tmp_path / name)) for name in ("old", "new"))
+    new.base = old.base
+    first = [(f"{DAY} 08:00:0{i}", 1, 1) for i in range(5)]
+    for one, data in ((old, first), (new, [(f"{DAY} 09:00:00", 1, 1)])):
+        one.add(clicks(*data))
+        one.run(streams.start_ad_job, threshold=6)
+    everything = clicks(*first, (f"{DAY} 09:00:00", 1, 1))
+    assert rows(streams.read_stat(spark, old.base)) == rows(ads.ad_stat(everything))
+    assert rows(streams.read_user_counts(spark, old.base)) == [(DAY, 1, 1, 6)]
+    assert rows(streams.read_blacklist(spark, old.base)) == [(1,)]
+    assert rows(streams.read_province_top(spark, old.base)) == rows(ads.province_top_ads(ads.ad_stat(everything)))
+
+
+def test_rankings_that_no_click_touches_stay(spark, clicks, log, rows):
+    import pathlib
+    log.add(clicks(("2024-01-10 08:00:00", 1, 1)))
+    log.run(streams.start_province_top)
+    files = {f: f.stat().st_mtime_ns for f in pathlib.Path(log.base, streams.TOP3).rglob("*.parquet")}
+    for i in range(3):
+        log.add(clicks((f"2024-01-20 08:00:0{i}", 1, 1)))
+    log.run(streams.start_province_top)
+    assert files and all(f.stat().st_mtime_ns == t for f, t in files.items())
+    assert [(r[0], r[-1]) for r in rows(streams.read_province_top(spark, log.base))] == [
+        ("2024-01-10", 1), ("2024-01-20", 3)]
+
+
 def test_sliding_windows_equal_the_bounded_form(spark, clicks, log, rows):
     """All windows that the watermark has closed; a late marker click closes those of the data."""
     data = [(f"{DAY} 08:0{m}:{s:02}", u, u % 2) for m, s, u in

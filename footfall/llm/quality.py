@@ -31,7 +31,7 @@ BUCKETS, GRAMS = 1 << 16, (2, 3, 4)
 SAMPLE = 8000            # labelled texts learned from, at most
 DIMENSIONS, EPOCHS, RATE = 8, 6, 0.5
 PAIR_SEED, REPEAT = U(77), 0
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 
 def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

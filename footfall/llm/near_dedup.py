@@ -37,6 +37,7 @@ from footfall.runtime import stored
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5   # a pair of likeness 0.8 meets in a band with probability 0.99995
 SMALL, CHUNK = 8, 2000
+SIGN_BYTES, UNIT_BYTES = 2 << 20, 1 << 20   # of text worked on at once
 U = np.uint64
 NODE = "node binary"
 
@@ -205,7 +206,7 @@ def band_hashes(texts: list[bytes], bands: int = BANDS, rows: int = ROWS) -> tup
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, texts in in_blocks(batches, "text"):
+    for rows, texts in in_blocks(batches, "text", SIGN_BYTES):
         keys, has_words = band_hashes(texts)
         ends = np.cumsum(np.where(has_words, BANDS, 0))
         yield pa.RecordBatch.from_arrays(
@@ -214,7 +215,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, texts in in_blocks(batches, "text", limit=1 << 20):
+    for rows, texts in in_blocks(batches, "text", UNIT_BYTES):
         keys, ends = units(Words(texts))
         yield pa.RecordBatch.from_arrays([rows.column(0), list_array(keys.view(np.int64), ends)], ["node", "units"])
 

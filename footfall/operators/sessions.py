@@ -119,20 +119,27 @@ def join_users(sessions: DataFrame, users: DataFrame, flt: SessionFilter = NO_FI
     return sessions.join(_where_all(users, flt.on_users()), "user_id", "inner")
 
 
+def kept_user_ids(users: DataFrame, flt: SessionFilter = NO_FILTER) -> DataFrame:
+    """The users that pass the user half of ``flt``."""
+    return _where_all(users, flt.on_users()).select("user_id")
+
+
 def kept_sessions(actions: DataFrame, users: DataFrame, flt: SessionFilter = NO_FILTER) -> DataFrame:
-    """The sessions that pass ``flt``, rolled up and without user attributes."""
-    keep = _where_all(users, flt.on_users()).select("user_id")
-    return session_rollup(actions, flt=flt).join(keep, "user_id", "left_semi")
+    """The sessions that pass ``flt``, rolled up and without user attributes.
+
+    A session is taken to belong to one user; of one with several users the smallest id decides.
+    """
+    return session_rollup(actions, flt=flt).join(kept_user_ids(users, flt), "user_id", "left_semi")
 
 
 def kept_actions(actions: DataFrame, users: DataFrame, flt: SessionFilter = NO_FILTER) -> DataFrame:
     """The actions of the sessions that pass ``flt``.
 
-    A session belongs to one user, so a filter on users alone is a semi join on ``user_id``
-    with no session shuffle at all; only behaviour filters need the sessions first.
+    A session is taken to belong to one user, so a filter on users alone is a semi join on ``user_id``
+    with no session shuffle at all; only behaviour filters need the sessions first.  Of a session with
+    several users the actions of those that pass are kept.
     """
-    keep = _where_all(users, flt.on_users()).select("user_id")
-    kept = actions.join(keep, "user_id", "left_semi").select(*actions.columns)
+    kept = actions.join(kept_user_ids(users, flt), "user_id", "left_semi").select(*actions.columns)
     hits = flt.on_actions()
     if not hits:
         return kept

@@ -63,6 +63,10 @@ def _kept_actions(spark, d, flt=sessions.NO_FILTER):
     return sessions.kept_actions(views.visit_actions(spark, d), views.users(spark, d), flt)
 
 
+def _of_users(step):
+    return lambda spark, d: step(views.visit_actions(spark, d), views.users(spark, d))
+
+
 def _packed_ids(actions: DataFrame) -> DataFrame:
     """Orders and payments that name a second category, ``c<page>``, in the same field."""
     for name in ("order_category_ids", "pay_category_ids"):
@@ -188,13 +192,13 @@ QUERIES: dict[str, Query] = {
     "session_random_extract_exact": _random_extract(LARGE_SAMPLE, 0),
     "session_detail": _session_detail,
     # categories
-    "category_action_counts": lambda s, d: categories.category_action_counts(_kept_actions(s, d)),
-    "category_pivot": lambda s, d: categories.category_pivot(_kept_actions(s, d)),
-    "top10_category": lambda s, d: categories.top_categories(_kept_actions(s, d)),
-    "top10_category_exploded": lambda s, d: categories.top_categories(
-        _packed_ids(_kept_actions(s, d)), explode_ids=True),
-    "session_category_clicks": lambda s, d: categories.session_category_clicks(_kept_actions(s, d)),
-    "top10_session": lambda s, d: categories.top_sessions(_kept_actions(s, d)),
+    "category_action_counts": _of_users(categories.kept_category_counts),
+    "category_pivot": _of_users(lambda a, u: categories.pivot_counts(categories.kept_category_counts(a, u))),
+    "top10_category": _of_users(categories.kept_top_categories),
+    "top10_category_exploded": _of_users(
+        lambda a, u: categories.kept_top_categories(_packed_ids(a), u, explode_ids=True)),
+    "session_category_clicks": _of_users(categories.kept_session_category_clicks),
+    "top10_session": _of_users(categories.kept_top_sessions),
     # page flow
     "start_page_pv": lambda s, d: funnel.start_page_views(views.visit_actions(s, d), FLOW),
     "session_page_pairs": _page_pairs_all,

@@ -1,4 +1,4 @@
-from footfall.operators import categories
+from footfall.operators import categories, sessions
 
 
 def test_an_action_counts_once_click_first(actions, rows):
@@ -35,6 +35,42 @@ def test_top_sessions_ties_go_by_id(actions, rows):
     assert ("rare", "z", 1) in rows(categories.top_sessions(df, n_categories=2))
 
 
+def test_counting_before_the_users_gives_the_same(spark, actions, users, rows):
+    """Half of the actions are of a user that is not kept; filters on behaviour go by the sessions."""
+    def some(user):
+        return actions([(f"s{user}{i % 4}", i, {("click_category_id", "pay_category_ids", "order_category_ids")[i % 3]:
+                        str(i % 5), "search_keyword": "tea" if i == 3 else ""}) for i in range(40)], user=user)
+
+    every, people = some(1).union(some(2)), users((1, 30, "a", "x", "male"), (3, 30, "a", "x", "male"))
+    for flt in (sessions.NO_FILTER, sessions.SessionFilter(keywords="tea")):
+        kept = sessions.kept_actions(every, people, flt)
+        assert kept.count() == (10 if flt.keywords else 40)
+        assert rows(categories.kept_category_counts(every, people, flt)) == rows(
+            categories.category_action_counts(kept))
+        assert rows(categories.pivot_counts(categories.kept_category_counts(every, people, flt))) == rows(
+            categories.category_pivot(kept))
+        assert categories.kept_top_categories(every, people, flt, 3).collect() == categories.top_categories(
+            kept, 3).collect()
+        assert rows(categories.kept_session_category_clicks(every, people, flt)) == rows(
+            categories.session_category_clicks(kept))
+        assert rows(categories.kept_top_sessions(every, people, flt, 2, 2)) == rows(categories.top_sessions(kept, 2, 2))
+
+
+def test_users_meet_counts_not_actions(spark, actions, users):
+    """With broadcasts off, what is shuffled by user alone has been counted before."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = actions([("s", 0, {"click_category_id": "x"})])
+        plan = categories.kept_top_categories(df, users((1, 30, "a", "x", "male")))
+        lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(user_id" in line]
+    counted = [i for i in at if any("Aggregate" in line and "count(1)" in line for line in lines[i + 1:i + 4])]
+    assert counted and all(i in counted or "category_id" not in lines[i] for i in at)
+
+
 def test_busy_category_is_cut_before_the_shuffle(actions):
     plan = categories.top_sessions(actions([("s", 0, {"click_category_id": "x"})]))
     text = plan._jdf.queryExecution().executedPlan().toString()

@@ -14,16 +14,23 @@ from pyspark.sql import functions as F
 
 from footfall.functions import as_list, flow_pairs, ratio
 from footfall.operators.sessions import with_task
+from footfall.operators.skew import with_slices
 
 SLICE_SECONDS = 600
 
 
 def _in_slices(actions: DataFrame, tiebreak: Iterable[str], slice_seconds: int) -> DataFrame:
-    """Each action with the page after it in its slice, and whether it is the slice's first or last."""
+    """Each action with the page after it in its slice, and whether it is the slice's first or last.
+
+    A slice is a span of ``slice_seconds``.  Sessions with more than a set share of all actions are cut at quantiles of
+    their own times as well, so an id that much of the traffic shares is spread however short its time is;
+    only actions of one and the same instant always stay together.
+    """
     w = Window.partitionBy("session_id", "_slice").orderBy("action_time", *tiebreak)
-    at = F.unix_seconds(F.col("action_time").cast("timestamp"))
-    return (actions.select("session_id", "page_id", "action_time", *tiebreak,
-                           F.floor(at / slice_seconds).alias("_slice"))
+    at = F.col("action_time").cast("timestamp")
+    timed = actions.select("session_id", "page_id", "action_time", *tiebreak, (-F.unix_micros(at)).alias("_before"))
+    return (with_slices(timed, ["session_id"], "_before").withColumn(
+                "_slice", F.struct(F.floor(F.unix_seconds(at) / slice_seconds).alias("span"), F.col("_slice").alias("part")))
             .select("session_id", "_slice", "page_id",
                     F.lead("page_id").over(w).alias("_next"),
                     (F.row_number().over(w) == 1).alias("_first"),

@@ -35,6 +35,17 @@ def test_rate_may_exceed_one(actions):
     assert [r.rate for r in funnel.page_convert_rate(df, "1,2,3").collect()] == [1.0, 2.0]
 
 
+def test_a_busy_session_is_cut_by_its_own_times(spark, actions):
+    """A third of all actions is in one session, all within one span of time."""
+    df = actions([("busy", i % 500, {"page_id": "1"}) for i in range(1000)]
+                 + [(f"s{i % 400}", i % 500, {"page_id": "2"}) for i in range(2000)])
+    sizes = funnel._in_slices(df, ("event_id",), 600).where("session_id = 'busy'").groupBy("_slice").count()
+    found = sorted((tuple(r["_slice"]), r["count"]) for r in sizes.collect())
+    assert len(found) > 60 and max(n for _, n in found) <= 40 and sum(n for _, n in found) == 1000
+    pairs = funnel.session_page_pairs(df, ("event_id",)).groupBy("from_page").count()
+    assert {r.from_page: r["count"] for r in pairs.collect()} == {"1": 999, "2": 1600}
+
+
 @pytest.mark.parametrize("slice_seconds", [1, 7, 600, 10**9])
 def test_slices_do_not_change_the_pairs(actions, slice_seconds):
     """Pairs within and across slices together are those of one ordered walk through a session."""

@@ -3,10 +3,11 @@
 Events of the standard library's parser build a page's lines (the text of one block element each, white space as one
 blank) without a tree.  A line's ratio is its characters per tag; ratios are smoothed by a Gaussian over neighbouring
 lines, and lines at or above the threshold (a share of the mean) are content.  Neighbouring content lines are clusters.
-The innermost section of the page that holds nearly all of the clusters' text, and the title if it is not an article
-element, is the article, and its lines are the result, short ones too.  Lines in elements that are never article text (menus, headers, footers, asides, forms, scripts), or
+The article element that holds nearly all of the clusters' text, or else the innermost section that holds all of it and the
+title, is the article, and its lines are the result, short ones too.  Lines in elements that are never article text (menus, headers, footers, asides, forms, scripts), or
 whose class, id or role says so (adverts, notices, comments, ...), neither count nor are returned; nor, outside an
-article element, lines that are mostly links.
+article element, menus: lines that are mostly links, have less text to a tag than content has, and stand in a section or list
+that is mostly links (a section of one line counts with the section around it).
 
 Edge cases.  Null and empty pages, and pages without content, have an empty text.  Elements that are never closed end with
 their parent, broken markup is read as the parser reads it, and nothing is cut: very long pages are read whole.
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from footfall.llm.blocks import utf8
 
-SIGMA, THRESHOLD, HOLDS, LINKS = 1.0, 0.3, 0.9, 0.5
+SIGMA, THRESHOLD, HOLDS, LINKS = 1.0, 0.3, 0.9, 0.5   # HOLDS: of an article element; other sections hold all
 # Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset("head title script style noscript template svg math iframe object canvas audio video nav aside footer form "
@@ -35,6 +36,7 @@ NEVER = frozenset("head title script style noscript template svg math iframe obj
 BREAKS = frozenset("html body article main section div header hgroup address p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote "
                    "pre figure figcaption table caption thead tbody tfoot tr hr details summary center".split()) | NEVER - {"label"}
 SECTIONS = frozenset("html body article main section div td".split())
+LISTS = frozenset("ul ol dl table".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TRACKED = BREAKS | SECTIONS
 HINTS = frozenset("ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner nav navbar "
@@ -49,25 +51,26 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+").findall
 
 
 class Lines(HTMLParser):
-    """The lines of a page: (text, tags, characters in links, path of sections, never content, name of its heading)."""
+    """The lines of a page: (text, tags, characters in links, path of sections, never content, name of its heading, groups)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []   # open block elements: name, never content, section
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, str]] = []
+        self.stack: list[tuple[str, bool, int, int]] = []   # open block elements: name, never content, section, group
+        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, str, tuple[int, ...]]] = []
         self.sections: list[str] = []
         self.parts: list[str] = []
-        self.tags = self.linked = self.link = 0
+        self.tags = self.linked = self.link = self.groups = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(section for _, _, section in self.stack if section >= 0)
-            never = any(bad for _, bad, _ in self.stack)
-            heading = next((name for name, _, _ in self.stack[-2:] if name in HEADINGS), "")
-            if any(name == "header" for name, _, _ in self.stack):
-                never |= not heading or not any(name in ("article", "main") for name, _, _ in self.stack)
-            self.lines.append((text, self.tags, min(self.linked, len(text)), path, never, heading))
+            path = tuple(section for _, _, section, _ in self.stack if section >= 0)
+            groups = tuple(group for *_, group in self.stack if group >= 0)[-2:]
+            never = any(bad for _, bad, _, _ in self.stack)
+            heading = next((name for name, *_ in self.stack[-2:] if name in HEADINGS), "")
+            if any(name == "header" for name, *_ in self.stack):
+                never |= not heading or not any(name in ("article", "main") for name, *_ in self.stack)
+            self.lines.append((text, self.tags, min(self.linked, len(text)), path, never, heading, groups))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
@@ -86,11 +89,14 @@ class Lines(HTMLParser):
         elif tag in ("article", "main"):
             while self.stack and self.stack[-1][0] in ("nav", "header", "p", "ul", "li"):
                 self.stack.pop()
-        section = -1
+        section = group = -1
         if tag in SECTIONS:
             section = len(self.sections)
             self.sections.append(tag)
-        self.stack.append((tag, tag in NEVER or named_so(tag, attrs), section))
+        if tag in SECTIONS or tag in LISTS:
+            group = self.groups
+            self.groups += 1
+        self.stack.append((tag, tag in NEVER or named_so(tag, attrs), section, group))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -164,10 +170,11 @@ def main_text(html: str) -> str:
         return ""
     ratios = np.array([len(text) / max(1, tags) for text, tags, *_ in lines])
     level = smoothed(ratios)
-    content = level >= THRESHOLD * level.mean()
+    least = THRESHOLD * level.mean()
+    menu = menus(lines, ratios, least)
     mass: dict[int, int] = {}
     total = 0
-    for line, chosen in zip(lines, content.tolist()):
+    for line, chosen in zip(lines, ((level >= least) & ~menu).tolist()):
         if chosen:
             total += len(line[0])
             for section in line[3]:
@@ -175,12 +182,32 @@ def main_text(html: str) -> str:
     best = -1
     title = next((line[3] for level in ("h1", "h2") for line in lines if line[5] == level), None)
     for section in sorted(mass):   # a section's number is above those of the sections around it
-        named = page.sections[section] in ("article", "main") or title is None or section in title
-        if mass[section] >= HOLDS * total and named and (best < 0 or page.sections[best] not in ("article", "main")):
+        element = page.sections[section] in ("article", "main")
+        named = element or title is None or section in title
+        if mass[section] >= (HOLDS if element else 1) * total and named and (
+                best < 0 or page.sections[best] not in ("article", "main")):
             best = section
     article = any(page.sections[s] in ("article", "main") for line in lines for s in line[3] if best in line[3] and s <= best)
-    return "\n".join(text for text, _, linked, path, _, heading in lines
-                     if (best < 0 or best in path) and (article or heading or linked < LINKS * len(text)))
+    return "\n".join(line[0] for line, left_out in zip(lines, menu.tolist())
+                     if (best < 0 or best in line[3]) and (article or line[5] or not left_out))
+
+
+def menus(lines: list[tuple], ratios: np.ndarray, least: float) -> np.ndarray:
+    """Which lines are of menus: mostly links, with a ratio below ``least``, in a section or list that is mostly links."""
+    sizes: dict[int, int] = {}
+    for line in lines:
+        for group in line[6][-1:]:
+            sizes[group] = sizes.get(group, 0) + 1
+    # A section of one line is a paragraph of the section around it.
+    homes = [(groups[0] if len(groups) > 1 and sizes[groups[-1]] == 1 else groups[-1]) if groups else -1
+             for *_, groups in lines]
+    chars: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    for line, home in zip(lines, homes):
+        chars[home] = chars.get(home, 0) + len(line[0])
+        linked[home] = linked.get(home, 0) + line[2]
+    return np.array([line[2] >= LINKS * len(line[0]) and ratio < least and linked[home] >= LINKS * chars[home]
+                     for line, ratio, home in zip(lines, ratios.tolist(), homes)], bool)
 
 
 def extracted(html: str = "html") -> Column:

@@ -2,7 +2,10 @@
 
 The canonical form of a text is what remains when case, punctuation and white space are taken away, lines that
 state a copyright are left out, and equivalent spellings are made one.  A whole text, and each of its lines as a text of its
-own, is a known licence if the digest of its canonical form is one.  Everything is column expressions and one join.
+own, is a known licence if the digest of its canonical form is one.  Notices that follow a copyright statement on its line are
+looked up too.  The entire texts in ``license_texts`` are known as whole texts, and inside longer ones by their blocks (what
+stands between blank lines, with or without a first line, which may be a title): a text that has all blocks of one holds
+it.  Everything is column expressions and one join.
 
 Edge cases.  Null and empty texts match nothing (as does all that is empty in canonical form).  Only letters and digits
 of ASCII count, so texts in other scripts match nothing.  Repeated rows each have a row.  Only id and text are read.
@@ -11,6 +14,7 @@ of ASCII count, so texts in other scripts match nothing.  Repeated rows each hav
 from __future__ import annotations
 
 import string
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,13 +55,22 @@ SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("acknowledgement
              ("organisation", "organization"), ("merchantibility", "merchantability"), ("per cent", "percent")]
 VERSION = " v *([0-9])"
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+# The entire texts as (licence, text); of one licence there may be several, in other layouts.
+TEXTS = [(path.stem.removesuffix(".2"), path.read_text()) for path in sorted(
+    (Path(__file__).parent / "license_texts").glob("*.txt"))] + [NOTICES[-1]]
+CUE = "warrant|licen[sc]e"   # in every entire text, so texts without it are not cut in blocks
+TITLE_WORDS = 8        # shorter blocks, such as titles and headings, may be missing
+BLANK_LINES = r"\n(?:[ \t\r\f]*\n)+"
+TITLE_LINE = r"(?i)^\s*(?=[^\n]*licen[sc]e)[^\n]{0,60}\n"
+COPYRIGHT_HEAD = r"^(\s*(copyright|\(c\)|©)[^\n]*(\n|$))+"   # inside a block such a line may be one that was wrapped
+ENDORSEMENT = "neither the names? .{1,100}? nor the names of (its|their|other) contributors"
 
 
-def canonical(text: str | Column) -> Column:
+def canonical(text: str | Column, copyright: str = COPYRIGHT_LINE) -> Column:
     """The canonical form of a text; null is empty."""
     text = F.col(text) if isinstance(text, str) else text
     plain = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    plain = F.regexp_replace(plain, COPYRIGHT_LINE, "\n")
+    plain = F.regexp_replace(plain, copyright, "\n")
     plain = F.concat(F.lit(" "), F.regexp_replace(plain, "[^a-z0-9]+", "  "), F.lit(" "))
     plain = F.regexp_replace(plain, VERSION, " version  $1")
     for other, same in SPELLINGS:
@@ -71,29 +84,120 @@ def digest(text: str | Column) -> Column:
     return F.when(form != "", F.sha2(form.cast("binary"), 256))
 
 
+def block_form(text: Column) -> Column:
+    """The canonical form of a block, without a list number before it and the holder's name in the endorsement clause."""
+    plain = F.regexp_replace(canonical(text, COPYRIGHT_HEAD), "^[0-9]+ ", "")
+    return F.regexp_replace(plain, ENDORSEMENT, "neither the name of the holder nor the names of its contributors")
+
+
+def blocks(text: Column) -> Column:
+    """The distinct canonical blocks of a text, each also without its first line; none without ``CUE`` in the text."""
+    parts = F.split(text, BLANK_LINES)
+    rest = F.transform(parts, lambda part: F.regexp_replace(part, r"^\s*[^\n]*(\n|$)", ""))
+    found = F.array_distinct(F.transform(F.concat(parts, rest), block_form))
+    return F.when(text.rlike(f"(?i){CUE}"), F.filter(found, lambda form: form != "")).otherwise(
+        F.array().cast("array<string>"))
+
+
+def long_blocks(text: Column) -> Column:
+    """The distinct canonical blocks of a text that are longer than a title, in order."""
+    forms = F.array_distinct(F.transform(F.split(text, BLANK_LINES), block_form))
+    return F.filter(forms, lambda form: F.size(F.split(form, " ")) >= TITLE_WORDS)
+
+
+def sha256(form: Column) -> Column:
+    return F.sha2(form.cast("binary"), 256)
+
+
+def after_copyright(line: Column) -> Column:
+    """What may be a notice after the copyright statement of a line: all that follows a full stop, comma or semicolon."""
+    parts = F.split(line, r"[.,;] +")
+    rests = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda at: F.array_join(F.slice(parts, at, 1000), ". "))
+    return F.when(line.rlike(r"(?i)^[ \t]*(copyright|\(c\)|©)") & (F.size(parts) > 1), rests).otherwise(
+        F.array().cast("array<string>"))
+
+
 def known(spark: SparkSession, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
     """The known licences as (digest, license), one row per digest."""
+    return _digests(spark, notices).groupBy("digest").agg(F.min("license").alias("license"))
+
+
+def _digests(spark: SparkSession, notices: list[tuple[str, str]]) -> DataFrame:
     rows = F.inline(F.array(*[F.struct(F.lit(name).alias("license"), F.lit(text).alias("text"))
                               for name, text in notices]))
-    return (spark.range(1).select(rows).select(digest("text").alias("digest"), "license")
-            .groupBy("digest").agg(F.min("license").alias("license")))
+    return spark.range(1).select(rows).select(digest("text").alias("digest"), "license")
+
+
+def entire(spark: SparkSession, texts: list[tuple[str, str]] = TEXTS) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """The entire texts' blocks as (digest, number of the text, licence), and each text's licence and how many blocks it has.
+
+    A row with a licence and no number stands for all blocks of a text together.
+    """
+    rows = F.inline(F.array(*[F.struct(F.lit(i).alias("entire"), F.lit(text).alias("text"),
+                                       F.lit(without_title(text)).alias("body")) for i, (_, text) in enumerate(texts)]))
+    forms = spark.range(1).select(rows).select(
+        "entire", long_blocks(F.col("text")).alias("titled"), long_blocks(F.col("body")).alias("forms"))
+    found = forms.select("entire", F.array(*[sha256(F.array_join(c, " ")) for c in ("titled", "forms")]).alias("full"),
+                         F.transform("forms", sha256).alias("digests")).collect()   # bounded by TEXTS
+    counts = {r["entire"]: len(r["digests"]) for r in found}
+    digests = [(d, r["entire"], None) for r in found for d in r["digests"]]
+    digests += [(d, None, texts[r["entire"]][0]) for r in found for d in r["full"]]
+    return (spark.createDataFrame(digests, "digest string, entire int, full string"),
+            [(name, counts[i]) for i, (name, _) in enumerate(texts)])
+
+
+def without_title(text: str) -> str:
+    """The text from the first block on that is longer than a title."""
+    parts = text.strip().split("\n\n")
+    start = next(i for i, part in enumerate(parts) if len(part.split()) >= TITLE_WORDS)
+    return "\n\n".join(parts[start:])
 
 
 def scan(docs: DataFrame, licenses: DataFrame | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Each row's (id, digest, license, n_lines, licenses).
 
     ``digest`` is that of the whole canonical text and ``license`` what is known by it; ``n_lines`` counts lines that are a
-    known licence by themselves, and ``licenses`` lists them all, sorted, without repetition (the whole text's too).
+    known licence by themselves or after a copyright statement, and ``licenses`` lists them all, sorted, without
+    repetition (the whole text's too, and entire texts inside it).  With ``licenses`` given, only these are looked for.
     """
-    licenses = F.broadcast(known(docs.sparkSession)) if licenses is None else licenses   # as many as NOTICES at most
+    spark, counts = docs.sparkSession, []
+    if licenses is None:
+        parts, counts = entire(spark)
+        titled = [(name, form) for name, full in TEXTS for form in (full, without_title(full))]
+        rows = known(spark, [*NOTICES, *titled]).withColumn("entire", F.lit(None).cast("int")).unionByName(
+            parts, allowMissingColumns=True)
+        licenses = F.broadcast(rows.groupBy("digest").agg(   # as many as NOTICES and blocks of TEXTS at most
+            F.min("license").alias("license"), F.min("full").alias("full"), F.collect_set("entire").alias("entire")))
+    else:
+        licenses = licenses.select("digest", "license", F.lit(None).cast("string").alias("full"),
+                                   F.array().cast("array<int>").alias("entire"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda line: line != "")
+    given = F.coalesce("text", F.lit(""))
+    lines = F.filter(F.split(given, "\n"), lambda line: line != "")
+
+    def unit(kind: str, at: Column, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), at.cast("int").alias("line"), value.alias("digest"))
+
     units = rows.select("row", "id", F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), digest("text").alias("digest"))),
-        F.transform(lines, lambda line: F.struct(F.lit(False).alias("whole"), digest(line).alias("digest"))))).alias("unit"))
+        F.array(unit("whole", F.lit(-1), digest("text"))),
+        F.transform(lines, lambda line, i: unit("line", i, digest(line))),
+        F.flatten(F.transform(lines, lambda line, i: F.transform(
+            after_copyright(line), lambda rest: unit("line", i, digest(rest))))),
+        F.when(given.rlike(f"(?i){CUE}"), F.array(*[unit("full", F.lit(-1), sha256(F.array_join(long_blocks(of), " ")))
+                                                for of in (given, F.regexp_replace(given, TITLE_LINE, ""))]))
+        .otherwise(F.array()),
+        F.transform(blocks(given), lambda form: unit("block", F.lit(-1), sha256(form))))).alias("unit"))
     found = units.select("row", "id", "unit.*").join(licenses, "digest", "left")
-    return found.groupBy("row").agg(
-        F.first("id").alias(id_col), F.max(F.when(F.col("whole"), F.col("digest"))).alias("digest"),
-        F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
-        F.count_if(~F.col("whole") & F.col("license").isNotNull()).alias("n_lines"),
-        F.concat_ws(",", F.sort_array(F.collect_set("license"))).alias("licenses")).drop("row")
+    whole, line, full, block = (F.col("kind") == kind for kind in ("whole", "line", "full", "block"))
+    sums = found.groupBy("row").agg(
+        F.first("id").alias(id_col), F.max(F.when(whole, F.col("digest"))).alias("digest"),
+        F.coalesce(F.max(F.when(whole, F.col("license"))), F.max(F.when(full, F.col("full")))).alias("license"),
+        F.size(F.collect_set(F.when(line & F.col("license").isNotNull(), F.col("line"))))
+        .cast("long").alias("n_lines"),
+        F.collect_set(F.when(whole | line, F.col("license"))).alias("names"),
+        F.flatten(F.collect_list(F.when(block, F.col("entire")))).alias("entire"))
+    inside = F.array_compact(F.array(*[
+        F.when(F.size("entire") - F.size(F.array_remove("entire", i)) >= count, F.lit(name))
+        for i, (name, count) in enumerate(counts)])) if counts else F.array().cast("array<string>")
+    return sums.select(id_col, "digest", "license", "n_lines",
+                       F.concat_ws(",", F.sort_array(F.array_union("names", inside))).alias("licenses"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 
+from footfall.llm.chat import ATTACHED, AUDIO_NAMES, DOCUMENT_NAMES, EXPANSION, LOOKS, WORD
 from footfall.llm.licenses import COPYRIGHT_LINE, NOTICES, SPELLINGS, VERSION
 from footfall.llm.mixing import BLOCK_ROWS, schedule
 
@@ -77,8 +78,45 @@ SELECT doc_id, source, blocks.class AS mix_class, b AS mix_block, b * {_TOTAL} /
 FROM blocks JOIN places ON places.class = blocks.class AND places.k = b % part
 """
 
+SAYS_MARKS = "</s>[INST] ok [/INST]"
+
+_IS_AUDIO, _IS_DOCUMENT = (f"regexp_matches(lower(x), {_quoted(p)})" for p in (AUDIO_NAMES, DOCUMENT_NAMES))
+
+
+def _escaped(text: str) -> str:
+    return f"regexp_replace({text}, {_quoted(LOOKS)}, '\\1\\\\\\2\\3', 'g')"
+
+
+def _of_kind(what: int) -> str:
+    values = {k: (repr(v[what]) if what == 0 else v[what]) for k, v in EXPANSION.items()}
+    return f"CASE WHEN {_IS_AUDIO} THEN {values['audio']} WHEN {_IS_DOCUMENT} THEN {values['document']} ELSE {values['image']} END"
+
+
+# A placeholder takes the place of an attachment: its kind twice, its number (1, 3, 5, ... after the texts before it) and five signs.
+CHAT = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', {_quoted(SAYS_MARKS)}), (-7, 1, 'assistant', {_quoted(SAYS_MARKS)})),
+turns AS (
+    SELECT *, regexp_extract_all(text, {_quoted(ATTACHED)}) AS files,
+           regexp_replace(text, {_quoted(ATTACHED)}, chr(10), 'g') AS plain FROM rows),
+sizes AS (
+    SELECT *, len(files) AS n_files,
+           20 + length({_escaped('role')}) + length({_escaped('plain')}) - len(files)
+           + coalesce(list_sum(list_transform(files, lambda x, i: 2 * length({_of_kind(0)}) + 5 + length(CAST(2 * i - 1 AS VARCHAR)))), 0) AS chars,
+           len(regexp_extract_all(plain, {_quoted(WORD)})) + coalesce(list_sum(list_transform(files, lambda x: {_of_kind(1)})), 0) AS tokens
+    FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, CAST(sum(n_files) AS BIGINT) AS n_attachments, CAST(sum(tokens) AS BIGINT) AS n_tokens
+FROM sizes GROUP BY conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op4_licenses": LICENSES,
     "op7_mixing": MIXING,
     "op8_exact_dedup": EXACT_DEDUP,
+    "op11_chat": CHAT,
 }

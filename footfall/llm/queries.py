@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import (bpe, exact_dedup, extract, licenses, lm, mixing, near_dedup, quality, simhash,
+from footfall.llm import (bpe, chat, exact_dedup, extract, licenses, lm, mixing, near_dedup, quality, simhash,
                           warc)
-from footfall.llm.oracle import ORACLE, TARGETS, TARGETS_OTHER
+from footfall.llm.oracle import ORACLE, SAYS_MARKS, TARGETS, TARGETS_OTHER
+from footfall.runtime import stored
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -76,6 +77,16 @@ def op10_lm(spark, d):
     return lm.scores(read(spark, d, "documents"), held_out=quality.held_out("doc_id", 7, 2))
 
 
+def op11_chat(spark, d):
+    """All conversations and one more that says the template's own marks; written, then read back."""
+    number = F.col("id")
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), number.alias("turn"),
+                                F.when(number == 0, "user").otherwise("assistant").alias("role"), F.lit(SAYS_MARKS).alias("text"))
+    rows = read(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    chats = chat.formatted(rows.withColumn("parts", chat.parts_of_text("text")))
+    return chat.digests(stored(chats, "chats"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_bpe": op2_bpe,
@@ -87,4 +98,5 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_lm": op10_lm,
+    "op11_chat": op11_chat,
 }

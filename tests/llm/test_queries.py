@@ -24,7 +24,8 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = QUERIES[name](spark, SF)
     columns = sorted(found.columns)
     expected = con.sql(ORACLE[name])

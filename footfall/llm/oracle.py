@@ -114,9 +114,28 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sizes GROUP BY conv_id
 """
 
+TERMS = f"regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {TERMS} AS terms FROM documents),
+sizes AS (SELECT count(*) AS docs, sum(len(terms)) AS total FROM d WHERE len(terms) > 0),
+held AS (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+counts AS (SELECT row, doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, sizes GROUP BY term),
+asked AS (SELECT DISTINCT item, item_id, unnest(terms) AS term
+          FROM (SELECT row_number() OVER () AS item, item_id, {TERMS} AS terms FROM benchmark)),
+scores AS (SELECT item, item_id, row, doc_id,
+                  CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+           FROM asked JOIN counts USING (term) JOIN weights USING (term), sizes GROUP BY item, item_id, row, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op4_licenses": LICENSES,
     "op7_mixing": MIXING,
     "op8_exact_dedup": EXACT_DEDUP,
     "op11_chat": CHAT,
+    "op12_lexical_search": LEXICAL,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import (bpe, chat, exact_dedup, extract, licenses, lm, mixing, near_dedup, periodic, quality, simhash,
+from footfall.llm import (bpe, chat, exact_dedup, extract, lexical, licenses, lm, mixing, near_dedup, periodic, quality, simhash,
                           warc)
 from footfall.llm.oracle import ORACLE, SAYS_MARKS, TARGETS, TARGETS_OTHER
 from footfall.runtime import stored
@@ -87,6 +87,10 @@ def op11_chat(spark, d):
     return chat.digests(stored(chats, "chats"))
 
 
+def op12_lexical_search(spark, d):
+    return lexical.ranked(read(spark, d, "benchmark"), read(spark, d, "documents"))
+
+
 def op13_periodic_runs(spark, d):
     docs = read(spark, d, "documents").select("doc_id", "text")
     return periodic.run_digests(docs.withColumn("text", periodic.repeated_tail("text", "doc_id")))
@@ -104,5 +108,6 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_lm": op10_lm,
     "op11_chat": op11_chat,
+    "op12_lexical_search": op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }

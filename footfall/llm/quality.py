@@ -3,8 +3,9 @@
 A text's features are its words, the 2- to 4-byte grams of each word between marks, and its pairs of
 neighbouring words, all hashed into ``BUCKETS`` rows of an embedding table (a word that follows itself has one
 row of its own, whatever the word).  The embeddings of all features of the whole text are averaged, and
-a softmax over the two labels follows.  Both layers are learned by stochastic gradient descent in numpy
-from a bounded sample of the labelled texts (``SAMPLE`` rows, those with the smallest hash of their id).
+a softmax over the two labels follows.  Both layers are learned by stochastic gradient descent in numpy, in one task,
+from a bounded sample of the labelled texts: ``SAMPLE`` of them, those with the smallest hash of their id, as far as
+their features (distinct rows of a text) add up to ``SAMPLE_FEATURES``.  Only the weights come to the driver.
 
 A text's score needs one number per feature row, its embedding times the difference of the two outputs, so
 scoring adds up numbers per distinct word of a block and divides by the count of features.
@@ -24,11 +25,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.blocks import GOLDEN, Words, list_array, mixed, utf8
+from footfall.llm.blocks import GOLDEN, Words, mixed, utf8
 
 U = np.uint64
 BUCKETS, GRAMS = 1 << 16, (2, 3, 4)
 SAMPLE = 8000            # labelled texts learned from, at most
+SAMPLE_FEATURES = 32 << 20   # feature rows of these, at most (6 bytes each)
 DIMENSIONS, EPOCHS, RATE = 8, 6, 0.5
 PAIR_SEED, REPEAT = U(77), 0
 BLOCK = 1 << 20
@@ -146,7 +148,7 @@ def held_out(id_col: str | Column, parts: int = 3, part: int = 1) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
-          text: str = "text", sample: int = SAMPLE):
+          text: str = "text", sample: int = SAMPLE, sample_features: int = SAMPLE_FEATURES):
     """The model from labelled texts that are not held out, broadcast (its size is fixed).
 
     The sample's ids are chosen first, so the texts are read once and joined with at most ``sample`` rows.
@@ -161,16 +163,30 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
                 rows, counts, ends = features(utf8(part.column(1)))
+                cuts = list(zip([0, *ends[:-1]], ends))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), list_array(rows.astype(np.int32), ends),
-                     list_array(counts.astype(np.int32), ends)], ["id", "label", "rows", "counts"])
+                    [part.column(0), part.column(2),
+                     pa.array([rows[a:b].astype(np.uint16).tobytes() for a, b in cuts], pa.binary()),
+                     pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in cuts], pa.binary())],
+                    ["id", "label", "rows", "counts"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, left = [], sample_features
+        for batch in batches:
+            for i, y, rows, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                left -= len(rows) // 2
+                if left >= 0:   # once it is below, it stays below
+                    held.append((i, y, rows, counts))
+        held.sort()
+        weights, bias = fit([(np.frombuffer(rows, np.uint16), np.frombuffer(counts, np.uint32), y) for _, y, rows, counts in held])
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()]), pa.array([bias])], ["weights", "bias"])
 
     kind = dict(texts.dtypes)["id"]
-    table = texts.mapInArrow(extract, f"id {kind}, label int, rows array<int>, counts array<int>").toArrow()
-    samples = sorted(zip(table["id"].to_pylist(), table["label"].to_pylist(), range(table.num_rows)))
-    rows, counts = table["rows"].combine_chunks(), table["counts"].combine_chunks()
-    arrays = [(rows[i].values.to_numpy(), counts[i].values.to_numpy(), y) for _, y, i in samples]
-    return docs.sparkSession.sparkContext.broadcast(fit(arrays))
+    learned = (texts.mapInArrow(extract, f"id {kind}, label int, rows binary, counts binary").repartition(1)
+               .sortWithinPartitions(F.xxhash64("id"), "id", "label", "rows", "counts")
+               .mapInArrow(learn, "weights binary, bias double").first())
+    model = (np.frombuffer(learned.weights), learned.bias) if learned else fit([])
+    return docs.sparkSession.sparkContext.broadcast(model)
 
 
 def score(model, text: str = "text") -> Column:

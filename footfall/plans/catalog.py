@@ -235,6 +235,7 @@ QUERIES: dict[str, Query] = {
     # ad clicks, streaming
     "stream_ad_stat": _stream(streams.read_latest_stat, streams.start_stat),
     "stream_ad_stat_watermark": _stream(streams.read_latest_stat, streams.start_stat, watermark="1 day"),
+    "stream_compacted_stat": _stream(streams.read_latest_stat, streams.start_stat, parts=7, fold_every=2),
     "stream_ad_minute_clicks": _stream(streams.read_trend, streams.start_minute_clicks),
     "stream_ad_late_minutes": _stream(streams.read_trend, streams.start_minute_clicks, newest_first=True),
     "stream_ad_sliding": _screened(streams.read_sliding, streams.start_sliding_clicks),

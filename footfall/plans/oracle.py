@@ -352,6 +352,7 @@ ORACLE: dict[str, str] = {
     "stream_ad_job_user_click_count": _with(*_ads, select=USER_COUNT.format("click")),
     "stream_ad_job_province_top3": _with(*_ads, select=TOP3.format("click")),
     "stream_ad_job_trend_unfiltered": _with(CLICKS, select=TREND.format("all_click")),
+    "stream_compacted_stat": _with(CLICKS, select=STAT.format("all_click")),
     "stream_ad_stat_watermark": _with(CLICKS, select=STAT.format("all_click")),
     "stream_ad_late_minutes": _with(CLICKS, select=MINUTE.format("all_click")),
     "stream_ad_sliding": _with(*_ads, select=SLIDING),

@@ -6,6 +6,7 @@ folder and nothing else, so a batch that is run again after a failure replaces w
 every update happens exactly once, and a query that starts on a new checkpoint adds to what earlier runs left.
 The current value of a key is worked out on reading: the sum of its increments, or its latest value.
 Folders below the batch (``date=...``) let a reader or the next batch open the days it needs only.
+:mod:`footfall.sinks.versions` folds old batches into a base, so that what a reader opens does not grow with the batches.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RUN, BATCH = "run", "batch_id"
+from footfall.sinks import versions
+from footfall.sinks.versions import BATCH, RUN, by_folder
+
 ONE_RUN = "0"   # of callers that number all their batches themselves
 
 
@@ -33,14 +36,6 @@ def append_table(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 
 
-def by_folder(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring the rows of a folder together before writing, so that it gets few files.
-
-    A rebalance, unlike a repartition, splits a folder that is too large for one task.
-    """
-    return df.hint("rebalance", *partition_by) if partition_by else df
-
-
 def append_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Add rows to a folder of files."""
     by_folder(df, partition_by).write.mode("append").partitionBy(*partition_by).format(fmt).save(path)
@@ -66,16 +61,17 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType,
-                 before: int | None = None, run: str = ONE_RUN) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None,
+                 run: str = ONE_RUN, at: versions.Snapshot | None = None) -> DataFrame:
     """All rows of a keyed table with their ``run`` and ``batch_id``; with ``before``, of ``run`` only batches below it.
 
     A batch that asks for what was there before it must not see its own earlier attempt.  A table
-    nobody has written to yet is empty.
+    nobody has written to yet is empty.  ``at`` is the state to read, the newest one if not given.
     """
-    columns = T.StructType([*schema, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())])
-    rows = read_or_empty(spark, path, columns)
-    return rows if before is None else rows.where((F.col(RUN) != run) | (F.col(BATCH) < before))
+    seen = at or versions.snapshot(spark, path)
+    if before is None:
+        return versions.read(spark, path, schema, seen)
+    return versions.read(spark, path, schema, seen.before(run, before)).where((F.col(RUN) != run) | (F.col(BATCH) < before))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -89,18 +85,18 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_sums(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], value: str,
-              before: int | None = None, run: str = ONE_RUN) -> DataFrame:
+              before: int | None = None, run: str = ONE_RUN, at: versions.Snapshot | None = None) -> DataFrame:
     """A table of increments: each key with the sum of its increments."""
-    return (read_batches(spark, path, schema, before, run).groupBy(*keys).agg(F.sum(value).alias(value)))
+    return (read_batches(spark, path, schema, before, run, at).groupBy(*keys).agg(F.sum(value).alias(value)))
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], value: str,
-                before: int | None = None, run: str = ONE_RUN) -> DataFrame:
+                before: int | None = None, run: str = ONE_RUN, at: versions.Snapshot | None = None) -> DataFrame:
     """A table of set values: each key with the value of the latest batch that has it.
 
     Every run counts from nothing, so what several runs set for a key is added up.
     """
-    return (read_batches(spark, path, schema, before, run).groupBy(*keys, RUN)
+    return (read_batches(spark, path, schema, before, run, at).groupBy(*keys, RUN)
             .agg(F.max_by(value, BATCH).alias(value)).groupBy(*keys).agg(F.sum(value).alias(value)))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall import schemas
 from footfall.operators import ads
-from footfall.sinks import tables
+from footfall.sinks import tables, versions
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 UNTIL_NOW = {"availableNow": True}
@@ -95,11 +95,24 @@ def last_minutes(trend: DataFrame, minutes: int = 60) -> DataFrame:
 
 # ---- one batch ----------------------------------------------------------------------------
 
-def _in_days_of(table: DataFrame, rows: DataFrame) -> DataFrame:
-    """The days of a table from the first to the last of ``rows``; days are folders, and others are not opened."""
+def _in_days_of(table: DataFrame, rows: DataFrame, most: int = 1000) -> DataFrame:
+    """The days of a table that ``rows`` has; days are folders, and others are not opened.
+
+    With more than ``most`` different days, all from the first to the last.
+    """
+    days = [r[0] for r in rows.select("date").distinct().limit(most + 1).collect()]
+    if len(days) <= most:
+        return table.where(F.col("date").isin(days))
     return table.where(F.col("date").between(rows.agg(F.min("date")).scalar(), rows.agg(F.max("date")).scalar()))
 
 
+def _fold(spark: SparkSession, base: str, table: str, schema: T.StructType, keys: list[str], how: str, batch_id: int,
+          run: str, every: int) -> None:
+    """Now and then fold the batches of a table into its base; tables with days have them as folders."""
+    value, days = ("click_count", ["date"]) if how != versions.ROWS else (None, [])
+    versions.fold_sometimes(spark, f"{base}/{table}", schema, keys, value, how, batch_id, run, days, every)
+
+
 def _screen(batch: DataFrame, batch_id: int, base: str, threshold: int, exact: bool,
             run: str = tables.ONE_RUN) -> tuple[DataFrame, DataFrame]:
     """The clicks of a batch that count, and the users to put on the blacklist.
@@ -126,10 +139,13 @@ def _screen(batch: DataFrame, batch_id: int, base: str, threshold: int, exact: b
     return clicks, listed
 
 
-def _record(kept: DataFrame, listed: DataFrame, batch_id: int, base: str, run: str = tables.ONE_RUN) -> None:
+def _record(kept: DataFrame, listed: DataFrame, batch_id: int, base: str, run: str = tables.ONE_RUN,
+            fold_every: int = versions.FOLD_EVERY) -> None:
     """Add a screened batch to the user counts and the blacklist."""
     tables.write_batch(ads.click_counts(kept, ads.USER_KEYS), f"{base}/{USER_COUNTS}", batch_id, ["date"], run)
     tables.insert_new(listed, f"{base}/{BLACKLIST}", batch_id, schemas.AD_BLACKLIST, ["userid"], run)
+    _fold(kept.sparkSession, base, USER_COUNTS, schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS, versions.ADD, batch_id, run, fold_every)
+    _fold(kept.sparkSession, base, BLACKLIST, schemas.AD_BLACKLIST, ["userid"], versions.ROWS, batch_id, run, fold_every)
 
 
 def _province_step(changed: DataFrame, counts: DataFrame, base: str, top: int) -> None:
@@ -164,7 +180,8 @@ def _each_batch(df: DataFrame, step: Callable[[DataFrame, int, str], None], chec
 
 def start_ad_job(clicks: DataFrame, base: str, checkpoint: str, threshold: int = ads.BLACKLIST_THRESHOLD,
                  exact: bool = False, top: int = ads.TOP_ADS, trend_of_all: bool = False,
-                 trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, name: str | None = None,
+                 fold_every: int = versions.FOLD_EVERY) -> StreamingQuery:
     """All of the ad tables from one reading of the stream.
 
     Each batch in turn: drop blacklisted users, add to the user counts, extend the blacklist, add
@@ -179,12 +196,15 @@ def start_ad_job(clicks: DataFrame, base: str, checkpoint: str, threshold: int =
         kept, listed = _screen(batch, batch_id, base, threshold, exact, run)
         kept.persist()
         try:
-            _record(kept, listed, batch_id, base, run)
+            _record(kept, listed, batch_id, base, run, fold_every)
             tables.write_batch(ads.ad_stat(kept), f"{base}/{STAT}", batch_id, ["date"], run)
             tables.write_batch(ads.minute_clicks(batch if trend_of_all else kept), f"{base}/{TREND}",
                                batch_id, ["date"], run)
-            stat = read_stat(batch.sparkSession, base, batch_id + 1, schemas.like(schemas.AD_STAT, clicks), run)
+            schema = schemas.like(schemas.AD_STAT, clicks)
+            stat = read_stat(batch.sparkSession, base, batch_id + 1, schema, run)
             _province_step(kept, ads.province_counts(stat), base, top)
+            _fold(batch.sparkSession, base, STAT, schema, ads.STAT_KEYS, versions.ADD, batch_id, run, fold_every)
+            _fold(batch.sparkSession, base, TREND, schemas.AD_CLICK_TREND, ads.TREND_KEYS, versions.ADD, batch_id, run, fold_every)
         finally:
             kept.unpersist()
 
@@ -192,32 +212,37 @@ def start_ad_job(clicks: DataFrame, base: str, checkpoint: str, threshold: int =
 
 
 def start_blacklist(clicks: DataFrame, base: str, checkpoint: str, threshold: int = ads.BLACKLIST_THRESHOLD,
-                    exact: bool = False, trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                    exact: bool = False, trigger: dict | None = None, name: str | None = None,
+                    fold_every: int = versions.FOLD_EVERY) -> StreamingQuery:
     """The blacklist and the user counts only."""
     def step(batch: DataFrame, batch_id: int, run: str) -> None:
-        _record(*_screen(batch, batch_id, base, threshold, exact, run), batch_id, base, run)
+        _record(*_screen(batch, batch_id, base, threshold, exact, run), batch_id, base, run, fold_every)
 
     return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 
 
 def start_stat(clicks: DataFrame, base: str, checkpoint: str, watermark: str | None = None,
-               trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+               trigger: dict | None = None, name: str | None = None,
+               fold_every: int = versions.FOLD_EVERY) -> StreamingQuery:
     """Running counts per day, province, city and ad, with the state kept by Spark.
 
     A batch writes the counts that changed only.  Without a ``watermark`` every count is kept for
     good; with one, days that ended before it leave the state and their late clicks are dropped.
     """
-    return _running_counts(clicks, ads.STAT_KEYS, f"{base}/{STAT}", checkpoint, watermark, trigger, name)
+    return _running_counts(clicks, ads.STAT_KEYS, base, STAT, schemas.like(schemas.AD_STAT, clicks), checkpoint, watermark, trigger, name,
+                           fold_every)
 
 
 def start_user_counts(clicks: DataFrame, base: str, checkpoint: str, watermark: str | None = None,
-                      trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                      trigger: dict | None = None, name: str | None = None,
+                      fold_every: int = versions.FOLD_EVERY) -> StreamingQuery:
     """Running counts per day, user and ad, kept like those of :func:`start_stat`."""
-    return _running_counts(clicks, ads.USER_KEYS, f"{base}/{USER_COUNTS}", checkpoint, watermark, trigger, name)
+    return _running_counts(clicks, ads.USER_KEYS, base, USER_COUNTS, schemas.AD_USER_CLICK_COUNT, checkpoint, watermark, trigger, name,
+                           fold_every)
 
 
-def _running_counts(clicks: DataFrame, keys: list[str], path: str, checkpoint: str, watermark: str | None,
-                    trigger: dict | None, name: str | None) -> StreamingQuery:
+def _running_counts(clicks: DataFrame, keys: list[str], base: str, table: str, schema: T.StructType, checkpoint: str,
+                    watermark: str | None, trigger: dict | None, name: str | None, fold_every: int) -> StreamingQuery:
     if watermark:
         # The end of the local day is the event time, so a day is one row of state in any time zone.  It lies up to
         # 25 hours (where clocks go back) after the click, and the watermark waits for as much longer.
@@ -228,13 +253,15 @@ def _running_counts(clicks: DataFrame, keys: list[str], path: str, checkpoint: s
         counted = ads.daily_counts(clicks, keys)
 
     def step(batch: DataFrame, batch_id: int, run: str) -> None:
-        tables.upsert_set(batch, path, batch_id, ["date"], run)
+        tables.upsert_set(batch, f"{base}/{table}", batch_id, ["date"], run)
+        _fold(batch.sparkSession, base, table, schema, keys, versions.SET, batch_id, run, fold_every)
 
     return _each_batch(counted, step, checkpoint, name, trigger, "update")
 
 
 def start_province_top(clicks: DataFrame, base: str, checkpoint: str, top: int = ads.TOP_ADS,
-                       trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                       trigger: dict | None = None, name: str | None = None,
+                       fold_every: int = versions.FOLD_EVERY) -> StreamingQuery:
     """The favourite ads of each day and province, ranked anew when a batch touches them.
 
     Each batch adds its counts per day, province and ad to a table, reads the days it touched
@@ -247,25 +274,31 @@ def start_province_top(clicks: DataFrame, base: str, checkpoint: str, top: int =
         tables.write_batch(added, path, batch_id, ["date"], run)
         counts = tables.read_sums(batch.sparkSession, path, schema, ads.PROVINCE_KEYS, "click_count", batch_id + 1, run)
         _province_step(added, counts, base, top)
+        _fold(batch.sparkSession, base, PROVINCE_COUNTS, schema, ads.PROVINCE_KEYS, versions.ADD, batch_id, run, fold_every)
 
     return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 
 
 def start_minute_clicks(clicks: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
-                        name: str | None = None) -> StreamingQuery:
+                        name: str | None = None,
+                        fold_every: int = versions.FOLD_EVERY) -> StreamingQuery:
     """Clicks per minute and ad, however late they come: each batch adds its own counts to the table."""
     def step(batch: DataFrame, batch_id: int, run: str) -> None:
         tables.write_batch(ads.minute_clicks(batch), f"{base}/{TREND}", batch_id, ["date"], run)
+        _fold(batch.sparkSession, base, TREND, schemas.AD_CLICK_TREND, ads.TREND_KEYS, versions.ADD, batch_id, run, fold_every)
 
     return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 
 
 def start_sliding_clicks(clicks: DataFrame, base: str, checkpoint: str, slide: str = "30 seconds",
-                         trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                         trigger: dict | None = None, name: str | None = None,
+                         fold_every: int = versions.FOLD_EVERY) -> StreamingQuery:
     """Counts per pane of ``slide`` and ad, of which :func:`read_sliding` makes windows; late clicks are added too."""
     def step(batch: DataFrame, batch_id: int, run: str) -> None:
         panes = ads.pane_clicks(batch, slide).withColumn("date", ads.format_date(F.col("pane_end")))
         tables.write_batch(panes, _panes(base, slide), batch_id, ["date"], run)
+        versions.fold_sometimes(batch.sparkSession, _panes(base, slide), PANE, PANE_KEYS, "click_count", versions.ADD, batch_id, run,
+                                ["date"], fold_every)
 
     return _each_batch(clicks, step, checkpoint, name, trigger, "append")
 

@@ -113,21 +113,97 @@ def test_screening_of_a_busy_user_and_of_equal_times():
     few = pd.concat(screening.first_clicks(3)(iter([rows])))
     assert list(few["ts"].dt.second) == [0, 1, 2, 2]
 
-    class State:
-        exists, get = False, None
-
-        def update(self, value):
-            self.exists, self.get = True, value
-
-    state, step = State(), screening.screen_user(3, 2)
-    first = pd.concat(step((7,), iter([rows[:2], rows[2:0]]), state))
-    assert list(first["listed"]) == [False, False] and state.get == (False, [DAY], [1], [2])
+    user = User(screening.screen_user(3, 2))
+    first = user.step(rows[:2], rows[2:0])
+    assert list(first["listed"]) == [False, False] and user.counts() == {(DAY, 1): 2}
     later = rows[:1].assign(date="2024-01-12", ts=pd.Timestamp("2024-01-12"))
-    pd.concat(step((7,), iter([later]), state))
-    assert state.get == (False, ["2024-01-12"], [1], [1])     # two days on, the first day is forgotten
-    out = pd.concat(step((7,), iter([rows]), state))
+    user.step(later)
+    assert user.counts() == {("2024-01-12", 1): 1}     # two days on, the first day is forgotten
+    assert len(user.step(rows[:1])) == 1 and user.counts() == {("2024-01-12", 1): 1}   # and stays so
+    out = user.step(rows)
     assert list(out["ts"].dt.second) == [0, 1, 2, 2] and list(out["listed"]) == [False] * 3 + [True]
-    assert list(step((7,), iter([rows]), state)) == []
+    assert user.step(rows) is None and not user.counts()
+
+
+class User:
+    """The state of one user in memory, with a count of the entries a step touches."""
+
+    def __init__(self, processor):
+        self.touched, self.values, self.maps, self.processor = 0, {}, {}, processor
+        processor.init(self)
+
+    def getValueState(self, name, schema):
+        values = self.values
+
+        class Value:
+            def exists(self):
+                return name in values
+
+            def get(self):
+                return values.get(name)
+
+            def update(self, value):
+                values[name] = value
+
+            def clear(self):
+                values.pop(name, None)
+        return Value()
+
+    def getMapState(self, name, key, value):
+        user, held = self, self.maps.setdefault(name, {})
+
+        class Map:
+            def getValue(self, k):
+                user.touched += 1
+                return held.get(k)
+
+            def updateValue(self, k, v):
+                user.touched += 1
+                held[k] = v
+
+            def keys(self):
+                user.touched += len(held)
+                return iter(list(held))
+
+            def removeKey(self, k):
+                del held[k]
+
+            def clear(self):
+                held.clear()
+        return Map()
+
+    def step(self, *parts):
+        out = list(self.processor.handleInputRows((7,), iter(parts), None))
+        return pd.concat(out) if out else None
+
+    def counts(self):
+        return {k: v[0] for k, v in self.maps["clicks"].items()}
+
+
+def test_a_batch_touches_its_own_entries_only(monkeypatch):
+    """However many days and ads a user has, and however many rows one batch has of them."""
+    monkeypatch.setattr(screening, "MANY", 1000)
+    user = User(screening.screen_user(3, None))
+    many = pd.DataFrame({"ts": pd.Timestamp(f"{DAY} 08:00:00"), "province": 1, "city": 1, "userid": 7, "adid": range(50_000), "date": DAY})
+    assert len(user.step(*[many[i:i + 700] for i in range(0, 50_000, 700)])) == 50_000 and len(user.counts()) == 50_000
+    for day in range(11, 20):
+        user.touched = 0
+        one = many[:1].assign(date=f"2024-01-{day}", ts=pd.Timestamp(f"2024-01-{day}"))
+        user.step(one)
+        assert user.touched == 2
+    assert user.counts()[(DAY, 7)] == 1 and len(user.counts()) == 50_009
+
+
+def test_a_user_with_very_many_ads(spark, clicks, log):
+    """Through Spark's state store; the second run resumes from the checkpoint and lists the user."""
+    ids = spark.range(50_000)
+    frame = ids.selectExpr("timestamp_ntz'2024-01-10 08:00:00' AS ts", "1 AS province", "1 AS city", "7 AS userid", "id AS adid")
+    log.add(frame.select(*clicks((f"{DAY} 08:00:00", 1, 1)).columns))
+    log.run(screening.start_screening, threshold=2)
+    log.add(clicks((f"{DAY} 09:00:00", 7, 49_999), (f"{DAY} 10:00:00", 7, 3)))
+    log.run(screening.start_screening, threshold=2)
+    assert screening.read_kept(spark, log.base).count() == 50_001
+    assert [r.userid for r in screening.read_listed(spark, log.base).collect()] == [7]
 
 
 def test_job_by_batch_and_trend_of_all(spark, clicks, log, rows):

@@ -2,8 +2,8 @@
 
 Filters such as "the first of each group" are plain window filters: Spark then keeps only the
 first rows of a group per map task.  Functions that number *every* row of a group instead work on
-the ordered slices of :mod:`footfall.operators.skew`: local results plus what the slices before
-add up to.
+the ranges of :mod:`footfall.operators.ranges`: local results plus what the ranges before add up to.  They
+read the input twice, for the sample and for the pass, and write the local results out once.
 """
 
 from __future__ import annotations
@@ -11,37 +11,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.operators.skew import SHARE, SLICES, with_slices
+from footfall.operators.ranges import RANGES, ordered, part, with_carried, within
 from footfall.runtime import stored
 
 
-def _slice_offsets(sliced: DataFrame, keys: list[str], score: str, name: str) -> DataFrame:
-    """What the slices before each slice of a hot group add up to.
+def _numbers(keys: list[str], score: str, name: str) -> dict[str, Column]:
+    by_row, by_score = ordered(keys, score, name), ordered(keys, score)
+    return {"_row": F.row_number().over(by_row), "_rank": F.rank().over(by_score), "_dense": F.dense_rank().over(by_score),
+            "_n": F.count(F.lit(1)).over(part(keys))}
 
-    At most ``1 / share`` groups of ``slices`` slices each: small by construction.
-    """
-    per_score = (sliced.where("_hot").groupBy(*keys, "_slice", score)
-                 .agg(F.count(F.lit(1)).alias("_n"), F.min(name).alias("_name")))
-    per_slice = per_score.groupBy(*keys, "_slice").agg(
-        F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_scores"),
-        F.sum(F.col("_n") * F.col(score)).alias("_sum"),
-        F.min(score).alias("_low"), F.max(score).alias("_high"),
-        F.max_by("_name", score).alias("_top"))
-    w = Window.partitionBy(*keys).orderBy("_slice")
-    ahead = w.rowsBetween(Window.unboundedPreceding, -1)
-    return per_slice.select(
-        *keys, "_slice",
-        F.sum("_n").over(ahead).alias("_n_before"),
-        F.sum("_scores").over(ahead).alias("_scores_before"),
-        F.sum("_sum").over(ahead).alias("_sum_before"),
-        F.max("_high").over(ahead).alias("_high_before"),
-        F.first("_top").over(ahead).alias("_top_before"),
-        F.lag("_low").over(w).alias("_score_before"),
-        F.lead("_high").over(w).alias("_score_after"))
-
-
-def window_suite(df: DataFrame, keys: list[str], score: str, name: str, share: float = SHARE,
-                 slices: int = SLICES, default: int = 0) -> DataFrame:
+
+def _rank() -> Column:
+    """The rank in the group: that of the ranges before where the same score goes on from there."""
+    goes_on = F.coalesce("_tie", F.lit(False)) & (F.col("_rank") == 1)
+    return F.when(goes_on, F.col("_start")).otherwise(F.col("_rank") + F.coalesce("_n_before", F.lit(0)))
+
+
+def _neighbours(score: str, offset: int, default: int) -> tuple[Column, Column]:
+    """The scores ``offset`` rows before and after, taken from the next ranges at the ends of this one."""
+    first, last = F.col("_row") <= offset, F.col("_row") > F.col("_n") - offset
+    kept = F.coalesce(F.size("_before"), F.lit(0))
+    to_left = kept - offset + F.col("_row") - 1             # from 0
+    to_right = F.col("_row") + offset - F.col("_n") - 1
+    there = F.coalesce(F.size("_after"), F.lit(0))
+    lag = F.when(~first, F.col("_lag")).when(to_left >= 0, F.get("_before", to_left.cast("int"))).otherwise(F.lit(default))
+    lead = F.when(~last, F.col("_lead")).when(to_right < there, F.get("_after", to_right.cast("int"))).otherwise(F.lit(default))
+    return lag, lead
+
+
+def window_suite(df: DataFrame, keys: list[str], score: str, name: str, ranges: int = RANGES, default: int = 0) -> DataFrame:
     """Every row with the common window functions over its group, best score first.
 
     ``rank``, ``dense_rank``, ``row_number``, running ``count``/``sum``/``min``/``max``/``avg``,
@@ -49,82 +47,58 @@ def window_suite(df: DataFrame, keys: list[str], score: str, name: str, share: f
     (``default`` at the ends).  Rows of equal score are ordered by ``name``, which must be unique in
     a group.
     """
-    sliced = with_slices(df.select(*keys, name, score), keys, score, share, slices)
-    part = Window.partitionBy(*keys, "_slice")
-    by_row, by_score = part.orderBy(F.desc(score), name), part.orderBy(F.desc(score))
+    by_row = ordered(keys, score, name)
     running = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = sliced.select(
-        *keys, "_slice", name, score,
-        F.row_number().over(by_row).alias("_row"),
-        F.sum(score).over(running).alias("_sum"),
-        F.min(score).over(running).alias("_min"),
-        F.max(score).over(running).alias("_max"),
-        F.first(name).over(running).alias("_first"),
-        F.last(name).over(running).alias("_last"),
-        F.lag(score).over(by_row).alias("_lag"),
-        F.lead(score).over(by_row).alias("_lead"),
-        F.rank().over(by_score).alias("_rank"),
-        F.dense_rank().over(by_score).alias("_dense"))
-    offsets = F.broadcast(_slice_offsets(sliced, keys, score, name))
-    before = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("_n_before", "_scores_before", "_sum_before")}
-    count = F.col("_row") + before["_n_before"]
-    total = F.col("_sum") + before["_sum_before"]
-    return local.join(offsets, [*keys, "_slice"], "left").select(
+    rows = with_carried(within(df, keys, score, name, {
+        **_numbers(keys, score, name), "_sum": F.sum(score).over(running), "_min": F.min(score).over(running),
+        "_max": F.max(score).over(running), "_first": F.first(name).over(running),
+        "_lag": F.lag(score).over(by_row), "_lead": F.lead(score).over(by_row)}, ranges), keys, score, name)
+    count = F.col("_row") + F.coalesce("_n_before", F.lit(0))
+    total = F.when(F.col("_sum").isNull() | F.col("_sum_before").isNull(), F.coalesce("_sum", "_sum_before")).otherwise(
+        F.col("_sum") + F.col("_sum_before"))
+    lag, lead = _neighbours(score, 1, default)
+    return rows.select(
         *keys, name, score,
-        (F.col("_rank") + before["_n_before"]).cast("long").alias("rank"),
-        (F.col("_dense") + before["_scores_before"]).cast("long").alias("dense_rank"),
+        _rank().cast("long").alias("rank"),
+        (F.col("_dense") + F.coalesce("_scores_before", F.lit(0))).cast("long").alias("dense_rank"),
         count.cast("long").alias("row_number"),
         count.cast("long").alias("running_count"),
         total.alias("running_sum"),
-        F.col("_min").alias("running_min"),
-        F.greatest(F.col("_max"), F.col("_high_before")).alias("running_max"),
+        F.least("_min", "_low_before").alias("running_min"),
+        F.greatest("_max", "_high_before").alias("running_max"),
         (total.cast("double") / count).alias("running_avg"),
-        F.coalesce("_top_before", "_first").alias("first_value"),
-        F.col("_last").alias("last_value"),
-        F.coalesce("_lag", "_score_before", F.lit(default)).alias("lag_score"),
-        F.coalesce("_lead", "_score_after", F.lit(default)).alias("lead_score"))
-
-
-def _numbered(df: DataFrame, keys: list[str], score: str, name: str, share: float, slices: int,
-              number: Column, order: list) -> DataFrame:
-    """Every row with ``number`` within its slice plus the rows of the slices before."""
-    sliced = with_slices(df.select(name, *keys, score), keys, score, share, slices)
-    w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = (sliced.where("_hot").groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-              .select(*keys, "_slice", F.sum("_n").over(w).alias("_before")))
-    local = sliced.withColumn("_local", number.over(Window.partitionBy(*keys, "_slice").orderBy(*order)))
-    return local.join(F.broadcast(before), [*keys, "_slice"], "left").select(
-        name, *keys, score, (F.col("_local") + F.coalesce("_before", F.lit(0))).alias("rank"))
-
-
-def rank_per_group(df: DataFrame, keys: list[str], score: str, name: str, share: float = SHARE,
-                   slices: int = SLICES) -> DataFrame:
+        F.when(F.coalesce("_goes_on", F.lit(False)), F.col("_top_before")).otherwise(F.col("_first")).alias("first_value"),
+        F.col(name).alias("last_value"),
+        lag.alias("lag_score"), lead.alias("lead_score"))
+
+
+def _numbered(df: DataFrame, keys: list[str], score: str, name: str, ranges: int) -> DataFrame:
+    return with_carried(within(df, keys, score, name, _numbers(keys, score, name), ranges), keys, score, name)
+
+
+def rank_per_group(df: DataFrame, keys: list[str], score: str, name: str, ranges: int = RANGES) -> DataFrame:
     """Every row with its rank in the group (ties share a rank, gaps follow)."""
-    return _numbered(df, keys, score, name, share, slices, F.rank(), [F.desc(score)])
+    return _numbered(df, keys, score, name, ranges).select(name, *keys, score, _rank().alias("rank"))
 
 
-def row_number_per_group(df: DataFrame, keys: list[str], score: str, name: str, share: float = SHARE,
-                         slices: int = SLICES) -> DataFrame:
+def row_number_per_group(df: DataFrame, keys: list[str], score: str, name: str, ranges: int = RANGES) -> DataFrame:
     """Every row with its number in the group, ties in order of ``name``."""
-    return _numbered(df, keys, score, name, share, slices, F.row_number(), [F.desc(score), name])
+    number = F.col("_row") + F.coalesce("_n_before", F.lit(0))
+    return _numbered(df, keys, score, name, ranges).select(name, *keys, score, number.alias("rank"))
 
 
 def lag_lead_per_group(df: DataFrame, keys: list[str], score: str, name: str, offset: int = 1,
-                       default: int = 0, share: float = SHARE, slices: int = SLICES) -> DataFrame:
+                       default: int = 0, ranges: int = RANGES) -> DataFrame:
     """Every row with the scores ``offset`` rows before and after it in its group.
 
-    Rows are numbered once; a neighbour is then found by its number, which no two rows of a group
-    share, so these joins spread evenly whatever the size of a group.
+    A range hands the ``offset`` scores at its ends to the ranges next to it.
     """
-    rows = stored(row_number_per_group(df, keys, score, name, share, slices), "numbered")
-
-    def neighbours(shift: int, column: str) -> DataFrame:
-        return rows.select(*keys, (F.col("rank") + shift).alias("rank"), F.col(score).alias(column))
-
-    return (rows.join(neighbours(offset, "lag_score"), [*keys, "rank"], "left")
-            .join(neighbours(-offset, "lead_score"), [*keys, "rank"], "left")
-            .select(name, *keys, score, F.coalesce("lag_score", F.lit(default)).alias("lag_score"),
-                    F.coalesce("lead_score", F.lit(default)).alias("lead_score")))
+    by_row = ordered(keys, score, name)
+    rows = with_carried(within(df, keys, score, name, {
+        **_numbers(keys, score, name), "_lag": F.lag(score, offset).over(by_row), "_lead": F.lead(score, offset).over(by_row)},
+        ranges), keys, score, name, offset)
+    lag, lead = _neighbours(score, offset, default)
+    return rows.select(name, *keys, score, lag.alias("lag_score"), lead.alias("lead_score"))
 
 
 def top_per_group(df: DataFrame, keys: list[str], score: str, name: str, n: int = 1) -> DataFrame:

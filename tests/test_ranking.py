@@ -3,6 +3,7 @@ import random
 import pytest
 
 from footfall.operators import ranking, skew
+from footfall.operators.ranges import in_ranges
 
 SCORES = [("a", 1, 80), ("b", 1, 78), ("c", 1, 95), ("d", 2, 74), ("e", 2, 92), ("f", 3, 99), ("g", 3, 99),
           ("h", 3, 45), ("i", 3, 55), ("j", 3, 78)]
@@ -49,26 +50,64 @@ def brute(data, default=0):
     return out
 
 
-@pytest.mark.parametrize("share,slices", [(0.001, 128), (0.2, 4), (0.2, 16), (2.0, 8)])
-def test_suite_equals_brute_force_whether_groups_are_cut_or_not(spark, share, slices):
+@pytest.mark.parametrize("ranges", [128, 16, 3, 1])
+def test_suite_equals_brute_force_whether_groups_are_cut_or_not(spark, ranges):
     """One group has most of the rows, one many equal scores, the others are small."""
     rng = random.Random(11)
     data = ([(f"n{i:03}", 1, rng.randrange(1000)) for i in range(250)]
             + [(f"t{i:03}", 2, rng.choice([5, 5, 5, 9])) for i in range(100)]
             + [(f"r{i:03}", 3 + i % 9, rng.randrange(50)) for i in range(60)])
     df = spark.createDataFrame(data, COLUMNS)
-    got = ranking.window_suite(df, *ARGS, share=share, slices=slices).collect()
+    got = ranking.window_suite(df, *ARGS, ranges=ranges).collect()
     assert len(got) == len(data) and {tuple(r) for r in got} == brute(data)
 
 
-def test_lag_and_lead_by_any_offset(spark):
+@pytest.mark.parametrize("ranges", [1, 4, 32])
+def test_lag_and_lead_by_any_offset(spark, ranges):
     df = spark.createDataFrame([(f"n{i:02}", 1, i) for i in range(40)] + [("x", 2, 5)], COLUMNS)
     got = {r.name: (r.lag_score, r.lead_score)
-           for r in ranking.lag_lead_per_group(df, *ARGS, offset=7, default=-1, share=0.1, slices=4).collect()}
+           for r in ranking.lag_lead_per_group(df, *ARGS, offset=7, default=-1, ranges=ranges).collect()}
     assert got == {f"n{i:02}": (i + 7 if i + 7 < 40 else -1, i - 7 if i >= 7 else -1) for i in range(40)} | {
         "x": (-1, -1)}
 
 
+def test_equal_scores_do_not_share_a_range(spark):
+    """Nine in ten rows have one score; no range has more than twice the mean, and no rank is wrong."""
+    rows = spark.range(60_000).selectExpr("id AS name", "cast(0 AS int) AS class", "if(id % 10 = 0, id, 7) AS score").repartition(8)
+    sizes = [r["count"] for r in in_ranges(rows, *ARGS, ranges=16).groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 60_000 / 16
+    out = ranking.rank_per_group(rows, *ARGS, ranges=16).groupBy("score").agg({"rank": "min", "name": "count"}).collect()
+    above = sum(1 for i in range(0, 60_000, 10) if i > 7)
+    assert {r["min(rank)"] for r in out if r.score == 7} == {above + 1}
+    assert ranking.rank_per_group(rows, *ARGS, ranges=16).where("score = 7").select("rank").distinct().count() == 1
+
+
+def test_two_readings_and_no_self_join(spark, tmp_path):
+    spark.range(5000).selectExpr("id AS name", "id % 3 AS class", "id * 7 % 1000 AS score").write.parquet(f"{tmp_path}/scores")
+    df = spark.read.parquet(f"{tmp_path}/scores")
+    plan = in_ranges(df, *ARGS, ranges=8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan       # the other reading was for the sample
+    plan = ranking.lag_lead_per_group(df, *ARGS, offset=2, ranges=8)._jdf.queryExecution().executedPlan().toString()
+    assert f"{tmp_path}/scores" not in plan and "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+
+
+def test_nulls_and_numbers_that_are_none(spark):
+    """Null scores come last, NaN first; null groups are a group, and rows of one name stay."""
+    data = [(f"n{i:03}", None if i % 4 == 0 else i % 3, float("nan") if i % 11 == 0 else None if i % 7 == 0 else float(i % 9))
+            for i in range(400)] + [(None, None, 1.0), (None, 1, None)]
+    df = spark.createDataFrame(data, "name string, class int, score double").repartition(4)
+    order = "PARTITION BY class ORDER BY score DESC NULLS LAST"
+    df.createOrReplaceTempView("odd_scores")
+    expected = spark.sql(f"""SELECT name, class, score, rank() OVER ({order}) AS rank, row_number() OVER ({order}, name) AS number,
+        lag(score, 2, -1D) OVER ({order}, name) AS before, lead(score, 2, -1D) OVER ({order}, name) AS after FROM odd_scores""").collect()
+    text = lambda rows: sorted(str(tuple(r)) for r in rows)
+    assert text(ranking.rank_per_group(df, *ARGS, ranges=9).collect()) == text([r[:4] for r in expected])
+    assert text(ranking.row_number_per_group(df, *ARGS, ranges=9).collect()) == text([(*r[:3], r.number) for r in expected])
+    assert text(ranking.lag_lead_per_group(df, *ARGS, offset=2, default=-1, ranges=9).collect()) == text(
+        [(*r[:3], r.before, r.after) for r in expected])
+    assert ranking.window_suite(df.limit(0), *ARGS).collect() == []
+
+
 def test_slices_cut_the_large_group_only(spark):
     df = spark.createDataFrame([("x", 1, i) for i in range(900)] + [("y", 2 + i % 50, i) for i in range(100)], COLUMNS)
     sliced = skew.with_slices(df, ["class"], "score", share=0.1, slices=8)

@@ -149,19 +149,43 @@ def pane_clicks(clicks: DataFrame, slide: str = "30 seconds") -> DataFrame:
             .select(F.col("_pane.end").alias("pane_end"), "adid", "click_count"))
 
 
-def sliding_sums(panes: DataFrame, length: str = "60 minutes", slide: str = "30 seconds") -> DataFrame:
-    """:func:`pane_clicks` added up for every window of panes that saw any click."""
-    last = F.col("pane_end") + F.expr(f"INTERVAL {length}") - F.expr(f"INTERVAL {slide}")
-    ends = F.explode(F.sequence(F.col("pane_end"), last, F.expr(f"INTERVAL {slide}")))
-    return (panes.select(ends.alias("_end"), "adid", "click_count").groupBy("_end", "adid")
-            .agg(F.sum("click_count").alias("click_count"))
-            .select(format_time(F.col("_end")).alias("window_end"), "adid", "click_count"))
+def _micros(df: DataFrame, interval: str) -> int:
+    return df.sparkSession.sql(f"SELECT unix_micros(TIMESTAMP_SECONDS(0) + INTERVAL {interval})").first()[0]
+
+
+def sliding_sums(panes: DataFrame, length: str = "60 minutes", slide: str = "30 seconds", since: str | None = None,
+                 until: str | None = None) -> DataFrame:
+    """:func:`pane_clicks` added up for every window of panes that saw any click.
+
+    A pane adds its clicks at the first window that has it and takes them away after the last one, so it is two events
+    whatever the length of a window.  The running sum of an ad's events is the count of every window up to the next event.  It is
+    built within days, and what the days before add up to is carried over.  ``since`` and ``until`` (times as text) keep
+    the windows that end between them.  ``length`` must be a multiple of ``slide``.
+    """
+    if _micros(panes, length) % _micros(panes, slide):
+        raise ValueError(f"windows of {length} are not made of panes of {slide}")
+    last = F.col("pane_end") + F.expr(f"INTERVAL {length}")
+    events = panes.select("adid", F.explode(F.array(
+        F.struct(F.col("pane_end").alias("_at"), F.col("click_count").alias("_change")),
+        F.struct(last.alias("_at"), (-F.col("click_count")).alias("_change")))).alias("_event")).select("adid", "_event.*")
+    events = events.withColumn("_day", F.floor(F.unix_seconds("_at") / 86400)).repartition("adid", "_day")
+    changes = events.groupBy("adid", "_day", "_at").agg(F.sum("_change").alias("_change"))
+    days = events.groupBy("adid", "_day").agg(F.sum("_change").alias("_total"), F.min("_at").alias("_first"))
+    by_day, inside = Window.partitionBy("adid").orderBy("_day"), Window.partitionBy("adid", "_day").orderBy("_at")
+    days = days.select("adid", "_day", F.lead("_first").over(by_day).alias("_next_day"), F.coalesce(
+        F.sum("_total").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    sums = changes.withColumns({"_sum": F.sum("_change").over(inside), "_next": F.lead("_at").over(inside)}).join(days, ["adid", "_day"])
+    sums = sums.select("adid", "_at", (F.col("_sum") + F.col("_before")).alias("click_count"),
+                       (F.coalesce("_next", "_next_day") - F.expr(f"INTERVAL {slide}")).alias("_last")).where("click_count > 0")
+    windows = sums.select(F.explode(F.sequence("_at", "_last", F.expr(f"INTERVAL {slide}"))).alias("_end"), "adid", "click_count")
+    for bound, wanted in ((since, lambda t: F.col("_end") >= t), (until, lambda t: F.col("_end") <= t)):
+        windows = windows if bound is None else windows.where(wanted(F.lit(bound).cast("timestamp")))
+    return windows.select(format_time(F.col("_end")).alias("window_end"), "adid", "click_count")
 
 
 def sliding_clicks(clicks: DataFrame, length: str = "60 minutes", slide: str = "30 seconds") -> DataFrame:
     """Clicks per ad in every sliding window that saw any, by the end of the window.
 
-    Clicks are counted per slide first; only these counts are repeated for the windows they are
-    in, so the fan-out does not grow with the clicks.  ``length`` must be a multiple of ``slide``.
+    Clicks are counted per slide first; see :func:`sliding_sums`.
     """
     return sliding_sums(pane_clicks(clicks, slide), length, slide)

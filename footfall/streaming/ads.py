@@ -71,10 +71,21 @@ def read_trend(spark: SparkSession, base: str) -> DataFrame:
     return tables.read_sums(spark, f"{base}/{TREND}", schemas.AD_CLICK_TREND, ads.TREND_KEYS, "click_count")
 
 
-def read_sliding(spark: SparkSession, base: str, length: str = "60 minutes", slide: str = "30 seconds") -> DataFrame:
-    """Sliding windows over the panes kept by :func:`start_sliding_clicks` with the same ``slide``."""
-    panes = tables.read_sums(spark, _panes(base, slide), PANE, PANE_KEYS, "click_count")
-    return ads.sliding_sums(panes, length, slide)
+def read_sliding(spark: SparkSession, base: str, length: str = "60 minutes", slide: str = "30 seconds",
+                 since: str | None = None, until: str | None = None) -> DataFrame:
+    """Sliding windows over the panes kept by :func:`start_sliding_clicks` with the same ``slide``.
+
+    Of windows that end between ``since`` and ``until`` (times as text) only the days of their panes are opened.
+    """
+    panes = tables.read_batches(spark, _panes(base, slide), PANE)
+    if since is not None:
+        first = F.lit(since).cast("timestamp") - F.expr(f"INTERVAL {length}")
+        panes = panes.where((F.col("date") >= ads.format_date(first)) & (F.col("pane_end") > first))
+    if until is not None:
+        last = F.lit(until).cast("timestamp")
+        panes = panes.where((F.col("date") <= ads.format_date(last)) & (F.col("pane_end") <= last))
+    sums = panes.groupBy(*PANE_KEYS).agg(F.sum("click_count").alias("click_count"))
+    return ads.sliding_sums(sums, length, slide, since, until)
 
 
 def _panes(base: str, slide: str) -> str:

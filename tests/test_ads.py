@@ -1,3 +1,8 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
 from footfall.operators import ads
 
 
@@ -59,3 +64,32 @@ def test_sliding_windows(clicks, rows):
         ("2024-01-10 08:00:30", 1, 1), ("2024-01-10 08:01:00", 1, 2), ("2024-01-10 08:01:00", 2, 1),
         ("2024-01-10 08:01:30", 1, 2), ("2024-01-10 08:01:30", 2, 1), ("2024-01-10 08:02:00", 1, 1),
         ("2024-01-10 08:02:00", 2, 1)]
+
+
+def plain_windows(data, length, slide):
+    """Each click in each window, one by one; times are seconds of one day."""
+    out = {}
+    for second, ad in data:
+        end = (second // slide + 1) * slide
+        for e in range(end, end + length, slide):
+            out[e, ad] = out.get((e, ad), 0) + 1
+    return sorted((str(datetime(2024, 1, 10) + timedelta(seconds=e)), ad, n) for (e, ad), n in out.items())
+
+
+@pytest.mark.parametrize("length,slide", [(3600, 30), (60, 60), (90, 30)])
+def test_sliding_windows_over_days_and_gaps(clicks, rows, length, slide):
+    """One ad has most of the clicks; windows go on over midnight and end in gaps."""
+    rng = random.Random(8)
+    data = [(int(rng.choice([80_000, 86_000, 86_390, 200_000]) + rng.random() * 900), 1) for _ in range(300)]
+    data += [(rng.randrange(300_000), 2 + i % 3) for i in range(40)]
+    df = clicks(*[(str(datetime(2024, 1, 10) + timedelta(seconds=s)), 1, ad) for s, ad in data])
+    assert rows(ads.sliding_clicks(df, f"{length} seconds", f"{slide} seconds")) == plain_windows(data, length, slide)
+
+
+def test_a_pane_is_two_events_in_the_shuffle(clicks):
+    df = clicks(("2024-01-10 08:00:10", 1, 1), ("2024-01-10 08:00:40", 2, 1))
+    plan = ads.sliding_clicks(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("explode(sequence(") < plan.index("Exchange hashpartitioning")   # windows come after all shuffles
+    assert plan.count("Generate explode(array(") == plan.count("REPARTITION_BY_COL")
+    with pytest.raises(ValueError):
+        ads.sliding_clicks(df, "100 seconds", "30 seconds")

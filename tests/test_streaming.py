@@ -309,6 +309,11 @@ def test_late_clicks_count(spark, clicks, log, rows):
     log.run(streams.start_sliding_clicks, checkpoint=f"{log.root}/sliding")
     assert rows(streams.read_trend(spark, log.base)) == rows(ads.minute_clicks(clicks(*data)))
     assert rows(streams.read_sliding(spark, log.base)) == rows(ads.sliding_clicks(clicks(*data)))
+    every = [r for r in rows(streams.read_sliding(spark, log.base)) if f"{DAY} 08:30:00" <= r[0] <= f"{DAY} 09:10:00"]
+    some = streams.read_sliding(spark, log.base, since=f"{DAY} 08:30:00", until=f"{DAY} 09:10:00")
+    assert rows(some) == every
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "(date" in plan[plan.index("PartitionFilters"):] and DAY in plan[plan.index("PartitionFilters"):]
 
 
 def test_a_new_checkpoint_adds_to_the_tables(spark, clicks, rows, tmp_path):

@@ -1,8 +1,9 @@
 """Page-to-page conversion along a target flow.
 
 Consecutive pages of a session need the session's actions in time order.  To keep a session of
-any length out of a single task the order is built in two levels: within time slices of a
-session first, then across the slices, of which only the first and last page remain.
+any length out of a single task the actions are cut into ranges of that order (:mod:`footfall.operators.ranges`): the order is
+built within the rows of a session in a range first, then across the ranges, of which only the first and last page
+remain.  The actions are read twice, for the sample and for the pass, also if one session has most of them.
 """
 
 from __future__ import annotations
@@ -13,25 +14,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import as_list, flow_pairs, ratio
+from footfall.operators.ranges import RANGES, cut
 from footfall.operators.sessions import with_task
-from footfall.operators.skew import with_slices
+from footfall.runtime import stored
 
-SLICE_SECONDS = 600
 
+def _in_ranges(actions: DataFrame, tiebreak: Iterable[str], ranges: int) -> DataFrame:
+    """Each action with the page after it in its range, and whether it is the first or last of its session in the range.
 
-def _in_slices(actions: DataFrame, tiebreak: Iterable[str], slice_seconds: int) -> DataFrame:
-    """Each action with the page after it in its slice, and whether it is the slice's first or last.
-
-    A slice is a span of ``slice_seconds``.  Sessions with more than a set share of all actions are cut at quantiles of
-    their own times as well, so an id that much of the traffic shares is spread however short its time is;
-    only actions of one and the same instant always stay together.
+    Without a ``tiebreak`` the actions of one instant stay in one range.
     """
-    w = Window.partitionBy("session_id", "_slice").orderBy("action_time", *tiebreak)
-    at = F.col("action_time").cast("timestamp")
-    timed = actions.select("session_id", "page_id", "action_time", *tiebreak, (-F.unix_micros(at)).alias("_before"))
-    return (with_slices(timed, ["session_id"], "_before").withColumn(
-                "_slice", F.struct(F.floor(F.unix_seconds(at) / slice_seconds).alias("span"), F.col("_slice").alias("part")))
-            .select("session_id", "_slice", "page_id",
+    w = Window.partitionBy("session_id", "_range").orderBy("action_time", *tiebreak)
+    rows = actions.select("session_id", "page_id", "action_time", *tiebreak)
+    return (cut(rows, ["session_id"], [F.col("action_time"), *map(F.col, tiebreak)], ranges)
+            .select("session_id", "_range", "_cut", "page_id",
                     F.lead("page_id").over(w).alias("_next"),
                     (F.row_number().over(w) == 1).alias("_first"),
                     F.lead(F.lit(1)).over(w).isNull().alias("_last")))
@@ -42,19 +38,19 @@ def _edges() -> list[Column]:
             F.max(F.when(F.col("_last"), F.col("page_id"))).alias("_last_page")]
 
 
-def _next_slice_page() -> Column:
-    return F.lead("_first_page").over(Window.partitionBy("session_id").orderBy("_slice"))
+def _next_range_page() -> Column:
+    return F.lead("_first_page").over(Window.partitionBy("session_id").orderBy("_range"))
 
 
-def session_page_pairs(actions: DataFrame, tiebreak: Iterable[str] = (),
-                       slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def session_page_pairs(actions: DataFrame, tiebreak: Iterable[str] = (), ranges: int = RANGES) -> DataFrame:
     """``(session_id, from_page, to_page)`` for every two consecutive actions of a session."""
-    rows = _in_slices(actions, tuple(tiebreak), slice_seconds)
+    rows = stored(_in_ranges(actions, tuple(tiebreak), ranges), "pages")
     inside = rows.where(~F.col("_last")).select(
         "session_id", F.col("page_id").alias("from_page"), F.col("_next").alias("to_page"))
-    slices = rows.groupBy("session_id", "_slice").agg(*_edges()).select(
-        "session_id", F.col("_last_page").alias("from_page"), _next_slice_page().alias("to_page"))
-    return inside.unionByName(slices.where(F.col("to_page").isNotNull()))
+    across = rows.where("_cut").groupBy("session_id", "_range").agg(*_edges()).select(
+        "session_id", F.col("_last_page").alias("from_page"), _next_range_page().alias("to_page"),
+        F.lead("_range").over(Window.partitionBy("session_id").orderBy("_range")).alias("_more"))
+    return inside.unionByName(across.where(F.col("_more").isNotNull()).drop("_more"))
 
 
 def start_page_views(actions: DataFrame, flow: str | Iterable[object]) -> DataFrame:
@@ -63,19 +59,19 @@ def start_page_views(actions: DataFrame, flow: str | Iterable[object]) -> DataFr
 
 
 def _flow_totals(actions: DataFrame, flow: str | Iterable[object], tiebreak: Iterable[str],
-                 slice_seconds: int) -> DataFrame:
+                 ranges: int) -> DataFrame:
     """One row: views of the start page, and the count of each step's pair (``n1``, ``n2``, ...).
 
-    The counts of a slice ride along with its first and last page, so the table is read once and
-    the second shuffle carries one row per slice.
+    The counts of a session in a range ride along with its first and last page, so the second shuffle carries one
+    row of these each.
     """
     pairs = flow_pairs(flow)
-    rows = _in_slices(actions, tuple(tiebreak), slice_seconds)
-    slices = rows.groupBy("session_id", "_slice").agg(
+    rows = _in_ranges(actions, tuple(tiebreak), ranges)
+    parts = rows.groupBy("session_id", "_range").agg(
         F.count_if(F.col("page_id") == pairs[0][1]).alias("start_pv"),
         *[F.count_if((F.col("page_id") == a) & (F.col("_next") == b)).alias(f"n{i}") for i, a, b in pairs],
         *_edges())
-    joined = slices.withColumn("_next", _next_slice_page())
+    joined = parts.withColumn("_next", _next_range_page())
     return joined.agg(
         F.expr("coalesce(sum(start_pv), 0) AS start_pv"),
         *[(F.expr(f"coalesce(sum(n{i}), 0)")
@@ -84,9 +80,9 @@ def _flow_totals(actions: DataFrame, flow: str | Iterable[object], tiebreak: Ite
 
 
 def page_pair_counts(actions: DataFrame, flow: str | Iterable[object], tiebreak: Iterable[str] = (),
-                     slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+                     ranges: int = RANGES) -> DataFrame:
     """How often each consecutive pair of the flow occurs, with its step; 0 for a missing pair."""
-    totals = _flow_totals(actions, flow, tiebreak, slice_seconds)
+    totals = _flow_totals(actions, flow, tiebreak, ranges)
     steps = [F.struct(F.lit(i).alias("step"), F.lit(f"{a}_{b}").alias("page_pair"),
                       F.col(f"n{i}").alias("pair_count"),
                       F.col("start_pv" if i == 1 else f"n{i - 1}").alias("previous_count"))
@@ -95,12 +91,12 @@ def page_pair_counts(actions: DataFrame, flow: str | Iterable[object], tiebreak:
 
 
 def page_convert_rate(actions: DataFrame, flow: str | Iterable[object], tiebreak: Iterable[str] = (),
-                      slice_seconds: int = SLICE_SECONDS, task_id: str | None = None) -> DataFrame:
+                      ranges: int = RANGES, task_id: str | None = None) -> DataFrame:
     """The rate of each step: its pair count over the count of the step before.
 
     The first step is measured against the views of the start page.  A step after an empty one
     has no rate (NULL).
     """
-    counts = page_pair_counts(actions, flow, tiebreak, slice_seconds)
+    counts = page_pair_counts(actions, flow, tiebreak, ranges)
     return with_task(counts.select("step", "page_pair",
                                    ratio("pair_count", "previous_count").alias("rate")), task_id)

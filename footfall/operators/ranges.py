@@ -1,6 +1,6 @@
 """Cut a table into ranges of one order over its groups, so that no group is a task of its own.
 
-The order is by group, then falling score, then name.  Bounds between ranges are read off a sample of the rows, and a
+The order is by group and then by any columns, for rankings by falling score, then name.  Bounds between ranges are read off a sample of the rows, and a
 row finds its range by comparing itself with them; a range ends inside a group where that group is large, also in the
 middle of equal scores.  Window functions then run within the rows of a group in a range, and for groups that
 a bound cuts, what the ranges before add up to is carried over.  At most two cut groups are in a range, which bounds
@@ -28,19 +28,19 @@ def falling(df: DataFrame, score: str) -> list[Column]:
     return [c.isNull(), ~F.isnan(c), -c] if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else [c.isNull(), -c]
 
 
-def spot(df: DataFrame, keys: list[str], score: str, name: str) -> Column:
+def spot(keys: list[str], order: list[Column]) -> Column:
     """A row's place in the order, as a value that compares like it."""
     group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]) if keys else F.struct(F.lit(0).alias("k0"))
-    return F.struct(group.alias("g"), *[c.alias(f"s{i}") for i, c in enumerate(falling(df, score))], F.col(name).alias("n"))
+    return F.struct(group.alias("g"), *[c.alias(f"s{i}") for i, c in enumerate(order)])
 
 
-def bounds(df: DataFrame, keys: list[str], score: str, name: str, ranges: int = RANGES) -> list[Column]:
+def bounds(df: DataFrame, keys: list[str], order: list[Column], ranges: int = RANGES) -> list[Column]:
     """The first places of all ranges but the first, from one reading of the rows.
 
     Every task gives the rows with its smallest hashes, of which fewer are used the more tasks there are.  How small
     these hashes are tells how many rows the task has, which is what a row of the sample stands for.
     """
-    rows = df.select(spot(df, keys, score, name).alias("_spot")).withColumn("_task", F.spark_partition_id())
+    rows = df.select(spot(keys, order).alias("_spot")).withColumn("_task", F.spark_partition_id())
     rows = rows.withColumn("_hash", F.xxhash64("_spot").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53)))
     by_task = Window.partitionBy("_task").orderBy("_hash")
     few = stored(rows.withColumn("_nth", F.row_number().over(by_task)).where(F.col("_nth") <= MOST), "sample")
@@ -65,11 +65,19 @@ def _literal(value, kind: T.DataType) -> Column:
 
 
 def in_ranges(df: DataFrame, keys: list[str], score: str, name: str, ranges: int = RANGES) -> DataFrame:
-    """``df`` with ``_range``, and ``_cut`` where a bound may go through the row's group."""
-    firsts = bounds(df, keys, score, name, ranges)
+    """:func:`cut` by falling score, then name."""
+    return cut(df, keys, [*falling(df, score), F.col(name)], ranges)
+
+
+def cut(df: DataFrame, keys: list[str], order: list[Column], ranges: int = RANGES) -> DataFrame:
+    """``df`` with ``_range``, rising with ``order`` in each group, and ``_cut`` where a bound may go through the row's group.
+
+    Rows of one group that are equal in ``order`` are in one range.
+    """
+    firsts = bounds(df, keys, order, ranges)
     if not firsts:
         return df.withColumns({"_range": F.lit(0), "_cut": F.lit(False)})
-    out = df.withColumn("_spot", spot(df, keys, score, name)).withColumn("_range", F.lit(0))
+    out = df.withColumn("_spot", spot(keys, order)).withColumn("_range", F.lit(0))
     all_bounds = F.array(*firsts)
     # Binary search, a step per column: _range ends as the number of bounds that are not above the row.
     step = 1 << (len(firsts).bit_length() - 1)
@@ -78,8 +86,8 @@ def in_ranges(df: DataFrame, keys: list[str], score: str, name: str, ranges: int
         out = out.withColumn("_range", F.col("_range") + F.when(at <= F.col("_spot"), step).otherwise(0))
         step //= 2
     group = F.col("_spot.g")
-    cut = F.get(all_bounds, F.col("_range"))["g"].eqNullSafe(group) | F.get(all_bounds, F.col("_range") - 1)["g"].eqNullSafe(group)
-    return out.withColumn("_cut", cut).drop("_spot")
+    through = F.get(all_bounds, F.col("_range"))["g"].eqNullSafe(group) | F.get(all_bounds, F.col("_range") - 1)["g"].eqNullSafe(group)
+    return out.withColumn("_cut", through).drop("_spot")
 
 
 def within(df: DataFrame, keys: list[str], score: str, name: str, columns: dict[str, Column], ranges: int = RANGES) -> DataFrame:

@@ -60,6 +60,10 @@ class Snapshot:
             raise ValueError(f"batch {batch_id} is in the base of the table already")
         return replace(self, batches=tuple((r, n) for r, n in self.batches if r != run or n < batch_id))
 
+    def others(self, run: str | None) -> Snapshot:
+        """The state without the batches of ``run`` that are not folded."""
+        return replace(self, batches=tuple(b for b in self.batches if b[0] != run))
+
 
 # ---- folders ------------------------------------------------------------------------------
 

@@ -7,6 +7,7 @@ below ``base`` and its checkpoint below ``checkpoint``, both in a folder that al
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from footfall import schemas
 from footfall.operators import ads
 from footfall.sinks import tables, versions
+from footfall.streaming.users import screened
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 UNTIL_NOW = {"availableNow": True}
@@ -124,37 +126,30 @@ def _fold(spark: SparkSession, base: str, table: str, schema: T.StructType, keys
     versions.fold_sometimes(spark, f"{base}/{table}", schema, keys, value, how, batch_id, run, days, every)
 
 
-def _screen(batch: DataFrame, batch_id: int, base: str, threshold: int, exact: bool,
-            run: str = tables.ONE_RUN) -> tuple[DataFrame, DataFrame]:
-    """The clicks of a batch that count, and the users to put on the blacklist.
+def _earlier(clicks: DataFrame, base: str, checkpoint: str) -> DataFrame | None:
+    """What other runs have in the tables, for a query that begins; none if there is nothing.
 
-    Clicks of users listed by an earlier batch drop out.  With ``exact`` a user's clicks also stop
-    within the batch, right after the one that reaches the threshold; otherwise from the next
-    batch on.  Only the days and keys of the batch are looked up in the counts.
+    A query that begins again on its checkpoint has its own state, and its first batch must not see what that batch
+    wrote before a failure, so the run of the checkpoint is left out.
     """
-    spark = batch.sparkSession
-    clicks = ads.with_day(ads.drop_users(batch, read_blacklist(spark, base, batch_id, run)))
-    keys = clicks.select(*ads.USER_KEYS).distinct()
-    counts = tables.read_batches(spark, f"{base}/{USER_COUNTS}", schemas.AD_USER_CLICK_COUNT, batch_id, run)
-    earlier = (_in_days_of(counts, keys)
-               .join(keys, ads.USER_KEYS, "left_semi")
-               .groupBy(*ads.USER_KEYS).agg(F.sum("click_count").alias("_earlier")))
-    so_far = F.coalesce("_earlier", F.lit(0))
-    if exact:
-        cutoffs = (ads.nth_click(clicks, threshold).join(earlier, ads.USER_KEYS, "left")
-                   .where(F.col("_nth") == threshold - so_far)
-                   .groupBy("userid").agg(F.min("ts").alias("cutoff")))
-        return ads.drop_after_cutoff(clicks, cutoffs), cutoffs.select("userid")
-    listed = (ads.click_counts(clicks, ads.USER_KEYS).join(earlier, ads.USER_KEYS, "left")
-              .where(F.col("click_count") + so_far >= threshold).select("userid"))
-    return clicks, listed
+    spark, own = clicks.sparkSession, None
+    files = versions.Folder(spark, checkpoint)
+    if "metadata" in files.names():
+        own = json.loads(files.text("metadata"))["id"]
+    found = {t: versions.snapshot(spark, f"{base}/{t}").others(own) for t in (USER_COUNTS, BLACKLIST)}
+    if not any(at.parts or at.batches for at in found.values()):
+        return None
+    counts = tables.read_sums(spark, f"{base}/{USER_COUNTS}", schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS, "click_count", at=found[USER_COUNTS])
+    listed = tables.read_batches(spark, f"{base}/{BLACKLIST}", schemas.AD_BLACKLIST, at=found[BLACKLIST]).select(
+        "userid", F.lit(None).cast("string").alias("date"), F.lit(None).cast("long").alias("adid"), F.lit(None).cast("long").alias("click_count"))
+    return counts.select(*listed.columns).unionByName(listed)
 
 
 def _record(kept: DataFrame, listed: DataFrame, batch_id: int, base: str, run: str = tables.ONE_RUN,
             fold_every: int = versions.FOLD_EVERY) -> None:
-    """Add a screened batch to the user counts and the blacklist."""
-    tables.write_batch(ads.click_counts(kept, ads.USER_KEYS), f"{base}/{USER_COUNTS}", batch_id, ["date"], run)
-    tables.insert_new(listed, f"{base}/{BLACKLIST}", batch_id, schemas.AD_BLACKLIST, ["userid"], run)
+    """Add a screened batch to the user counts and the blacklist; a user is listed once, by the state."""
+    tables.write_batch(ads.click_counts(ads.with_day(kept), ads.USER_KEYS), f"{base}/{USER_COUNTS}", batch_id, ["date"], run)
+    tables.write_batch(listed, f"{base}/{BLACKLIST}", batch_id, run=run)
     _fold(kept.sparkSession, base, USER_COUNTS, schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS, versions.ADD, batch_id, run, fold_every)
     _fold(kept.sparkSession, base, BLACKLIST, schemas.AD_BLACKLIST, ["userid"], versions.ROWS, batch_id, run, fold_every)
 
@@ -197,29 +192,25 @@ def start_ad_job(clicks: DataFrame, base: str, checkpoint: str, threshold: int =
 
     Each batch in turn: drop blacklisted users, add to the user counts, extend the blacklist, add
     to the counts per place and per minute, refresh the touched days.  ``trend_of_all`` counts
-    the minutes over all clicks, blacklisted or not.
+    the minutes over all clicks, blacklisted or not.  With ``exact`` a user's clicks stop right after the one that
+    reaches the threshold, otherwise from the next batch on.
 
-    A batch looks up its days in the tables themselves, so its cost grows with what these days
-    have so far.  For streams where that is much, :mod:`footfall.streaming.screening` keeps the
-    counts of a user in Spark's state instead.
+    What a user has clicked so far is looked up in the query's state (:mod:`footfall.streaming.users`), by the
+    entries a batch has clicks for; only the counts of the days and provinces it touched are read from a table.
     """
     def step(batch: DataFrame, batch_id: int, run: str) -> None:
-        kept, listed = _screen(batch, batch_id, base, threshold, exact, run)
-        kept.persist()
-        try:
-            _record(kept, listed, batch_id, base, run, fold_every)
-            tables.write_batch(ads.ad_stat(kept), f"{base}/{STAT}", batch_id, ["date"], run)
-            tables.write_batch(ads.minute_clicks(batch if trend_of_all else kept), f"{base}/{TREND}",
-                               batch_id, ["date"], run)
-            schema = schemas.like(schemas.AD_STAT, clicks)
-            stat = read_stat(batch.sparkSession, base, batch_id + 1, schema, run)
-            _province_step(kept, ads.province_counts(stat), base, top)
-            _fold(batch.sparkSession, base, STAT, schema, ads.STAT_KEYS, versions.ADD, batch_id, run, fold_every)
-            _fold(batch.sparkSession, base, TREND, schemas.AD_CLICK_TREND, ads.TREND_KEYS, versions.ADD, batch_id, run, fold_every)
-        finally:
-            kept.unpersist()
+        kept = ads.with_day(batch.where("kept") if trend_of_all else batch)
+        _record(kept, batch.where("listed").select("userid"), batch_id, base, run, fold_every)
+        tables.write_batch(ads.ad_stat(kept), f"{base}/{STAT}", batch_id, ["date"], run)
+        tables.write_batch(ads.minute_clicks(batch), f"{base}/{TREND}", batch_id, ["date"], run)
+        schema = schemas.like(schemas.AD_STAT, clicks)
+        stat = read_stat(batch.sparkSession, base, batch_id + 1, schema, run)
+        _province_step(kept, ads.province_counts(stat), base, top)
+        _fold(batch.sparkSession, base, STAT, schema, ads.STAT_KEYS, versions.ADD, batch_id, run, fold_every)
+        _fold(batch.sparkSession, base, TREND, schemas.AD_CLICK_TREND, ads.TREND_KEYS, versions.ADD, batch_id, run, fold_every)
 
-    return _each_batch(clicks, step, checkpoint, name, trigger, "append")
+    passed = screened(clicks, threshold, None, exact, trend_of_all, _earlier(clicks, base, checkpoint))
+    return _each_batch(passed, step, checkpoint, name, trigger, "append")
 
 
 def start_blacklist(clicks: DataFrame, base: str, checkpoint: str, threshold: int = ads.BLACKLIST_THRESHOLD,
@@ -227,9 +218,9 @@ def start_blacklist(clicks: DataFrame, base: str, checkpoint: str, threshold: in
                     fold_every: int = versions.FOLD_EVERY) -> StreamingQuery:
     """The blacklist and the user counts only."""
     def step(batch: DataFrame, batch_id: int, run: str) -> None:
-        _record(*_screen(batch, batch_id, base, threshold, exact, run), batch_id, base, run, fold_every)
+        _record(batch, batch.where("listed").select("userid"), batch_id, base, run, fold_every)
 
-    return _each_batch(clicks, step, checkpoint, name, trigger, "append")
+    return _each_batch(screened(clicks, threshold, None, exact, False, _earlier(clicks, base, checkpoint)), step, checkpoint, name, trigger, "append")
 
 
 def start_stat(clicks: DataFrame, base: str, checkpoint: str, watermark: str | None = None,

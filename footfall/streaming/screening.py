@@ -11,104 +11,16 @@ once, and are the source of the counting queries of :mod:`footfall.streaming.ads
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from footfall import schemas
 from footfall.operators import ads
 from footfall.streaming.ads import EVERY_5_SECONDS
+from footfall.streaming.users import KEPT_CLICK, screened
 
 KEPT = "ad_click_kept"
-# ``listed`` marks the click that put its user on the blacklist.
-KEPT_CLICK = T.StructType([*schemas.AD_CLICK, T.StructField("listed", T.BooleanType())])
-MANY = 100_000   # rows of one user to gather before those that cannot pass are dropped
-
-
-def first_clicks(threshold: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Drop clicks that cannot pass, before the shuffle.
-
-    A click with ``threshold`` earlier ones of the same day, user and ad comes after the user's
-    cutoff in any case.  What is left of a very busy user no longer grows with the clicks.
-    """
-    keys = list(ads.USER_KEYS)   # workers get values only, and need not have this package
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows[rows.groupby(keys)["ts"].rank(method="min") <= threshold]
-    return keep
-
-
-def screen_user(threshold: int, keep_days: int | None) -> StatefulProcessor:
-    """The state of a user: whether listed, the clicks per day and ad, and the newest day if days are to be forgotten.
-
-    Of a listed user only the mark remains.
-    """
-    columns, keys, first, many = list(KEPT_CLICK.names), ["date", "adid"], first_clicks(threshold), MANY
-
-    def gathered(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
-        """The clicks that may pass, in order; what is held grows with the days and ads of the batch only."""
-        held, rows = [], 0
-        for part in parts:
-            held.append(part)
-            rows += len(part)
-            if rows > many:
-                held = list(first(iter([pd.concat(held)])))
-                rows = 0
-        return pd.concat(held).sort_values("ts", kind="stable", ignore_index=True)
-
-    class Screen(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.listed = handle.getValueState("listed", "listed boolean")
-            self.clicks = handle.getMapState("clicks", "date string, adid bigint", "clicks bigint")
-            self.newest = handle.getValueState("newest", "date string")
-
-        def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-            if self.listed.exists():
-                return
-            rows = gathered(rows)
-            groups = rows.groupby(keys, sort=False)
-            number = groups.ngroup()
-            seen = [(str(date), int(ad)) for date, ad in rows[keys][~number.duplicated()].itertuples(index=False, name=None)]
-            earlier = [(self.clicks.getValue(k) or (0,))[0] for k in seen]
-            nth = groups.cumcount() + 1 + pd.Series(earlier, dtype="int64").reindex(number).set_axis(rows.index)
-            reached = rows["ts"][nth >= threshold]
-            if reached.empty:
-                oldest = self.forget(max(date for date, _ in seen))
-                for k, n in zip(seen, nth.groupby(number).max().tolist()):
-                    if k[0] > oldest:
-                        self.clicks.updateValue(k, (int(n),))
-                yield rows.assign(listed=False)[columns]
-            else:
-                self.listed.update((True,))
-                self.clicks.clear()
-                self.newest.clear()
-                passed = rows[rows["ts"] <= reached.min()]
-                yield passed.assign(listed=[False] * (len(passed) - 1) + [True])[columns]
-
-        def forget(self, newest: str) -> str:
-            """When a new day begins, drop the days that are too old; the last day that is not kept."""
-            if keep_days is None:
-                return ""
-            known = (self.newest.get() or ("",))[0] if self.newest.exists() else ""
-            newest = max(newest, known)
-            oldest = str((pd.Timestamp(newest) - pd.Timedelta(days=keep_days)).date())
-            if newest > known:
-                self.newest.update((newest,))
-                for k in [k for k in self.clicks.keys() if k[0] <= oldest] if known else []:
-                    self.clicks.removeKey(tuple(k))
-            return oldest
-
-        def close(self) -> None:
-            pass
-
-    return Screen()
 
 
 def screened_clicks(clicks: DataFrame, threshold: int = ads.BLACKLIST_THRESHOLD,
@@ -118,11 +30,7 @@ def screened_clicks(clicks: DataFrame, threshold: int = ads.BLACKLIST_THRESHOLD,
     The counts of a user's days older than ``keep_days`` before the newest one are forgotten;
     without it they are kept for good.
     """
-    columns = [*schemas.AD_CLICK.names, "date"]
-    few = ads.with_day(clicks).select(*columns)
-    few = few.mapInPandas(first_clicks(threshold), few.schema)
-    return few.groupBy("userid").transformWithStateInPandas(
-        screen_user(threshold, keep_days), schemas.like(KEPT_CLICK, clicks), "Append", "None")
+    return screened(clicks, threshold, keep_days)
 
 
 def start_screening(clicks: DataFrame, base: str, checkpoint: str, threshold: int = ads.BLACKLIST_THRESHOLD,

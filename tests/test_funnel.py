@@ -39,16 +39,24 @@ def test_a_busy_session_is_cut_by_its_own_times(spark, actions):
     """A third of all actions is in one session, all within one span of time."""
     df = actions([("busy", i % 500, {"page_id": "1"}) for i in range(1000)]
                  + [(f"s{i % 400}", i % 500, {"page_id": "2"}) for i in range(2000)])
-    sizes = funnel._in_slices(df, ("event_id",), 600).where("session_id = 'busy'").groupBy("_slice").count()
-    found = sorted((tuple(r["_slice"]), r["count"]) for r in sizes.collect())
-    assert len(found) > 60 and max(n for _, n in found) <= 40 and sum(n for _, n in found) == 1000
+    sizes = funnel._in_ranges(df, ("event_id",), 30).where("session_id = 'busy'").groupBy("_range").count()
+    found = [r["count"] for r in sizes.collect()]
+    assert len(found) >= 8 and max(found) <= 2 * 3000 / 30 and sum(found) == 1000
     pairs = funnel.session_page_pairs(df, ("event_id",)).groupBy("from_page").count()
     assert {r.from_page: r["count"] for r in pairs.collect()} == {"1": 999, "2": 1600}
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 7, 600, 10**9])
-def test_slices_do_not_change_the_pairs(actions, slice_seconds):
-    """Pairs within and across slices together are those of one ordered walk through a session."""
+def test_actions_are_read_twice(spark, actions, tmp_path):
+    """Once for the sample, which is done, and once in the plan, also with a session that is cut."""
+    actions([("busy", i, {"page_id": "1"}) for i in range(200)]).write.parquet(f"{tmp_path}/actions")
+    df = spark.read.parquet(f"{tmp_path}/actions")
+    for out, left in ((funnel.page_pair_counts(df, "1,2,3", ("event_id",), 8), 1), (funnel.session_page_pairs(df, ("event_id",), 8), 0)):
+        assert out._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/actions") == left
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 60, 300])
+def test_ranges_do_not_change_the_pairs(actions, ranges):
+    """Pairs within and across ranges together are those of one ordered walk through a session."""
     rng = random.Random(5)
     walk = [(f"s{rng.randrange(4)}", rng.randrange(60), {"page_id": str(rng.randrange(4))}) for _ in range(300)]
     df = actions(walk)
@@ -57,7 +65,7 @@ def test_slices_do_not_change_the_pairs(actions, slice_seconds):
         order = sorted((seconds, i) for i, (name, seconds, _) in enumerate(walk) if name == s)
         flow = [walk[i][2]["page_id"] for _, i in order]
         expected.update(zip(flow, flow[1:]))
-    got = funnel.session_page_pairs(df, ("event_id",), slice_seconds).groupBy("from_page", "to_page").count()
+    got = funnel.session_page_pairs(df, ("event_id",), ranges).groupBy("from_page", "to_page").count()
     assert {(r.from_page, r.to_page): r["count"] for r in got.collect()} == expected
-    flow = funnel.page_pair_counts(df, "0,1,2,3", ("event_id",), slice_seconds).collect()
+    flow = funnel.page_pair_counts(df, "0,1,2,3", ("event_id",), ranges).collect()
     assert [r.pair_count for r in flow] == [expected["0", "1"], expected["1", "2"], expected["2", "3"]]

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from footfall.operators import ranking, skew
+from footfall.operators import ranking
 from footfall.operators.ranges import in_ranges
 
 SCORES = [("a", 1, 80), ("b", 1, 78), ("c", 1, 95), ("d", 2, 74), ("e", 2, 92), ("f", 3, 99), ("g", 3, 99),
@@ -108,16 +108,6 @@ def test_nulls_and_numbers_that_are_none(spark):
     assert ranking.window_suite(df.limit(0), *ARGS).collect() == []
 
 
-def test_slices_cut_the_large_group_only(spark):
-    df = spark.createDataFrame([("x", 1, i) for i in range(900)] + [("y", 2 + i % 50, i) for i in range(100)], COLUMNS)
-    sliced = skew.with_slices(df, ["class"], "score", share=0.1, slices=8)
-    sizes = {(r["class"], r["_slice"]): r["count"] for r in sliced.groupBy("class", "_slice").count().collect()}
-    assert {s for c, s in sizes if c != 1} == {0}
-    big = [n for (c, _), n in sizes.items() if c == 1]
-    assert len(big) == 8 and max(big) < 150
-    assert sliced.where("class = 1").where("_slice = 0").agg({"score": "min"}).first()[0] >= 770
-
-
 def test_group_totals(scores):
     row = next(r for r in ranking.group_totals(scores, *ARGS).collect() if r.name == "d")
     assert (row.group_count, row.group_sum, row.group_min, row.group_max, row.group_avg, row.all_count) == (

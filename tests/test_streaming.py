@@ -7,7 +7,7 @@ from footfall import schemas
 from footfall.operators import ads
 from footfall.sources.clicks import click_records, parse_clicks, rejected_lines, text_stream
 from footfall.streaming import ads as streams
-from footfall.streaming import screening
+from footfall.streaming import screening, users
 from footfall.streaming.offsets import offset_report
 
 DAY = "2024-01-10"
@@ -110,10 +110,10 @@ def test_screening_of_a_busy_user_and_of_equal_times():
     """Rows beyond the threshold go before the shuffle; clicks of the same instant pass together."""
     at = pd.to_datetime([f"{DAY} 08:00:{s:02}" for s in (0, 1, 2, 2, 3, 4, 5)])
     rows = pd.DataFrame({"ts": at, "province": 1, "city": 1, "userid": 7, "adid": 1, "date": DAY})
-    few = pd.concat(screening.first_clicks(3)(iter([rows])))
+    few = pd.concat(users.first_clicks(3)(iter([rows])))
     assert list(few["ts"].dt.second) == [0, 1, 2, 2]
 
-    user = User(screening.screen_user(3, 2))
+    user = User(users.screen_user(3, 2))
     first = user.step(rows[:2], rows[2:0])
     assert list(first["listed"]) == [False, False] and user.counts() == {(DAY, 1): 2}
     later = rows[:1].assign(date="2024-01-12", ts=pd.Timestamp("2024-01-12"))
@@ -182,8 +182,8 @@ class User:
 
 def test_a_batch_touches_its_own_entries_only(monkeypatch):
     """However many days and ads a user has, and however many rows one batch has of them."""
-    monkeypatch.setattr(screening, "MANY", 1000)
-    user = User(screening.screen_user(3, None))
+    monkeypatch.setattr(users, "MANY", 1000)
+    user = User(users.screen_user(3, None))
     many = pd.DataFrame({"ts": pd.Timestamp(f"{DAY} 08:00:00"), "province": 1, "city": 1, "userid": 7, "adid": range(50_000), "date": DAY})
     assert len(user.step(*[many[i:i + 700] for i in range(0, 50_000, 700)])) == 50_000 and len(user.counts()) == 50_000
     for day in range(11, 20):
@@ -194,6 +194,31 @@ def test_a_batch_touches_its_own_entries_only(monkeypatch):
     assert user.counts()[(DAY, 7)] == 1 and len(user.counts()) == 50_009
 
 
+def test_whole_batches_and_all_clicks():
+    """By batch a user is listed from the next one on; with everything, what does not count comes too."""
+    rows = pd.DataFrame({"ts": pd.to_datetime([f"{DAY} 08:00:0{s}" for s in range(5)]), "province": 1, "city": 1, "userid": 7,
+                         "adid": [1, 1, 2, 1, 1], "date": DAY})
+    user = User(users.screen_user(3, None, exact=False))
+    assert list(user.step(rows[:2], rows[2:3])["listed"]) == [False] * 3 and user.counts() == {(DAY, 1): 2, (DAY, 2): 1}
+    assert list(user.step(rows[3:4], rows[4:])["listed"]) == [False, True] and user.step(rows) is None
+    user = User(users.screen_user(3, None, everything=True))
+    out = user.step(rows)
+    assert list(out["kept"]) == [True] * 4 + [False] and list(out["listed"]) == [False] * 3 + [True, False]
+    assert list(user.step(rows)["kept"]) == [False] * 5
+
+
+def test_a_new_run_knows_what_earlier_ones_counted(spark, clicks, log, rows):
+    log.add(clicks((f"{DAY} 08:00:00", 1, 1), (f"{DAY} 08:00:01", 1, 1), (f"{DAY} 08:00:02", 2, 1), *[(f"{DAY} 08:00:0{i}", 3, 1) for i in range(3)]))
+    log.run(streams.start_ad_job, threshold=3, exact=True)
+    click_records(clicks((f"{DAY} 09:00:00", 1, 1), (f"{DAY} 09:00:01", 1, 1), (f"{DAY} 09:00:02", 2, 1), (f"{DAY} 09:00:03", 3, 2))).write.text(
+        f"{log.root}/more")
+    new = parse_clicks(text_stream(spark, f"{log.root}/more"))
+    for _ in range(2):   # and once more on its own checkpoint
+        streams.start_ad_job(new, log.base, f"{log.root}/second", 3, exact=True, trigger=streams.UNTIL_NOW).awaitTermination()
+    assert rows(streams.read_user_counts(spark, log.base)) == [(DAY, 1, 1, 3), (DAY, 2, 1, 2), (DAY, 3, 1, 3)]
+    assert rows(streams.read_blacklist(spark, log.base)) == [(1,), (3,)]
+
+
 def test_a_user_with_very_many_ads(spark, clicks, log):
     """Through Spark's state store; the second run resumes from the checkpoint and lists the user."""
     ids = spark.range(50_000)
@@ -222,9 +247,13 @@ def test_a_batch_run_again_changes_nothing(spark, clicks, log, rows):
         log.add(clicks(*part))
     run = str(log.run(streams.start_blacklist, threshold=3).id)
     before = rows(streams.read_user_counts(spark, log.base)), rows(streams.read_blacklist(spark, log.base))
-    last = clicks(*BATCHES[1])
-    for exact in (False, False):
-        streams._record(*streams._screen(last, 1, log.base, 3, exact, run), 1, log.base, run)
+    at = f"{log.base}/{{}}/run={run}/batch_id=1"
+    kept = spark.read.parquet(at.format(streams.USER_COUNTS))
+    again = kept.selectExpr("explode(sequence(1L, click_count))", "to_timestamp(date) AS ts", "1 AS province", "1 AS city", "userid", "adid").drop("col")
+    again = spark.createDataFrame(again.collect(), again.schema)
+    listed = spark.createDataFrame(spark.read.parquet(at.format(streams.BLACKLIST)).collect(), schemas.AD_BLACKLIST)
+    for _ in range(2):
+        streams._record(again, listed, 1, log.base, run)
     after = rows(streams.read_user_counts(spark, log.base)), rows(streams.read_blacklist(spark, log.base))
     assert before == after
 
@@ -410,7 +439,7 @@ def test_stream_steps_run_where_the_package_is_not(tmp_path):
     import sys
 
     from pyspark import cloudpickle
-    (tmp_path / "steps").write_bytes(cloudpickle.dumps([screening.first_clicks(3), screening.screen_user(3, None)]))
+    (tmp_path / "steps").write_bytes(cloudpickle.dumps([users.first_clicks(3), users.screen_user(3, None)]))
     code = "import pickle; print(len(pickle.load(open('steps', 'rb'))))"
     done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
     assert done.stdout.strip() == "2"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from footfall.functions import numbers, present, times
 from footfall.operators import ads, categories, funnel, ranking, regions, sampling, sessions
 from footfall.plans import replay, views
+from footfall.schemas import CITY_INFO
 from footfall.sources import tables as source
 from footfall.sources.clicks import click_records, parse_clicks
 from footfall.streaming import ads as streams
@@ -170,6 +171,15 @@ def _sink(step):
     return lambda spark, d: step(spark, views.ad_clicks(spark, d))
 
 
+# A dimension given in the program instead of a table.
+CITY_ROWS = [(i, f"city{i:02}", f"area{i % 7}") for i in range(25)]
+
+
+def _area_literal(spark, d):
+    cities = source.literal_table(spark, CITY_ROWS, CITY_INFO)
+    return regions.area_top_products(views.visit_actions(spark, d), views.products(spark, d), cities, task_id="run-1")
+
+
 QUERIES: dict[str, Query] = {
     # scans and filters
     "actions_date_range": _actions_date_range,
@@ -185,6 +195,8 @@ QUERIES: dict[str, Query] = {
     "session_visit_buckets": lambda s, d: sessions.visit_buckets(_kept(s, d)),
     "session_step_buckets": lambda s, d: sessions.step_buckets(_kept(s, d)),
     "session_aggr_stat": _session_aggr_stat,
+    "session_aggr_stat_task": lambda s, d: sessions.session_aggr_stat(
+        views.visit_actions(s, d), views.users(s, d), task_id="run-1"),
     "sessions_per_hour": _per_hour,
     "hour_share_of_day": lambda s, d: sampling.hour_share_of_day(_per_hour(s, d)),
     "hour_quota": lambda s, d: sampling.hour_quota(_per_hour(s, d), SAMPLE),
@@ -208,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "city_product_clicks": _area(regions.city_product_clicks, with_dims=False),
     "area_product_citycounts": _area(regions.area_product_counts),
     "area_top3_product": _area(regions.area_top_products),
+    "area_top3_literal_cities": _area_literal,
     # ranking
     "rank_per_group": _score_query(ranking.rank_per_group),
     "row_number_per_group": _score_query(ranking.row_number_per_group),
@@ -246,6 +259,8 @@ QUERIES: dict[str, Query] = {
                                            exact=True),
     "stream_ad_job_trend_unfiltered": _stream(lambda s, base: streams.last_minutes(streams.read_trend(s, base)),
                                               streams.start_ad_job, threshold=THRESHOLD, trend_of_all=True),
+    "stream_ad_job_stat_by_batch": _stream(streams.read_stat, streams.start_ad_job, threshold=THRESHOLD),
+    "stream_ad_blacklist_by_batch": _stream(streams.read_blacklist, streams.start_blacklist, threshold=THRESHOLD),
     "stream_ad_blacklist": _screened(screening.read_listed),
     "stream_ad_filtered_clicks": _screened(
         lambda s, base: _click_rows(screening.read_kept(s, base))),
@@ -257,6 +272,7 @@ QUERIES: dict[str, Query] = {
     "sink_upsert_set": _sink(replay.upsert_set_twice),
     "sink_replace_by_key": _sink(replay.replace_twice),
     "sink_insert_new": _sink(replay.insert_new_twice),
+    "sink_replace_table": _sink(replay.table_twice),
     # scalar functions
     "time_functions": _time_functions,
     "round_half_up": _round_half_up,

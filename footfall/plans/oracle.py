@@ -381,3 +381,20 @@ ORACLE["sink_append"] = _with(CLICKS, """
 half AS (SELECT *, ts >= (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM all_click) AS late FROM all_click)""",
     select='SELECT * EXCLUDE (late) FROM (' + MINUTE.format("half").replace(
         "SELECT date,", "SELECT late, date,").replace("GROUP BY 1, 2, 3, 4", "GROUP BY 1, 2, 3, 4, 5") + ')')
+
+# By batch: a user listed in the first half of the time counts in it to its end, and not after.
+_HALVES = """
+half AS (SELECT *, ts >= (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM all_click) AS late FROM all_click)"""
+_LISTED = "SELECT DISTINCT userid FROM {} GROUP BY date, userid, adid HAVING count(*) >= " + str(THRESHOLD)
+ORACLE["stream_ad_job_stat_by_batch"] = _with(CLICKS, _HALVES, f"""
+kept_click AS (
+  SELECT * FROM half WHERE NOT late OR userid NOT IN ({_LISTED.format("half WHERE NOT late")}))""",
+    select=STAT.format("kept_click"))
+ORACLE["stream_ad_blacklist_by_batch"] = _with(CLICKS, select=_LISTED.format("all_click"))
+ORACLE["sink_replace_table"] = _with(CLICKS, select=USER_COUNT.format("all_click"))
+ORACLE["session_aggr_stat_task"] = f"SELECT 'run-1' AS task_id, * FROM ({ORACLE['session_aggr_stat']})"
+_LITERAL = """
+city_info AS (
+  SELECT CAST(i AS INTEGER) AS city_id, 'city' || lpad(CAST(i AS VARCHAR), 2, '0') AS city_name, 'area' || (i % 7) AS area
+  FROM range(25) r(i))"""
+ORACLE["area_top3_literal_cities"] = f"SELECT 'run-1' AS task_id, * FROM ({ORACLE['area_top3_product'].replace(CITIES, _LITERAL)})"

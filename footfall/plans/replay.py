@@ -7,6 +7,7 @@ this also goes through stopping and resuming.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +84,14 @@ def replace_twice(spark: SparkSession, clicks: DataFrame) -> DataFrame:
     return tables.read_or_empty(spark, path, schemas.AD_PROVINCE_TOP3)
 
 
+def table_twice(spark: SparkSession, clicks: DataFrame) -> DataFrame:
+    """A catalog table of user counts, written for the first half and then replaced by that of all clicks."""
+    name, path = f"user_counts_{uuid.uuid4().hex}", shared_dir(spark, "table")
+    for part in (time_parts(clicks, 2)[0], clicks):
+        tables.replace_table(ads.user_click_counts(part), name, ["date"], path)
+    return spark.table(name).select(*schemas.AD_USER_CLICK_COUNT.names)
+
+
 def insert_new_twice(spark: SparkSession, clicks: DataFrame) -> DataFrame:
     """Users of the first half, then the users new in the second half, twice."""
     path = shared_dir(spark, "sink")

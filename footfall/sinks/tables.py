@@ -26,9 +26,10 @@ ONE_RUN = "0"   # of callers that number all their batches themselves
 
 # ---- whole tables -------------------------------------------------------------------------
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Write a catalog table, replacing the one there is."""
-    by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
+    """Write a catalog table, replacing the one there is; its files lie in the warehouse or in ``path``."""
+    writer = by_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 
 def append_table(df: DataFrame, table: str) -> None:

@@ -249,6 +249,10 @@ QUERIES: dict[str, Query] = {
     "stream_ad_stat": _stream(streams.read_latest_stat, streams.start_stat),
     "stream_ad_stat_watermark": _stream(streams.read_latest_stat, streams.start_stat, watermark="1 day"),
     "stream_compacted_stat": _stream(streams.read_latest_stat, streams.start_stat, parts=7, fold_every=2),
+    "stream_log_stat": lambda s, d: streams.read_latest_stat(s, replay.log_resumed(s, views.ad_clicks(s, d))[0]),
+    "stream_log_ranges": lambda s, d: s.createDataFrame(
+        replay.log_resumed(s, views.ad_clicks(s, d))[1], "batch_id long, log_partition long, from_offset long, until_offset long"),
+    "stream_log_clamped": lambda s, d: streams.read_latest_stat(s, replay.log_clamped(s, views.ad_clicks(s, d))),
     "stream_ad_minute_clicks": _stream(streams.read_trend, streams.start_minute_clicks),
     "stream_ad_late_minutes": _stream(streams.read_trend, streams.start_minute_clicks, newest_first=True),
     "stream_ad_sliding": _screened(streams.read_sliding, streams.start_sliding_clicks),

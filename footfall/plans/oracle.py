@@ -398,3 +398,10 @@ city_info AS (
   SELECT CAST(i AS INTEGER) AS city_id, 'city' || lpad(CAST(i AS VARCHAR), 2, '0') AS city_name, 'area' || (i % 7) AS area
   FROM range(25) r(i))"""
 ORACLE["area_top3_literal_cities"] = f"SELECT 'run-1' AS task_id, * FROM ({ORACLE['area_top3_product'].replace(CITIES, _LITERAL)})"
+
+ORACLE["stream_log_stat"] = _with(CLICKS, select=STAT.format("all_click"))
+ORACLE["stream_log_clamped"] = _with(CLICKS, _HALVES, select=STAT.format("half WHERE late"))
+ORACLE["stream_log_ranges"] = _with(CLICKS, _HALVES, """
+sizes AS (SELECT CAST(late AS BIGINT) AS batch_id, userid % 4 AS log_partition, count(*) AS n FROM half GROUP BY 1, 2)""", select="""
+    SELECT batch_id, log_partition, CAST(end_ - n AS BIGINT) AS from_offset, CAST(end_ AS BIGINT) AS until_offset
+    FROM (SELECT *, sum(n) OVER (PARTITION BY log_partition ORDER BY batch_id) AS end_ FROM sizes)""")

@@ -20,7 +20,9 @@ from footfall.plans import views
 from footfall.runtime import shared_dir
 from footfall.sinks import tables
 from footfall.sources.clicks import click_records, parse_clicks, text_stream
+from footfall.sources.logs import append_log, log_stream, remove_segment, segments
 from footfall.streaming import ads as streams
+from footfall.streaming.offsets import offset_ranges
 from footfall.streaming.screening import kept_stream, start_screening
 
 Start = Callable[..., StreamingQuery]
@@ -124,3 +126,36 @@ def screened_tables(spark: SparkSession, sf_dir: str, threshold: int, start: Sta
         return start(kept_stream(spark, base), base, f"{checkpoint}/next", trigger=trigger)
 
     return run_in_parts(spark, views.ad_clicks(spark, sf_dir), both)
+
+
+# ---- a partitioned log, written in two halves ----------------------------------------------
+
+def log_halves(spark: SparkSession, clicks: DataFrame, between: Callable[[str], None] = lambda path: None) -> str:
+    """The clicks as a log with four partitions by user, a half after the other; ``between`` is called after each."""
+    path = f"{shared_dir(spark, 'log')}/clicks"
+    for part in time_parts(clicks, 2):
+        append_log(click_records(part), path, F.get(F.split("value", " "), 3).cast("long") % 4)
+        between(path)
+    return path
+
+
+def _stat_of_log(spark: SparkSession, log: str, root: str, start: str | dict[int, int] = "earliest") -> StreamingQuery:
+    query = streams.start_stat(parse_clicks(log_stream(spark, log, start)), f"{root}/tables", f"{root}/checkpoint", trigger=streams.UNTIL_NOW)
+    query.awaitTermination()
+    return query
+
+
+def log_resumed(spark: SparkSession, clicks: DataFrame) -> tuple[str, list[tuple[int, int, int, int]]]:
+    """Count a log after its first half, and again on the same checkpoint: the tables and the ranges of the batches."""
+    root, ranges = shared_dir(spark, "stream"), []
+    log_halves(spark, clicks, lambda log: ranges.extend(offset_ranges(_stat_of_log(spark, log, root))))
+    return f"{root}/tables", ranges
+
+
+def log_clamped(spark: SparkSession, clicks: DataFrame) -> str:
+    """Count a log from saved offsets of which the oldest segments, the first half, are no longer kept."""
+    root, log = shared_dir(spark, "stream"), log_halves(spark, clicks)
+    for own in segments(log).values():
+        remove_segment(log, own[0][2])
+    _stat_of_log(spark, log, root, {p: 5 for p in range(4)})
+    return f"{root}/tables"

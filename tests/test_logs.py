@@ -1,0 +1,81 @@
+"""The partitioned log: offsets, resuming, ranges, and segments that are no longer kept."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.sources import logs
+from footfall.streaming.offsets import offset_ranges
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    class Log:
+        path = str(tmp_path / "log")
+
+        def add(self, *values):
+            lines = spark.createDataFrame([(v,) for v in values], "value string")
+            return logs.append_log(lines, self.path, F.coalesce(F.length("value"), F.lit(0)) % 3)
+
+        def lines(self, **options):
+            return sorted(tuple(r) for r in logs.read_log(spark, self.path, **options).collect())
+
+        def follow(self, start="earliest", name="a"):
+            query = (logs.log_stream(spark, self.path, start).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/{name}-c")
+                     .option("path", f"{tmp_path}/{name}").trigger(availableNow=True).start())
+            query.awaitTermination()
+            rows = spark.read.schema(logs.SCHEMA).parquet(f"{tmp_path}/{name}").collect()
+            return offset_ranges(query), sorted(tuple(r) for r in rows)
+    return Log()
+
+
+def test_offsets_go_on_per_partition(log):
+    assert log.add("a", "bb", "cccc", "", None) == [(0, 0, 2), (1, 0, 2), (2, 0, 1)]
+    assert log.add("dd\nx", "eeeee") == [(1, 2, 3), (2, 1, 2)]
+    lines = log.lines()
+    assert [(p, o) for p, o, _ in lines] == [(0, 0), (0, 1), (1, 0), (1, 1), (1, 2), (2, 0), (2, 1)]
+    assert sorted(v for _, _, v in lines) == sorted(["a", "bb", "cccc", "", "", "dd x", "eeeee"])
+    assert not [f for _, _, names in os.walk(log.path) for f in names if f.endswith(".tmp")]
+    assert log.lines(start={1: 1, 2: 1}, end={1: 2, 2: 9}) == [r for r in lines if r[:2] in ((1, 1), (2, 1))]
+    assert log.lines(start="latest") == []
+
+
+def test_a_query_resumes_and_reports_its_ranges(log):
+    log.add("a", "bb", "cccc")
+    ranges, rows = log.follow()
+    assert ranges == [(0, 1, 0, 2), (0, 2, 0, 1)] and rows == log.lines()
+    log.add("e", "fff", "gggggg")
+    ranges, rows = log.follow("latest")     # the checkpoint counts, not the start
+    assert ranges == [(1, 0, 0, 2), (1, 1, 2, 3)] and rows == log.lines()
+    assert log.follow("latest", name="new")[1] == []
+    assert [r[:2] for r in log.follow({0: 1, 1: 2}, name="saved")[1]] == [(0, 1), (1, 2), (2, 0)]
+
+
+def test_offsets_no_longer_kept_move_up(log):
+    for k in range(3):
+        log.add(f"a{k}xx", f"b{k}yy")
+    first, second, third = logs.segments(log.path)[1]
+    with pytest.raises(ValueError):
+        logs.remove_segment(log.path, second[2])
+    log.follow(name="old")
+    logs.remove_segment(log.path, first[2])
+    assert [r[1] for r in log.follow({1: 1}, name="late")[1]] == [2, 3, 4, 5]
+    logs.remove_segment(log.path, second[2])
+    with pytest.raises(ValueError):
+        logs.remove_segment(log.path, third[2])
+    assert log.add("zzzz") == [(1, 6, 7)]
+    assert [r[1] for r in log.follow(name="old")[1]] == list(range(7))
+
+
+def test_large_ranges_are_cut_for_tasks(log, monkeypatch):
+    log.add(*["abc"] * 25)
+    log.add(*["abc"] * 25)
+    cut = logs.spans(log.path, {"0": 3}, {"0": 48}, rows=10)
+    assert [(s.start, s.end, len(s.files)) for s in cut] == [(3, 13, 1), (13, 23, 1), (23, 33, 2), (33, 43, 1), (43, 48, 1)]
+    monkeypatch.setattr(logs, "BATCH", 4)
+    assert [o for s in cut for b in logs.read_span(log.path, s) for o in b.column(1).to_pylist()] == list(range(3, 48))
+
+
+def test_an_empty_log(log):
+    assert log.lines() == []

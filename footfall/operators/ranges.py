@@ -34,8 +34,8 @@ def spot(keys: list[str], order: list[Column]) -> Column:
     return F.struct(group.alias("g"), *[c.alias(f"s{i}") for i, c in enumerate(order)])
 
 
-def bounds(df: DataFrame, keys: list[str], order: list[Column], ranges: int = RANGES) -> list[Column]:
-    """The first places of all ranges but the first, from one reading of the rows.
+def bounds(df: DataFrame, keys: list[str], order: list[Column], ranges: int = RANGES) -> Column:
+    """The first places of all ranges but the first, in order, as an array; from one reading of the rows.
 
     Every task gives the rows with its smallest hashes, of which fewer are used the more tasks there are.  How small
     these hashes are tells how many rows the task has, which is what a row of the sample stands for.
@@ -46,22 +46,16 @@ def bounds(df: DataFrame, keys: list[str], order: list[Column], ranges: int = RA
     few = stored(rows.withColumn("_nth", F.row_number().over(by_task)).where(F.col("_nth") <= MOST), "sample")
     tasks = max(1, few.where(F.col("_nth") == 1).count())
     most = min(MOST, max(LEAST, -(-3 * ranges * PER_RANGE // tasks)))
-    few = few.where(F.col("_nth") <= most)
-    sizes = few.groupBy("_task").agg(F.max("_nth").alias("_rows"), F.max("_hash").alias("_largest"))
-    weight = F.when(F.col("_rows") < most, 1.0).otherwise(1 / F.greatest("_largest", F.lit(1e-15)))
-    sample = few.join(F.broadcast(sizes.select("_task", weight.alias("_weight"))), "_task")
-    so_far = F.sum("_weight").over(Window.orderBy("_spot").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    part = F.floor((F.col("_sum") - F.col("_weight") / 2) * ranges / F.col("_all"))
-    placed = sample.withColumn("_sum", so_far).withColumn("_all", F.sum("_weight").over(Window.partitionBy()))
-    firsts = (placed.withColumn("_part", part).where(F.col("_part") > 0).groupBy("_part").agg(F.min("_spot").alias("_spot"))
-              .select("_spot").distinct().orderBy("_spot"))
-    return [_literal(row[0], firsts.schema[0].dataType) for row in firsts.collect()]
-
-
-def _literal(value, kind: T.DataType) -> Column:
-    if isinstance(kind, T.StructType):
-        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind)])
-    return F.lit(value).cast(kind)
+    task, sample = Window.partitionBy("_task"), few.where(F.col("_nth") <= most)
+    sample = sample.withColumn("_weight", F.when(F.max("_nth").over(task) < most, 1.0).otherwise(
+        1 / F.greatest(F.max("_hash").over(task), F.lit(1e-15))))
+    # The sample is bounded by the ranges and the number of tasks, so it is put in order as a whole.
+    in_order = Window.orderBy("_spot")
+    so_far = F.sum("_weight").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = sample.withColumns({"_sum": so_far, "_all": F.sum("_weight").over(Window.partitionBy())})
+    placed = placed.withColumn("_part", F.floor((F.col("_sum") - F.col("_weight") / 2) * ranges / F.col("_all")))
+    firsts = placed.withColumn("_before", F.lag("_part", 1, 0).over(in_order)).where(F.col("_part") > F.col("_before"))
+    return stored(firsts.select("_spot"), "bounds").agg(F.sort_array(F.collect_set("_spot"))).scalar()
 
 
 def in_ranges(df: DataFrame, keys: list[str], score: str, name: str, ranges: int = RANGES) -> DataFrame:
@@ -74,20 +68,16 @@ def cut(df: DataFrame, keys: list[str], order: list[Column], ranges: int = RANGE
 
     Rows of one group that are equal in ``order`` are in one range.
     """
-    firsts = bounds(df, keys, order, ranges)
-    if not firsts:
-        return df.withColumns({"_range": F.lit(0), "_cut": F.lit(False)})
-    out = df.withColumn("_spot", spot(keys, order)).withColumn("_range", F.lit(0))
-    all_bounds = F.array(*firsts)
+    out = df.withColumns({"_bounds": bounds(df, keys, order, ranges), "_spot": spot(keys, order), "_range": F.lit(0)})
     # Binary search, a step per column: _range ends as the number of bounds that are not above the row.
-    step = 1 << (len(firsts).bit_length() - 1)
+    step = 1 << (max(1, ranges).bit_length() - 1)
     while step:
-        at = F.get(all_bounds, F.col("_range") + (step - 1))
+        at = F.get("_bounds", F.col("_range") + (step - 1))
         out = out.withColumn("_range", F.col("_range") + F.when(at <= F.col("_spot"), step).otherwise(0))
         step //= 2
     group = F.col("_spot.g")
-    through = F.get(all_bounds, F.col("_range"))["g"].eqNullSafe(group) | F.get(all_bounds, F.col("_range") - 1)["g"].eqNullSafe(group)
-    return out.withColumn("_cut", through).drop("_spot")
+    through = F.get("_bounds", F.col("_range"))["g"].eqNullSafe(group) | F.get("_bounds", F.col("_range") - 1)["g"].eqNullSafe(group)
+    return out.withColumn("_cut", through).drop("_spot", "_bounds")
 
 
 def within(df: DataFrame, keys: list[str], score: str, name: str, columns: dict[str, Column], ranges: int = RANGES) -> DataFrame:

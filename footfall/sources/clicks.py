@@ -15,6 +15,7 @@ FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 def split_record(lines: DataFrame, text_places: bool = False) -> DataFrame:
     """``value`` next to its five fields; a field that cannot be read is NULL, as is a time outside years 1 to 9999.
 
+    Fields are parted by one blank: after two of them a field is empty, which cannot be read.  What follows the fifth is ignored.
     ``text_places`` keeps province and city as text, for logs that name them.
     """
     at = [F.trim(F.get(F.split(F.col("value"), " "), i)) for i in range(5)]

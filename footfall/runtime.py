@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # What every job here relies on.  Anything the caller or the cluster sets wins.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -14,8 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_PROVIDER: ROCKSDB,
 }
 
 
@@ -30,6 +32,15 @@ def build_session(app: str = "footfall", master: str | None = None,
     return builder.getOrCreate()
 
 
+def need_map_state(spark: SparkSession) -> None:
+    """Map state needs a store of several column families: RocksDB takes the place of Spark's default in this session.
+
+    Queries with a checkpoint keep the store they began with; any other store that was set is left.
+    """
+    if spark.conf.get(STATE_PROVIDER).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_PROVIDER, ROCKSDB)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``.
 

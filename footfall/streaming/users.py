@@ -12,6 +12,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from footfall import schemas
 from footfall.operators import ads
+from footfall.runtime import need_map_state
 
 # ``listed`` marks the click that put its user on the blacklist; ``kept`` the clicks that count, where all are returned.
 KEPT_CLICK = T.StructType([*schemas.AD_CLICK, T.StructField("listed", T.BooleanType())])
@@ -145,6 +146,7 @@ def screened(clicks: DataFrame, threshold: int, keep_days: int | None = None, ex
     ``earlier`` has what users had before the stream began: ``userid, date, adid, click_count``, with a null date for a
     listed user.
     """
+    need_map_state(clicks.sparkSession)
     few = ads.with_day(clicks).select(*schemas.AD_CLICK.names, "date")
     if exact and not everything:
         few = few.mapInPandas(first_clicks(threshold), few.schema)

@@ -443,3 +443,15 @@ def test_stream_steps_run_where_the_package_is_not(tmp_path):
     code = "import pickle; print(len(pickle.load(open('steps', 'rb'))))"
     done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
     assert done.stdout.strip() == "2"
+
+
+def test_map_state_gets_a_store_that_can_hold_it(spark):
+    """In a session made by others too; a store of another kind stays."""
+    from footfall import runtime
+    other = spark.newSession()
+    other.conf.unset(runtime.STATE_PROVIDER)
+    hdfs = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    for before, after in ((hdfs, runtime.ROCKSDB), (runtime.ROCKSDB, runtime.ROCKSDB), ("own.Provider", "own.Provider")):
+        other.conf.set(runtime.STATE_PROVIDER, before)
+        runtime.need_map_state(other)
+        assert other.conf.get(runtime.STATE_PROVIDER) == after

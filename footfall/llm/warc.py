@@ -5,13 +5,17 @@ page with a smaller id has the same payload, a revisit that refers to that page'
 attempt, and only files that a finished task reports are in the manifest, so lost or repeated tasks leave nothing behind
 that is read.
 
-Reading.  A task gets a range of bytes of a file.  It looks for the magic of a gzip member, takes a place for one if
-what it holds decodes to the head of a record, and reads members on from there.  A record belongs to the range in which
-its member starts, so ranges need no index and nothing is read twice or left out.  One record is held at a time.
+Reading.  A task gets a range of bytes of a file.  It looks for the magic of a gzip member, takes a place for a candidate if
+what it holds decodes to the head of a record, and reads members on from the first confirmed one, each byte once.  A record
+belongs to the range in which its member starts, so nothing is read twice or left out.  A candidate may lie inside a payload
+that deflate stored as it is: archives written here name the starts of their members in the manifest, which confirms
+candidates at any size of ranges; in others (a manifest without ``starts``) members have to follow one another out of the range.
+Only an archive inside a payload that reaches out of the range can pass that; whoever reads such files gives a range per file.
 
 Edge cases.  A null payload is empty.  A null id has a record id of its own kind; null addresses are left out.  Repeated
 rows have equal ids: each is a response if that id is the smallest of its payload.  Payloads of any size and
-content are possible, archives inside payloads included.  No pages give no file and no record.
+content are possible, archives inside payloads included.  No pages give no file and no record.  In a damaged file reading
+goes on with the next confirmed member; in ranges after a file's first, members before the damage in that range may be lost.
 """
 
 from __future__ import annotations
@@ -33,7 +37,8 @@ from footfall.llm.blocks import in_blocks
 from footfall.runtime import shared_dir, stored
 
 MAGIC, HEAD = b"\x1f\x8b\x08", b"WARC/1."
-SPLIT_BYTES, CHUNK, BLOCK_BYTES = 32 << 20, 256 << 10, 4 << 20
+SPLIT_BYTES, CHUNK, BLOCK_BYTES = 32 << 20, 64 << 10, 4 << 20
+MOST_TASKS = 20_000   # beyond it a task reads several ranges, one after the other
 NO_ID, ID_BITS = 1 << 127, (1 << 64) - 1
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -103,71 +108,151 @@ def write(pages: DataFrame, folder: str | None = None, min_revisit_bytes: int =
         system, base = file_system(folder)
         system.create_dir(base, recursive=True)
         path = f"{base}/part-{context.partitionId():05d}-{context.taskAttemptId()}.warc.gz"
-        out, size = None, 0
+        out, size, starts = None, 0, []
         for batch, payloads in in_blocks(batches, "html", BLOCK_BYTES):
             out = out or system.open_output_stream(path, compression=None)
             columns = [batch.column(i).to_pylist() for i in range(4)]
             for page_id, address, first_id, revisit, payload in zip(*columns, payloads):
                 data = member(page_id, address, payload, first_id, revisit, date)
                 out.write(data)
+                starts.append(size)
                 size += len(data)
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], pa.int64())], ["path", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], pa.int64()),
+                                              pa.array([starts], pa.list_(pa.int64()))], ["path", "size", "starts"])
 
-    return stored(rows.mapInArrow(archive, "path string, size bigint"), "manifest").withColumn(
+    return stored(rows.mapInArrow(archive, "path string, size bigint, starts array<bigint>"), "manifest").withColumn(
         "folder", F.lit(folder))
 
 
-def splits(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Ranges of bytes (folder, path, size, start, stop), one per partition."""
+def splits(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, most: int = MOST_TASKS) -> DataFrame:
+    """Ranges of bytes (folder, path, size, start, stop, first), dealt evenly to a partition each, to ``most`` at the most.
+
+    ``first`` is where the first member of a range starts if the manifest says where members do; the file's size if none does.
+    """
     ranges = manifest.where("size > 0").select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1,
                                                        F.lit(split_bytes).cast("bigint"))).alias("start"))
     ranges = ranges.withColumn("stop", F.least(F.col("start") + split_bytes, "size"))
-    return ranges.coalesce(1).repartition(max(1, ranges.count()))
+    first = F.lit(None).cast("bigint")
+    if "starts" in manifest.columns:
+        inside = F.array_min(F.filter("starts", lambda at: (at >= F.col("start")) & (at < F.col("stop"))))
+        first = F.when(F.col("starts").isNotNull(), F.coalesce(inside, "size"))
+    ranges = ranges.select("folder", "path", "size", "start", "stop", first.alias("first"))
+    return ranges.coalesce(1).repartition(min(most, max(1, ranges.count())))
+
+
+class Forward:
+    """The bytes of a file from a place on, read forward in chunks; those before ``drop`` are let go."""
+
+    def __init__(self, handle, size: int, start: int):
+        self.handle, self.size, self.base, self.held, self.end = handle, size, start, bytearray(), start
+        handle.seek(start)
+
+    def more(self) -> bool:
+        """Read another chunk; False at the end of the file."""
+        chunk = self.handle.read(min(CHUNK, self.size - self.end))
+        self.held += chunk
+        self.end += len(chunk)
+        return bool(chunk)
+
+    def find(self, magic: bytes, at: int, stop: int) -> int | None:
+        """Where the magic is next found, starting before ``stop``."""
+        while True:
+            if (found := self.held.find(magic, at - self.base)) >= 0:
+                return self.base + found if self.base + found < stop else None
+            at = max(at, self.end - len(magic) + 1)
+            if at >= stop or not self.more():
+                return None
+
+    def drop(self, at: int) -> None:
+        gone = min(at, self.end) - self.base
+        del self.held[:gone]
+        self.base += gone
+
+    def pieces(self, at: int) -> Iterator[bytes]:
+        """The bytes from ``at`` on, in pieces that grow up to a chunk."""
+        most = 4 << 10
+        while at < self.end or self.more():
+            piece = bytes(memoryview(self.held)[at - self.base:at - self.base + most])
+            yield piece
+            at, most = at + len(piece), min(2 * most, CHUNK)
 
 
 class Members:
-    """The gzip members of a file that start in a range of bytes."""
+    """The gzip members of a file that start in a range of bytes.
 
-    def __init__(self, handle, size: int, start: int, stop: int):
-        self.handle, self.size, self.at, self.stop = handle, size, start, stop
+    The range is read once, forward.  ``first`` is the first member's start if it is known (the file's size: there is none).
+    Else a candidate counts if members follow one another from it until they have left the range, with one more after it or
+    the end of the file: so a member inside a payload that deflate has stored as it is does not count.
+    Compressed bytes of the range are held until that is known.
+    """
 
-    def bytes_at(self, at: int) -> bytes:
-        self.handle.seek(at)
-        return self.handle.read(min(CHUNK, self.size - at))
+    def __init__(self, handle, size: int, start: int, stop: int, first: int | None = None):
+        self.bytes, self.size, self.at, self.stop, self.first = Forward(handle, size, start), size, start, stop, first
+        self.sure = start == 0 and first is None   # what a file starts with is a member if it decodes
+        self.refused: set[int] = set()
+        self.cut = False   # whether the last member looked at goes on where the file ends
 
-    def inflated(self, at: int) -> tuple[bytes, int] | None:
-        """The record whose member starts here and where the member ends, if there is one."""
-        press, data, end = zlib.decompressobj(31), [], at
+    def inflated(self, at: int, keep: bool = True) -> tuple[bytes, int] | None:
+        """The record whose member starts here (its head only unless ``keep``) and where the member ends, if there is one."""
+        press, data, head, end = zlib.decompressobj(31), [], b"", at
+        self.cut = False
         try:
-            while not press.eof and end < self.size:
-                chunk = self.bytes_at(end)
-                data.append(press.decompress(chunk))
-                end += len(chunk)
-                if not (data[0] + (data[1] if len(data) > 1 else b""))[:len(HEAD)].startswith(HEAD[:len(data[0])]):
-                    return None
+            for piece in self.bytes.pieces(at):
+                out = press.decompress(piece)
+                end += len(piece)
+                if len(head) < len(HEAD):
+                    head += out[:len(HEAD)]
+                    if not head.startswith(HEAD[:len(head)]):
+                        return None
+                if keep:
+                    data.append(out)
+                if press.eof:
+                    break
         except zlib.error:
             return None
-        record = b"".join(data)
-        return (record, end - len(press.unused_data)) if press.eof and record.startswith(HEAD) else None
+        self.cut = not press.eof and head.startswith(HEAD)
+        return (b"".join(data), end - len(press.unused_data)) if press.eof and head.startswith(HEAD) else None
+
+    def confirmed(self, at: int) -> bool:
+        """Whether a candidate is a member of the file and not of a payload."""
+        if self.first is not None:
+            return at == self.first and self.inflated(at, keep=False) is not None
+        chain: list[int] = []
+        while at < self.size:
+            done = bool(chain) and at >= self.stop
+            found = None if at in self.refused else self.inflated(at, keep=False)
+            if found is None and chain and self.cut:
+                return True
+            if found is None:
+                self.refused.update(chain)   # they all lead here
+                return False
+            if done:
+                return True
+            chain.append(at)
+            at = found[1]
+        return True
 
     def __iter__(self) -> Iterator[bytes]:
         while self.at < self.stop:
-            window = self.bytes_at(self.at)
-            found = window.find(MAGIC)
-            if found < 0:
-                self.at += max(1, len(window) - len(MAGIC) + 1)
-                continue
-            self.at += found
-            if self.at >= self.stop:
-                return
+            if not self.sure:
+                found = self.bytes.find(MAGIC, self.at, self.stop)
+                if found is None:
+                    return
+                self.at = found
+                if not self.confirmed(found):
+                    self.at += 1
+                    self.bytes.drop(self.at)
+                    continue
             record = self.inflated(self.at)
+            self.sure = record is not None   # what follows a member is one, unless the file is damaged
             if record is None:
-                self.at += 1
+                self.first = None
                 continue
             yield record[0]
             self.at = record[1]
+            self.bytes.drop(self.at)
 
 
 def parsed(record: bytes) -> tuple | None:
@@ -207,7 +292,8 @@ def read(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = T
                 system, _ = file_system(split["folder"])
                 rows, held = [], 0
                 with system.open_input_file(split["path"]) as handle:
-                    for record in Members(handle, split["size"], split["start"], split["stop"]):
+                    for record in Members(handle, split["size"], split["start"], split["stop"],
+                                          split["first"]):
                         if (row := parsed(record)) is None:
                             continue
                         rows.append(row if payloads else (*row[:-1], None))

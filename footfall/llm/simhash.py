@@ -9,7 +9,7 @@ blocks at most, so they agree in some choice of the others: there is a table per
 its blocks, and two fingerprints within the radius meet in one table at least.  Equal fingerprints are one entry with a count.
 
 Edge cases.  Null text is empty; a text without words has the fingerprint 0.  Equal texts have
-equal fingerprints.  Ids may be null (first in order) or repeated (in the order of their texts).  One row alone is its own next.
+equal fingerprints.  Ids may be null (first in order) or repeated (in the order of a hash of their texts).  One row alone is its own next.
 """
 
 from __future__ import annotations
@@ -129,7 +129,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     given = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     kind = dict(given.dtypes)["id"]
     columns = f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint bigint, edited bigint, next bigint"
-    rows = stored(given.repartitionByRange("id", "text").sortWithinPartitions("id", "text").mapInArrow(
+    tie = F.xxhash64("text")   # texts themselves are no bounds of ranges: those pass through the driver
+    rows = stored(given.repartitionByRange("id", tie).sortWithinPartitions("id", tie, "text").mapInArrow(
         _in_order, f"kind int, part int, {columns}, text string"), "simhash")
     heads, tails = rows.where("kind = 1"), rows.where("kind = 2")
     order = heads.select("part", F.coalesce(
@@ -154,8 +155,11 @@ def masks(blocks: int = BLOCKS, radius: int = RADIUS) -> list[int]:
     return [m - (1 << BITS) if m >= 1 << (BITS - 1) else m for m in found]
 
 
-def neighbours(queries: DataFrame, all_rows: DataFrame, blocks: int = BLOCKS, radius: int = RADIUS) -> DataFrame:
-    """For each distinct fingerprint of ``queries``: how many rows of ``all_rows`` are within ``radius`` bits of it."""
+def links(queries: DataFrame, all_rows: DataFrame, blocks: int = BLOCKS, radius: int = RADIUS) -> DataFrame:
+    """All pairs (asked, fingerprint, bits, n) of distinct fingerprints of both sides within ``radius`` bits.
+
+    ``bits`` says how many differ and ``n`` how many rows of ``all_rows`` have that fingerprint; which rows these are, the rows say.
+    """
     def table(rows: DataFrame, name: str) -> DataFrame:
         keys = F.array(*[F.col(name).bitwiseAND(F.lit(m)) for m in masks(blocks, radius)])
         return rows.select("*", F.posexplode(keys).alias("table", "key"))
@@ -164,4 +168,10 @@ def neighbours(queries: DataFrame, all_rows: DataFrame, blocks: int = BLOCKS, ra
     there = table(all_rows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")), "fingerprint")
     near = F.bit_count(F.col("asked").bitwiseXOR(F.col("fingerprint"))) <= radius
     pairs = asked.join(there, ["table", "key"]).where(near).select("asked", "fingerprint", "n").distinct()
+    return pairs.select("asked", "fingerprint", F.bit_count(F.col("asked").bitwiseXOR(F.col("fingerprint"))).alias("bits"), "n")
+
+
+def neighbours(queries: DataFrame, all_rows: DataFrame, blocks: int = BLOCKS, radius: int = RADIUS) -> DataFrame:
+    """For each distinct fingerprint of ``queries``: how many rows of ``all_rows`` are within ``radius`` bits of it."""
+    pairs = links(queries, all_rows, blocks, radius)
     return pairs.groupBy(F.col("asked").alias("fingerprint")).agg(F.sum("n").alias("n_near"))

@@ -35,9 +35,20 @@ def test_search_finds_all_within_the_radius(spark):
     found = {r.fingerprint: r.n_near for r in simhash.neighbours(rows, rows).collect()}
     mask = (1 << 64) - 1
     assert found == {v: sum(((v ^ w) & mask).bit_count() <= 3 for w in values) for v in set(values)}
+    pairs = {(r.asked, r.fingerprint): r for r in simhash.links(rows, rows).collect()}
+    assert set(pairs) == {(v, w) for v in set(values) for w in set(values) if ((v ^ w) & mask).bit_count() <= 3}
+    assert all(r.bits == ((v ^ w) & mask).bit_count() and r.n == values.count(w) for (v, w), r in pairs.items())
     assert len(simhash.masks()) == comb(simhash.BLOCKS, simhash.RADIUS)
 
 
+def test_no_texts_in_the_bounds_of_ranges(odd):
+    plan = simhash.with_next(odd)._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan   # it has run: the rows are read back
+    rows = odd.selectExpr("doc_id AS id", "text")
+    ranged = rows.repartitionByRange("id", simhash.F.xxhash64("text"))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(id" in ranged and "xxhash64" in ranged
+
+
 def test_odd_rows(odd, none):
     found = simhash.with_next(odd).collect()
     assert len(found) == len(ROWS)

@@ -2,8 +2,9 @@
 
 The canonical form of a text is what remains when case, punctuation and white space are taken away, lines that
 state a copyright are left out, and equivalent spellings are made one.  A whole text, and each of its lines as a text of its
-own, is a known licence if the digest of its canonical form is one.  Notices that follow a copyright statement on its line are
-looked up too.  The entire texts in ``license_texts`` are known as whole texts, and inside longer ones by their blocks (what
+own, is a known licence if the digest of its canonical form is one.  Notices that follow a copyright statement, up to the end of its
+line, are looked up too; only as many characters before that end are tried as the longest known notice can take.  Marks that make
+lines comments are no part of them, and a comment ends where they do.  The entire texts in ``license_texts`` are known as whole texts, and inside longer ones by their blocks (what
 stands between blank lines, with or without a first line, which may be a title): a text that has all blocks of one holds
 it.  Everything is column expressions and one join.
 
@@ -58,6 +59,11 @@ COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 # The entire texts as (licence, text); of one licence there may be several, in other layouts.
 TEXTS = [(path.stem.removesuffix(".2"), path.read_text()) for path in sorted(
     (Path(__file__).parent / "license_texts").glob("*.txt"))] + [NOTICES[-1]]
+APPENDICES = ("APPENDIX: How to apply", "How to Apply These Terms to Your")   # a licence may stand without what follows
+TEXTS += [(name, text[:text.index(mark)]) for name, text in TEXTS for mark in APPENDICES if mark in text]
+LINE_CUE = "warrant|licen[sc]e|reserved"   # in every notice, so lines without it are not looked up
+LONGEST = 2 * max(len(text) for _, text in NOTICES)   # separators and spellings take less than a notice's length again
+LEADER = r"[ \t]*(?:/\*+|//+|\*+/?|#+|--+|;+|%+|<!--)"
 CUE = "warrant|licen[sc]e"   # in every entire text, so texts without it are not cut in blocks
 TITLE_WORDS = 8        # shorter blocks, such as titles and headings, may be missing
 BLANK_LINES = r"\n(?:[ \t\r\f]*\n)+"
@@ -110,11 +116,23 @@ def sha256(form: Column) -> Column:
 
 
 def after_copyright(line: Column) -> Column:
-    """What may be a notice after the copyright statement of a line: all that follows a full stop, comma or semicolon."""
-    parts = F.split(line, r"[.,;] +")
-    rests = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda at: F.array_join(F.slice(parts, at, 1000), ". "))
-    return F.when(line.rlike(r"(?i)^[ \t]*(copyright|\(c\)|©)") & (F.size(parts) > 1), rests).otherwise(
-        F.array().cast("array<string>"))
+    """What may be a notice after the copyright statement of a line: all that follows a full stop, comma or semicolon.
+
+    At most ``LONGEST`` characters (other signs and blanks in a row as one), so a line costs no more than in proportion to its length.
+    """
+    plain = F.regexp_replace(F.regexp_replace(line, "[^A-Za-z0-9.,;]+", " "), "[.,; ]{2,}", ". ")
+    # A value of its own to the function inside, which would else split the line again for each rest.
+    cut = F.when(line.rlike(r"(?i)^[ \t]*(copyright|\(c\)|©)"), F.array(F.split(F.right(plain, F.lit(LONGEST)), r"[.,;] "))
+                 ).otherwise(F.array().cast("array<array<string>>"))
+    several = F.filter(cut, lambda parts: F.size(parts) > 1)
+    return F.flatten(F.transform(several, lambda parts: F.transform(
+        F.sequence(F.lit(2), F.size(parts)), lambda at: F.array_join(F.slice(parts, at, LONGEST), ". "))))
+
+
+def uncommented(text: Column) -> Column:
+    """The text without the marks of comment lines, with a blank line after a comment."""
+    apart = F.regexp_replace(text, rf"(?m)^({LEADER}[^\n]*\n)(?!{LEADER})", "$1\n")
+    return F.regexp_replace(apart, f"(?m)^{LEADER}", "")
 
 
 def known(spark: SparkSession, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
@@ -173,7 +191,12 @@ def scan(docs: DataFrame, licenses: DataFrame | None = None, id_col: str = "doc_
                                    F.array().cast("array<int>").alias("entire"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
     given = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(given, "\n"), lambda line: line != "")
+    cue = LINE_CUE if counts else ""   # given digests may be of lines without it
+    lines = F.when(given.rlike(f"(?i){cue}"), F.filter(F.split(given, "\n"), lambda line: (line != "") & line.rlike(
+        f"(?i){cue}"))).otherwise(F.array().cast("array<string>"))
+    marked = given.rlike(f"(?i){CUE}") & given.rlike(f"(?m)^{LEADER}")
+    bare = F.when(marked, uncommented(given))
+    both = F.when(marked, F.concat(given, F.lit("\n\n"), bare)).otherwise(given)
 
     def unit(kind: str, at: Column, value: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), at.cast("int").alias("line"), value.alias("digest"))
@@ -182,11 +205,13 @@ def scan(docs: DataFrame, licenses: DataFrame | None = None, id_col: str = "doc_
         F.array(unit("whole", F.lit(-1), digest("text"))),
         F.transform(lines, lambda line, i: unit("line", i, digest(line))),
         F.flatten(F.transform(lines, lambda line, i: F.transform(
-            after_copyright(line), lambda rest: unit("line", i, digest(rest))))),
+            after_copyright(F.regexp_replace(line, f"^{LEADER}", "")), lambda rest: unit("line", i, digest(rest))))),
         F.when(given.rlike(f"(?i){CUE}"), F.array(*[unit("full", F.lit(-1), sha256(F.array_join(long_blocks(of), " ")))
                                                 for of in (given, F.regexp_replace(given, TITLE_LINE, ""))]))
         .otherwise(F.array()),
-        F.transform(blocks(given), lambda form: unit("block", F.lit(-1), sha256(form))))).alias("unit"))
+        F.when(marked, F.array(*[unit("full", F.lit(-1), sha256(F.array_join(long_blocks(of), " ")))
+                                 for of in (bare, F.regexp_replace(bare, TITLE_LINE, ""))])).otherwise(F.array()),
+        F.transform(blocks(both), lambda form: unit("block", F.lit(-1), sha256(form))))).alias("unit"))
     found = units.select("row", "id", "unit.*").join(licenses, "digest", "left")
     whole, line, full, block = (F.col("kind") == kind for kind in ("whole", "line", "full", "block"))
     sums = found.groupBy("row").agg(

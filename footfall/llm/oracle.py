@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 
 from footfall.llm.chat import ATTACHED, AUDIO_NAMES, DOCUMENT_NAMES, EXPANSION, LOOKS, WORD
-from footfall.llm.licenses import COPYRIGHT_LINE, NOTICES, SPELLINGS, VERSION
+from footfall.llm.licenses import COPYRIGHT_LINE, NOTICES, SPELLINGS, TEXTS, VERSION, without_title
 from footfall.llm.mixing import BLOCK_ROWS, schedule
 
 # The target weights of the mix: parts of 100.
@@ -35,8 +35,9 @@ def _canonical() -> str:
     return f"trim(regexp_replace({form}, ' +', ' ', 'g'))"
 
 
+WHOLE = [*NOTICES, *((name, form) for name, text in TEXTS for form in (text, without_title(text)))]
 LICENSES = f"""
-WITH notices(license, text) AS (VALUES {', '.join(f"({_quoted(a)}, {_quoted(b)})" for a, b in NOTICES)}),
+WITH notices(license, text) AS (VALUES {', '.join(f"({_quoted(a)}, {_quoted(b)})" for a, b in WHOLE)}),
 units AS (
     SELECT doc_id, true AS whole, text FROM documents
     UNION ALL SELECT doc_id, false, unnest(string_split(coalesce(text, ''), chr(10))) FROM documents),

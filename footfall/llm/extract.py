@@ -4,8 +4,11 @@ Events of the standard library's parser build a page's lines (the text of one bl
 blank) without a tree.  A line's ratio is its characters per tag; ratios are smoothed by a Gaussian over neighbouring
 lines, and lines at or above the threshold (a share of the mean) are content.  Neighbouring content lines are clusters.
 The article element that holds nearly all of the clusters' text, or else the innermost section that holds all of it and the
-title, is the article, and its lines are the result, short ones too.  Lines in elements that are never article text (menus, headers, footers, asides, forms, scripts), or
-whose class, id or role says so (adverts, notices, comments, ...), neither count nor are returned; nor, outside an
+title, is the article, and its lines are the result, short ones too.  A cluster begins and ends with a line that is content by its own ratio, or a section
+that it reaches as a whole.  Lines in
+elements that are never article text (menus, headers, footers, asides, forms, scripts), or whose class, id or role says so as a
+whole (adverts, notices, comments, ...; ``related-work`` does not), neither count nor are returned; paragraphs, headings and such, and
+sections by their id, only if named as comments, adverts or teasers, since those names may be words of the article.  Nor, outside an
 article element, menus: lines that are mostly links, have less text to a tag than content has, and stand in a section or list
 that is mostly links (a section of one line counts with the section around it).
 
@@ -42,11 +45,18 @@ TRACKED = BREAKS | SECTIONS
 HINTS = frozenset("ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner nav navbar "
                   "navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer foot masthead topbar "
                   "cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe "
-                  "subscription signup login comment comments commentlist reply replies respond disqus discussion share sharing "
+                  "subscription signup login comment comments commentlist reply replies respond disqus share sharing "
                   "social related recommended recommendations teaser pagination pager copyright legal disclaimer toolbar "
                   "search searchform hidden complementary contentinfo dialog alertdialog".split())
 SITE_HEADER = frozenset("site page top global main header".split())
 ARTICLE_HINTS = frozenset("comment comments reply replies related teaser promo sponsored ad ads advert".split())
+# Words that say nothing of what an element is for.
+NEUTRAL = frozenset("post posts article articles story stories entry page site user users reader readers author main primary "
+                    "secondary global top bottom left right inner outer header body content text title list item items box boxes "
+                    "container wrapper wrap section block area zone unit slot panel group row col column columns bar link links button "
+                    "buttons icon icons form field media module region message policy google thread count fixed sticky floating "
+                    "mobile desktop small large first last even odd".split())
+PARAGRAPHS = HEADINGS | frozenset("p blockquote pre li tr td dt dd figure figcaption caption table hr address".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+").findall
 
 
@@ -139,13 +149,17 @@ def named_so(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     """Whether attributes say that an element is not part of the article."""
     if not attrs or tag in ("html", "body"):
         return False
-    hints = ARTICLE_HINTS if tag in ("article", "main") else HINTS
     for name, value in attrs:
         value = value or ""
         if name in ("class", "id", "role"):
-            words = {word.lower() for word in WORDS(value)}
-            if words & hints or "header" in words and words <= SITE_HEADER:
-                return True
+            if name == "id" and tag in HEADINGS:
+                continue   # a heading's id is made of its words
+            few = tag in ("article", "main") or tag in PARAGRAPHS or name == "id" and tag == "section"
+            hints = ARTICLE_HINTS if few else HINTS
+            for token in value.split():
+                words = {word.lower() for word in WORDS(token) if not word.isdigit()}
+                if words & hints and words <= hints | NEUTRAL or "header" in words and words <= SITE_HEADER:
+                    return True
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
                 name == "style" and "display:none" in value.replace(" ", "").lower()):
             return True
@@ -160,6 +174,26 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel, "full")[reach:reach + len(ratios)] / weight
 
 
+def clustered(lines: list[tuple], level: np.ndarray, ratios: np.ndarray, least: float) -> np.ndarray:
+    """Which lines are in clusters: smoothed ratios at or above ``least``, from the first to the last line with such a ratio of its own.
+
+    Smoothing has a cluster reach into what stands before and after it; a section counts there only if reached as a whole.
+    """
+    chosen = level >= least
+    own = np.flatnonzero(chosen & (ratios >= least))
+    run = np.cumsum(~chosen)                 # equal within a cluster
+    out = np.zeros(len(level), bool)
+    if len(own):
+        out[own] = True
+        innermost = [path[-1] if path else -1 for _, _, _, path, *_ in lines]
+        missed = {section for section, there in zip(innermost, chosen.tolist()) if not there}
+        out |= chosen & np.array([section not in missed for section in innermost])
+        for a, b in zip(own[:-1].tolist(), own[1:].tolist()):
+            if b > a + 1 and run[a] == run[b]:
+                out[a:b] = True
+    return out
+
+
 def main_text(html: str) -> str:
     """The article of one page: its blocks in order, a line each."""
     page = Lines()
@@ -172,9 +206,10 @@ def main_text(html: str) -> str:
     level = smoothed(ratios)
     least = THRESHOLD * level.mean()
     menu = menus(lines, ratios, least)
+    content = clustered(lines, level, ratios, least) & ~menu
     mass: dict[int, int] = {}
     total = 0
-    for line, chosen in zip(lines, ((level >= least) & ~menu).tolist()):
+    for line, chosen in zip(lines, content.tolist()):
         if chosen:
             total += len(line[0])
             for section in line[3]:

@@ -48,7 +48,7 @@ def load(docs: DataFrame, content: str, id_col: str = "doc_id", text: str = "tex
     sha256 = F.unhex(F.sha2(normal(text).cast("binary"), 256))
     locator = F.concat(F.lit(f"{uuid.uuid4().hex}:"), F.monotonically_increasing_id().cast("string"))
     rows = docs.select(F.col(id_col).alias("id"), locator.alias("locator"), sha256.alias("sha256"),
-                       F.struct(*docs.columns).alias("doc"))
+                       F.struct(*["`" + c.replace("`", "``") + "`" for c in docs.columns]).alias("doc"))
     (rows.select("id", "locator", F.substring("sha256", 1, digest_bytes).alias("digest"), "sha256", "doc")
      .write.mode("append").parquet(content))
 

@@ -13,7 +13,7 @@ counts says how many come before each range.
 
 Edge cases.  A null source has no target of its own.  Null ids are ordered as empty text; rows with equal ids follow
 each other in any order, and every row is kept.  Column names of ``docs`` may be anything but the names added here, all
-of which begin with ``mix_``.
+of which begin with ``mix_`` (an error says so).
 """
 
 from __future__ import annotations
@@ -58,6 +58,8 @@ def slots(docs: DataFrame, targets: Mapping[str, int], id_col: str = "doc_id", s
     parts = [*targets.values(), other]
     if min(parts) < 1:
         raise ValueError("every target needs a part at least")
+    if clashing := [c for c in docs.columns if c.lower().startswith("mix_")]:
+        raise ValueError(f"columns that begin with mix_ are added here, so these cannot be mixed: {clashing}")
     names = F.array(*[F.lit(name) for name in targets]) if targets else F.array().cast("array<string>")
     number = F.coalesce(F.array_position(names, F.col(source)), F.lit(0)).cast("int")
     rows = docs.withColumn("mix_class", F.when(number > 0, number - 1).otherwise(len(targets)))

@@ -364,14 +364,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
                         F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """The name, or with underscores before it if ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class, all columns; of repeated rows one stays."""
     found = classes(docs, id_col, text)
     stay = (found.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("label", "class_id")
-            .agg(F.min("node").alias("keep_node")).select(F.col("class_id").alias("keep_id"), "keep_node"))
-    kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col("keep_id")) & (node_of(text) == F.col("keep_node")),
-                     "left_semi")
+            .agg(F.min("node").alias("keep_node")))
+    of_id, of_node, copy = (unused(docs, name) for name in ("keep_id", "keep_node", "copy"))
+    stay = stay.select(F.col("class_id").alias(of_id), F.col("keep_node").alias(of_node))
+    kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col(of_id)) & (node_of(text) == F.col(of_node)), "left_semi")
     if not found.groupBy("id", "node").count().where("count > 1").limit(1).count():
         return kept
     key = Window.partitionBy(node_of(text), F.col(id_col)).orderBy(F.lit(0))
-    return kept.withColumn("__copy", F.row_number().over(key)).where("__copy = 1").drop("__copy")
+    return kept.withColumn(copy, F.row_number().over(key)).where(F.col(copy) == 1).drop(copy)

@@ -1,19 +1,26 @@
-"""Language-model scores: a hashed maximum-entropy model over word classes.
+"""Language-model scores: a hashed maximum-entropy model, factored by word classes.
 
 Tokens are words (A-Z lower-cased) and one end per text.  The probability of a token is that of its class given
-what stands before it, times that of the token within its class:
+what stands before it, times that of the token within its class, given the words before it:
 
 * Classes.  A word's class is a hash of its last three bytes, one of ``CLASSES``; the end is a class of its own.  The class is
   drawn from a softmax whose features are a bias, the class before (n-gram), the class before that (skip), and
   both hashed together into ``PAIRS`` rows (longer n-gram).
-* Words.  Within its class a known word of count c has (c - D_k) / N_k, and the event of any word not seen in training has
-  D_k V_k / N_k, where the class has N_k tokens of V_k kinds and D_k, between 0 and 1, follows from how many kinds
-  were seen once and twice (absolute discounting).  So the probabilities of all events add up to 1.
+* Words.  The words of a class are dealt into ``BUCKETS`` by a hash of the whole word.  The bucket is drawn from a second softmax, one for
+  each class, whose features are a bias, the word before (n-gram), the word before that (skip), and both together (longer n-gram),
+  hashed into ``ROWS`` rows a class.  Words of one bucket, which is what the hash has to make of a vocabulary without bound, share its
+  probability by their counts: with count c a word has (c - D_k) / (N_b - D_k V_b), where the bucket has N_b tokens of V_b kinds.
+* Unseen words.  The event of any word of a class not seen in training has D_k V_k / N_k, where the class has N_k
+  tokens of V_k kinds, and the words seen share the rest; D_k, between 0 and 1, follows from how many kinds were seen
+  once and twice (absolute discounting).  A bucket without words has no chance.  So the probabilities of all events add up to 1.
 
 Everything is learned from all training tokens.  One pass cuts the texts into blocks, numbers each block's
-words, and writes the numbered texts, the words with their counts, and how often each class followed each context.
-Words are added up over blocks by a shuffle; contexts too, and the gradient of the softmax is
-computed from them in ``ROUNDS`` jobs, each of which adds up the parts' gradients.  For scoring, the counts go back to the
+words, and writes the numbered texts, the words with their counts, how often each class followed each context, and how
+often each bucket stood with each feature of the words before.  Words are added up over blocks by a shuffle; so are
+contexts, from which the gradient of the first softmax is computed in ``ROUNDS`` jobs, each adding up the parts' gradients.
+The second softmax starts at its biases, where the gradient follows from what was counted; each further round of
+``WORD_ROUNDS`` reads the texts once more, and its tasks' expected counts, one table each, are added up by class in a shuffle.
+For scoring, the counts go back to the
 blocks that have the word, and a block's texts meet its words in one group of bounded size.
 
 The base score is the add-one unigram model over the same counts.
@@ -31,10 +38,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.blocks import GOLDEN, Words, in_blocks, mixed
+from footfall.llm.blocks import GOLDEN, MIX1, Words, in_blocks, mixed
 from footfall.llm.bpe import binaries
 from footfall.runtime import shared_dir, stored
 
@@ -44,13 +51,30 @@ BEGIN, CONTEXTS = OUTPUTS, OUTPUTS + 1
 FEATURES = 1 + 2 * CONTEXTS + PAIRS
 ROUNDS, DAMPING = 10, 5.0
 BIAS_STEP, STEP = 0.25, 0.5    # four features are active at once, so full steps would swing
+BUCKETS, ROWS = 32, 256          # a class has a row of biases, and the others for hashed features
+WORD_ROUNDS, WORD_DAMPING, WORD_STEP = 3, 5.0, 0.5
+EMPTY = -40.0                    # the bias of a bucket without words
+CHUNK = 1 << 16
+SALTS = 16
 BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 50_000
 END = b"\n"                      # no word is white space
 U = np.uint64
 
 
-def class_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((0 if w == END else 1 + zlib.crc32(w[-3:]) % CLASSES for w in words), np.int64, len(words))
+def codes_of(words: list[bytes]) -> np.ndarray:
+    """Each word's class, above 32 bits, and the CRC of the whole word; the end's is 0."""
+    return np.fromiter((0 if w == END else (1 + zlib.crc32(w[-3:]) % CLASSES << 32) + zlib.crc32(w) for w in words),
+                       np.int64, len(words))
+
+
+def code(word: str) -> Column:
+    """As :func:`codes_of`, in Spark."""
+    last = F.crc32(F.substring(word, -3, 3)) % CLASSES + 1
+    return F.when(F.col(word) == F.lit(END), F.lit(0).cast("long")).otherwise(last * F.lit(1 << 32) + F.crc32(word))
+
+
+def bucket_of(codes: np.ndarray) -> np.ndarray:
+    return codes % BUCKETS
 
 
 def contexts(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -77,6 +101,49 @@ def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return raw - np.log(np.exp(raw).sum(axis=1, keepdims=True))
 
 
+def word_rows(codes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The four rows of the second softmax that are active for each token: bias, word before, the one before that, both.
+
+    ``codes`` are those of the distinct words that ``ids`` number.  The rows come in chunks, each with its first token's number.
+    """
+    named = mixed((codes.astype(U) + U(1)) * GOLDEN)
+    base = (codes >> 32).astype(np.int32) * ROWS
+    first = np.zeros(len(ids) + 1, bool)
+    first[starts] = True
+    lone = first.copy()             # nothing stands two words before the first and the second
+    lone[starts + 1] = True
+    padded = np.concatenate([[0, 0], ids])
+    for at in range(0, len(ids), CHUNK):
+        to = min(at + CHUNK, len(ids))
+        last = np.where(first[at:to], U(0), named[padded[at + 1:to + 1]])
+        skip = np.where(lone[at:to], U(0), named[padded[at:to]])
+        rows = np.empty((to - at, 4), np.int32)
+        rows[:, 0] = base[ids[at:to]]
+        for k, feature in enumerate((last, mixed(skip + U(1)), mixed(last * GOLDEN + skip)), 1):
+            rows[:, k] = rows[:, 0] + 1 + ((feature >> U(20)) % U(ROWS - 1)).astype(np.int32)
+        yield at, rows
+
+
+def bucket_chances(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The second softmax: a row of chances of the buckets for each row of features."""
+    raw = weights[rows[:, 0]]
+    for k in range(1, rows.shape[1]):
+        raw += weights[rows[:, k]]
+    raw -= raw.max(axis=1, keepdims=True)
+    np.exp(raw, out=raw)
+    raw /= raw.sum(axis=1, keepdims=True)
+    return raw
+
+
+def expected_counts(weights: np.ndarray, rows: np.ndarray, into: np.ndarray) -> None:
+    """Add to ``into`` what the second softmax expects in each cell, for tokens with these rows."""
+    outputs = np.arange(BUCKETS, dtype=np.int64)
+    chances = bucket_chances(weights, rows).ravel()
+    for k in range(rows.shape[1]):
+        cells = (rows[:, k, None] * np.int64(BUCKETS) + outputs).ravel()
+        into += np.bincount(cells, chances, into.size)
+
+
 def planes(ids: np.ndarray) -> np.ndarray:
     """Numbers as bytes, lowest bytes first: small numbers compress well that way."""
     return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel()
@@ -85,6 +152,7 @@ def planes(ids: np.ndarray) -> np.ndarray:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     cells, schema = np.zeros(CONTEXTS * CONTEXTS * OUTPUTS, np.int64), None
+    word_cells = np.zeros(OUTPUTS * ROWS * BUCKETS, np.int64)
     for number, (rows, texts) in enumerate(in_blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS)):
         block = Words(texts, close=END)
         learn = ~np.asarray(rows.column(1).to_pylist(), bool)
@@ -92,7 +160,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ("kind", pa.int32()), ("block", pa.string()), rows.schema.field(0), ("held_out", pa.bool_()),
             ("ids", pa.binary()), ("word", pa.binary()), ("number", pa.int32()), ("class", pa.int32()),
             ("n", pa.int64())])
-        classes = class_of(block.words)
+        codes = codes_of(block.words)
         mine = learn[block.owner()]
         name = f"{part}-{number}"
         packed = [planes(block.ids[a:b]) for a, b in zip(block.starts.tolist(), block.ends.tolist())]
@@ -103,15 +171,27 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = block.words[at:at + 50_000]
             yield _rows(schema, 1, len(words), block=pa.array([name] * len(words)), word=pa.array(words, pa.binary()),
                         number=pa.array(np.arange(at, at + len(words), dtype=np.int32)),
-                        **{"class": pa.array(classes[at:at + len(words)].astype(np.int32))},
                         n=pa.array(counts[at:at + len(words)]))
-        seen = classes[block.ids]
+        seen = (codes >> 32)[block.ids]
         cell = contexts(seen, block.starts) * OUTPUTS + seen
         cells += np.bincount(cell[mine], minlength=len(cells))
+        of_words, buckets = mine & (seen > 0), bucket_of(codes)
+        for at, rows_of in word_rows(codes, block.ids, block.starts):
+            use = np.flatnonzero(of_words[at:at + CHUNK])
+            bucket = buckets[block.ids[at:at + CHUNK][use]]
+            for k in range(rows_of.shape[1]):
+                word_cells += np.bincount(rows_of[use, k] * np.int64(BUCKETS) + bucket, minlength=word_cells.size)
     if schema is not None:
         found = np.flatnonzero(cells)
         yield _rows(schema, 2, len(found), number=pa.array((found // OUTPUTS).astype(np.int32)),
                     **{"class": pa.array((found % OUTPUTS).astype(np.int32))}, n=pa.array(cells[found]))
+        yield _rows(schema, 3, OUTPUTS, number=pa.array(np.full(OUTPUTS, part, np.int32)),
+                    **{"class": pa.array(np.arange(OUTPUTS, dtype=np.int32))}, ids=packed_tables(word_cells))
+
+
+def packed_tables(cells: np.ndarray) -> pa.Array:
+    """The table of each class as bytes."""
+    return pa.array([t.tobytes() for t in cells.astype("<f4").reshape(OUTPUTS, -1)], pa.binary())
 
 
 def _rows(schema: pa.Schema, kind: int, count: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -121,21 +201,24 @@ def _rows(schema: pa.Schema, kind: int, count: int, **columns: pa.Array) -> pa.R
         [columns.get(f.name, None) if f.name in columns else pa.nulls(count, f.type) for f in schema], schema=schema)
 
 
-def cut(docs: DataFrame, id_col: str, text: str, held_out) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The numbered texts, the words of each block, and the counted contexts, from the shared folder."""
-    given = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
+def cut(given: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The numbered texts, the words of each block, the counted contexts, and the tasks' counts of buckets by feature.
+
+    ``given`` has (id, held_out, text); what is returned is read from the shared folder.
+    """
     kind = dict(given.dtypes)["id"]
-    path = shared_dir(docs.sparkSession, "lm")
+    path = shared_dir(given.sparkSession, "lm")
     columns = (f"kind int, block string, id {kind}, held_out boolean, ids binary, word binary, number int, "
                "class int, n bigint")
     given.mapInArrow(_cut, columns).write.partitionBy("kind").option("compression", "zstd").parquet(path)
 
     def rows(number: int) -> DataFrame:
-        return docs.sparkSession.read.schema(columns).parquet(path).where(F.col("kind") == number)
+        return given.sparkSession.read.schema(columns).parquet(path).where(F.col("kind") == number)
 
     return (rows(0).select("block", "id", "held_out", "ids"),
-            rows(1).select("block", "word", "number", "class", "n"),
-            rows(2).select(F.col("number").alias("context"), "class", "n"))
+            rows(1).select("block", "word", "number", "n"),
+            rows(2).select(F.col("number").alias("context"), "class", "n"),
+            rows(3).select("class", F.col("number").alias("part"), F.col("ids").alias("cells")))
 
 
 def fit(events: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
@@ -175,34 +258,97 @@ def fit(events: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     return weights
 
 
+def summed(tables: DataFrame) -> np.ndarray:
+    """The sum of the tasks' tables (class, part, cells), by class and salt in tasks; the driver adds up a table per salt."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
+        for batch in batches:
+            for number, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[number] = sums.get(number, 0) + np.frombuffer(cells, "<f4").astype(np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(
+            [s.astype("<f8").tobytes() for s in sums.values()], pa.binary())], ["class", "cells"])
+
+    dealt = tables.where("class > 0").repartition("class", F.col("part") % SALTS).select("class", "cells")
+    total = np.zeros((OUTPUTS, ROWS * BUCKETS))
+    for row in dealt.mapInArrow(add, "class int, cells binary").toArrow().to_pylist():
+        total[row["class"]] += np.frombuffer(row["cells"], "<f8")
+    return total.reshape(OUTPUTS * ROWS, BUCKETS)
+
+
+def nudge(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """The step of the weights in a round, along the gradient: up where more was seen than expected."""
+    return WORD_STEP * np.log((seen + WORD_DAMPING) / (expected + WORD_DAMPING))
+
+
+def fit_words(given: DataFrame, tables: DataFrame, rounds: int = WORD_ROUNDS) -> np.ndarray:
+    """The weights of the second softmax, of a size that the parameters fix, by full gradients over all training texts."""
+    seen = summed(tables)
+    in_class = seen[::ROWS]
+    share = in_class / np.maximum(in_class.sum(axis=1, keepdims=True), 1)
+    weights = np.zeros_like(seen)
+    weights[::ROWS] = np.where(share > 0, np.log(np.maximum(share, 1e-15)), EMPTY)
+    if not rounds:
+        return weights
+    weights += nudge(seen, seen.sum(axis=1, keepdims=True) * np.repeat(share, ROWS, axis=0))
+    training = given.where(~F.coalesce("held_out", F.lit(False))).select("text")
+    for _ in range(rounds - 1):
+        shared = given.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+
+        def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            into = np.zeros(OUTPUTS * ROWS * BUCKETS)
+            for _, texts in in_blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS):
+                block = Words(texts, close=END)
+                codes = codes_of(block.words)
+                for at, rows in word_rows(codes, block.ids, block.starts):
+                    expected_counts(shared.value, rows[(codes > 0)[block.ids[at:at + CHUNK]]], into)
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(OUTPUTS, dtype=np.int32)), pa.array(np.full(OUTPUTS, part, np.int32)),
+                 packed_tables(into)], ["class", "part", "cells"])
+
+        weights += nudge(seen, summed(training.mapInArrow(expect, "class int, part int, cells binary")))
+        shared.destroy()
+    return weights
+
+
 def scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", held_out=None,
-           rounds: int = ROUNDS) -> DataFrame:
+           rounds: int = ROUNDS, word_rounds: int = WORD_ROUNDS) -> DataFrame:
     """Each row's (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     ``held_out`` is the column that says which texts are not learned from.  Both scores are sums of log10
     probabilities.  Runs jobs while it is called; what they find is in the shared folder.
     """
     spark = docs.sparkSession
-    texts, words, events = cut(docs, id_col, text, F.lit(False) if held_out is None else held_out)
-    counts = stored(words.groupBy("word").agg(F.sum("n").alias("count"), F.first("class").alias("class"))
-                    .where("count > 0"), "counts")
-    per_class = counts.groupBy("class").agg(
+    held_out = F.lit(False) if held_out is None else held_out
+    given = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
+    texts, words, events, tables = cut(given)
+    counts = stored(words.groupBy("word").agg(F.sum("n").alias("count")).where("count > 0"), "counts")
+    leaf = code("word")
+    per_bucket = counts.groupBy(
+        F.shiftright(leaf, 32).cast("int").alias("class"), (leaf % BUCKETS).cast("int").alias("bucket")).agg(
         F.sum("count").alias("n"), F.count(F.lit(1)).alias("v"),
         F.count_if(F.col("count") == 1).alias("once"), F.count_if(F.col("count") == 2).alias("twice")).collect()
-    in_class = np.tile([1.0, 0.0, 1.0], (OUTPUTS, 1))   # tokens, discount, share of unseen words: all, if there are no tokens
-    for row in per_class:
-        discount = (row["once"] + 0.5) / (row["once"] + 2 * row["twice"] + 1)
-        in_class[row["class"]] = row["n"], discount, discount * row["v"] / row["n"]
-    tokens = int(sum(row["n"] for row in per_class))
-    base_room = tokens + sum(row["v"] for row in per_class) + 1
-    shared = spark.sparkContext.broadcast((fit(events, rounds), in_class, tokens, np.log10(float(base_room))))
+    stats = np.zeros((4, OUTPUTS, BUCKETS))
+    for row in per_bucket:
+        stats[:, row["class"], row["bucket"]] = row["n"], row["v"], row["once"], row["twice"]
+    size, kinds, once, twice = stats.sum(axis=2)
+    discount = (once + 0.5) / (once + 2 * twice + 1)
+    discount[0] = 0   # the end is one event
+    unseen = np.where(size > 0, discount * kinds / np.maximum(size, 1), 1.0)   # all, if there are no tokens
+    room = stats[0] - discount[:, None] * stats[1]
+    tokens = int(size.sum())
+    base_room = tokens + int(kinds.sum()) + 1
+    shared = spark.sparkContext.broadcast((
+        fit(events, rounds), fit_words(given, tables, word_rounds).astype(np.float32), (discount, unseen, room), tokens,
+        np.log10(float(base_room))))
 
     def score(numbered: pa.Table, block_words: pa.Table) -> pa.Table:
-        weights, (size, discount, unseen), n, base = shared.value[0], shared.value[1].T, *shared.value[2:]
+        weights, word_weights, (discount, unseen, room), n, base = shared.value
         count = np.zeros(block_words.num_rows, np.int64)
-        kind = np.zeros(block_words.num_rows, np.int64)
+        codes = np.zeros(block_words.num_rows, np.int64)
         at = block_words["number"].to_numpy()
-        count[at], kind[at] = block_words["count"].to_numpy(), block_words["class"].to_numpy()
+        count[at], codes[at] = block_words["count"].to_numpy(), block_words["code"].to_numpy()
+        kind, bucket, known = codes >> 32, bucket_of(codes), count > 0
         packed = numbered["ids"].to_pylist()
         ids = np.concatenate([np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(4, -1).T).view("<u4").ravel()
                               for p in packed]).astype(np.int64)
@@ -212,8 +358,14 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", held_out
         context, where = np.unique(contexts(classes, starts), return_inverse=True)
         by_context = log_softmax(weights, feature_rows(context)) / np.log(10)
         per_word = np.log10(count + 1.0)
-        inside = np.where(count > 0, (np.maximum(count, 1) - discount[kind]) / size[kind], unseen[kind])
-        log_class = by_context[where, classes] + np.log10(inside)[ids]
+        inside = np.log10(np.maximum(unseen, 1e-300))[kind]
+        inside[known] = np.log10((1 - unseen[kind]) * (count - discount[kind]) / np.where(known, room[kind, bucket], 1))[known]
+        log_class = by_context[where, classes] + inside[ids]
+        drawn = known & (codes > 0)
+        for first, rows in word_rows(codes, ids, starts):
+            use = np.flatnonzero(drawn[ids[first:first + CHUNK]])
+            chances = bucket_chances(word_weights, rows[use])
+            log_class[first + use] += np.log10(chances[np.arange(len(use)), bucket[ids[first + use]]])
         return pa.table({
             "id": numbered["id"], "held_out": numbered["held_out"], "n_tokens": pa.array(sizes),
             "n_known": pa.array(np.add.reduceat((count > 0)[ids].astype(np.int64), starts)),
@@ -221,8 +373,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", held_out
             "base_score": pa.array(np.add.reduceat((per_word - base)[ids], starts)),
             "score": pa.array(np.add.reduceat(log_class, starts))})
 
-    counted = words.join(counts.select("word", "count"), "word", "left").select(
-        "block", "number", "class", F.coalesce("count", F.lit(0)).alias("count"))
+    counted = words.join(counts, "word", "left").select(
+        "block", "number", code("word").alias("code"), F.coalesce("count", F.lit(0)).alias("count"))
     kind = dict(texts.dtypes)["id"]
     found = texts.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         score, f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "

@@ -55,3 +55,98 @@ def test_odd_rows(odd, none):
     untrained = lm.scores(odd, held_out=lm.F.lit(True)).collect()
     check(untrained, ROWS, lambda i: True)
     assert lm.scores(none).count() == 0
+
+
+def looped(rows, held_out, word_rounds):
+    """The model by plain loops over tokens, but for the weights of the class softmax, which have tests of their own."""
+    texts = {i: [w or lm.END for w in tokens(t)] for i, t in rows}
+    training = [ws for i, ws in texts.items() if not held_out(i)]
+    counts = Counter(w for ws in training for w in ws)
+    code = {w: int(lm.codes_of([w])[0]) for ws in texts.values() for w in ws}
+    kind = {w: c >> 32 for w, c in code.items()}
+    bucket = {w: c % lm.BUCKETS for w, c in code.items()}
+
+    def features(ws, k):
+        numbers = np.arange(len(ws), dtype=np.int32)
+        chunks = lm.word_rows(np.array([code[w] for w in ws]), numbers, np.array([0]))
+        return np.concatenate([r for _, r in chunks])[k].tolist()
+
+    places = [(features(ws, k), bucket[ws[k]]) for ws in training for k in range(len(ws) - 1)]
+    seen = Counter((f, b) for fs, b in places for f in fs)
+    weight = Counter()
+    for c in range(1, lm.OUTPUTS):
+        of_class = [seen[c * lm.ROWS, b] for b in range(lm.BUCKETS)]
+        for b, n in enumerate(of_class):
+            weight[c * lm.ROWS, b] = math.log(n / sum(of_class)) if n else lm.EMPTY
+
+    def chances(fs):
+        raw = [math.exp(sum(weight[f, b] for f in fs)) for b in range(lm.BUCKETS)]
+        return [x / sum(raw) for x in raw]
+
+    for _ in range(word_rounds):
+        expected = Counter()
+        for fs, _ in places:
+            for b, p in enumerate(chances(fs)):
+                for f in fs:
+                    expected[f, b] += p
+        for cell in expected:
+            weight[cell] += lm.WORD_STEP * math.log((seen[cell] + lm.WORD_DAMPING) / (expected[cell] + lm.WORD_DAMPING))
+
+    discount, unseen, room = {}, {}, Counter()
+    for c in range(1, lm.OUTPUTS):
+        of_class = [n for w, n in counts.items() if kind[w] == c]
+        once, twice = of_class.count(1), of_class.count(2)
+        discount[c] = (once + 0.5) / (once + 2 * twice + 1)
+        unseen[c] = discount[c] * len(of_class) / sum(of_class) if of_class else 1
+    for w, n in counts.items():
+        if w != lm.END:
+            room[kind[w], bucket[w]] += n - discount[kind[w]]
+
+    def inside(ws, k):
+        w = ws[k]
+        if w == lm.END:
+            return 0.0
+        if not counts[w]:
+            return math.log10(unseen[kind[w]])
+        share = (counts[w] - discount[kind[w]]) / room[kind[w], bucket[w]]
+        return math.log10((1 - unseen[kind[w]]) * chances(features(ws, k))[bucket[w]] * share)
+
+    return {i: sum(inside(ws, k) for k in range(len(ws))) for i, ws in texts.items()}
+
+
+def test_scores_equal_plain_loops(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(["king", "ling", "ring", "string", "Sing", "the", "a", "of", "wing"], rng.integers(0, 9))))
+            for i in range(40)] + [(100, "never met thing"), (101, ""), (102, "king nothing")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held_out = lambda i: i >= 100
+    # without rounds the class softmax is even, so the rest of the score is the words'
+    found = {r.doc_id: r for r in lm.scores(docs, held_out=lm.F.col("doc_id") >= 100, rounds=0, word_rounds=3).collect()}
+    expected = looped(rows, held_out, 3)
+    for i, r in found.items():
+        assert r.score + r.n_tokens * math.log10(lm.OUTPUTS) == pytest.approx(expected[i], rel=1e-4, abs=1e-5)
+
+
+def test_word_order_counts(spark):
+    rows = [(i, "alpha king runs fast" if i % 2 else "kelp ling swims slow") for i in range(40)]
+    rows += [(100, "alpha king runs fast"), (101, "alpha ling runs fast"), (102, "kelp king swims slow")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in lm.scores(docs, held_out=lm.F.col("doc_id") >= 100).collect()}
+    assert max(score[101], score[102]) < score[100] - 0.5
+
+
+def test_chances_of_buckets_add_up():
+    weights = np.random.default_rng(1).normal(size=(lm.OUTPUTS * lm.ROWS, lm.BUCKETS))
+    words = [w.encode() for w in "a b c d b c king ling thing".split()]
+    (at, rows), = lm.word_rows(lm.codes_of(words), np.arange(len(words), dtype=np.int32), np.array([0, 4]))
+    chances = lm.bucket_chances(weights, rows)
+    into = np.zeros(weights.size)
+    lm.expected_counts(weights, rows, into)
+    assert at == 0 and chances.sum(axis=1) == pytest.approx(1) and into.sum() == pytest.approx(4 * len(words))
+
+
+def test_codes_in_spark_and_in_python(spark):
+    words = [b"a", b"ab", b"abc", b"abcd", "\u00e9l\u00e9".encode(), b"\xff\xfe", lm.END, b"king"]
+    rows = spark.createDataFrame([(w,) for w in words], "word binary")
+    assert {bytes(r.word): r.code for r in rows.select("word", lm.code("word").alias("code")).collect()} == dict(
+        zip(words, lm.codes_of(words).tolist()))

@@ -54,7 +54,7 @@ BIAS_STEP, STEP = 0.25, 0.5    # four features are active at once, so full steps
 BUCKETS, ROWS = 32, 256          # a class has a row of biases, and the others for hashed features
 WORD_ROUNDS, WORD_DAMPING, WORD_STEP = 3, 5.0, 0.5
 EMPTY = -40.0                    # the bias of a bucket without words
-CHUNK = 1 << 16
+CHUNK = 1 << 15
 SALTS = 16
 BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 50_000
 END = b"\n"                      # no word is white space
@@ -136,14 +136,24 @@ def bucket_chances(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def expected_counts(weights: np.ndarray, rows: np.ndarray, into: np.ndarray) -> None:
-    """Add to ``into`` what the second softmax expects in each cell, for tokens with these rows."""
+    """Add to ``into`` what the second softmax expects in each cell of the features, for tokens with these rows.
+
+    Biases are left out: every token has one and three other rows, so they follow from these (:func:`with_biases`).
+    """
     outputs = np.arange(BUCKETS, dtype=np.int64)
-    chances = bucket_chances(weights, rows).ravel()
-    for k in range(rows.shape[1]):
+    chances = bucket_chances(weights, rows).ravel().astype(np.float64)
+    for k in range(1, rows.shape[1]):
         cells = (rows[:, k, None] * np.int64(BUCKETS) + outputs).ravel()
         into += np.bincount(cells, chances, into.size)
 
 
+def with_biases(cells: np.ndarray) -> np.ndarray:
+    """The cells (class and row, bucket) with those of the biases, a third of the sum over the class's other rows."""
+    cells = cells.reshape(OUTPUTS, ROWS, BUCKETS)
+    cells[:, 0] = cells[:, 1:].sum(axis=1) / 3
+    return cells.reshape(OUTPUTS * ROWS, BUCKETS)
+
+
 def planes(ids: np.ndarray) -> np.ndarray:
     """Numbers as bytes, lowest bytes first: small numbers compress well that way."""
     return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel()
@@ -179,7 +189,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, rows_of in word_rows(codes, block.ids, block.starts):
             use = np.flatnonzero(of_words[at:at + CHUNK])
             bucket = buckets[block.ids[at:at + CHUNK][use]]
-            for k in range(rows_of.shape[1]):
+            for k in range(1, rows_of.shape[1]):
                 word_cells += np.bincount(rows_of[use, k] * np.int64(BUCKETS) + bucket, minlength=word_cells.size)
     if schema is not None:
         found = np.flatnonzero(cells)
@@ -259,20 +269,24 @@ def fit(events: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def summed(tables: DataFrame) -> np.ndarray:
-    """The sum of the tasks' tables (class, part, cells), by class and salt in tasks; the driver adds up a table per salt."""
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {}
-        for batch in batches:
-            for number, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[number] = sums.get(number, 0) + np.frombuffer(cells, "<f4").astype(np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(
-            [s.astype("<f8").tobytes() for s in sums.values()], pa.binary())], ["class", "cells"])
-
-    dealt = tables.where("class > 0").repartition("class", F.col("part") % SALTS).select("class", "cells")
+    """The sum of the tasks' tables (class, part, cells): by class and salt, then by class, so the driver gets one table."""
+    def adder(kind: str):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {}
+            for batch in batches:
+                for number, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    sums[number] = sums.get(number, 0) + np.frombuffer(cells, kind).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(
+                [s.astype("<f8").tobytes() for s in sums.values()], pa.binary())], ["class", "cells"])
+        return add
+
+    columns = "class int, cells binary"
+    salted = tables.where("class > 0").repartition("class", F.col("part") % SALTS).select("class", "cells")
+    found = salted.mapInArrow(adder("<f4"), columns).repartition("class").mapInArrow(adder("<f8"), columns)
     total = np.zeros((OUTPUTS, ROWS * BUCKETS))
-    for row in dealt.mapInArrow(add, "class int, cells binary").toArrow().to_pylist():
-        total[row["class"]] += np.frombuffer(row["cells"], "<f8")
-    return total.reshape(OUTPUTS * ROWS, BUCKETS)
+    for row in found.toArrow().to_pylist():
+        total[row["class"]] = np.frombuffer(row["cells"], "<f8")
+    return with_biases(total)
 
 
 def nudge(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:

@@ -2,8 +2,8 @@
 
 A user's clicks pass up to and including the one that makes ``threshold`` clicks on one ad in one
 day; after it the user is on the blacklist and nothing passes any more.  The cost of a batch
-depends on the batch alone: the counts of a user are a map in the state with an entry per day and ad, of which a
-batch reads and writes the entries it has clicks for, however many days and ads there were before.
+depends on the batch and its days: the counts of a user are a map in the state with an entry per period of four weeks, of which a
+batch reads and writes the entries it has clicks for, however many periods there were before.
 
 The screened clicks go to a folder through Spark's file sink, which takes every batch exactly
 once, and are the source of the counting queries of :mod:`footfall.streaming.ads`.

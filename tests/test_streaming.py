@@ -1,5 +1,7 @@
+import random
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -207,6 +209,50 @@ def test_whole_batches_and_all_clicks():
     assert list(user.step(rows)["kept"]) == [False] * 5
 
 
+@pytest.mark.parametrize("keep_days", [None, 4, 40])
+@pytest.mark.parametrize("exact, everything", [(True, False), (True, True), (False, False), (False, True)])
+def test_users_of_a_bucket_are_screened_as_each_alone(keep_days, exact, everything):
+    """The same clicks and the same state as by the rule for one user, over batches that overlap and skip days."""
+    for seed in range(8):
+        some, threshold = random.Random(seed), 2 + seed % 4
+        bucket, alone = User(users.screen_users(threshold, keep_days, exact, everything)), {}
+        for step in range(6):
+            first = 19_700 + step * some.choice([1, 5, 20])
+            days = [first + some.randint(-3, 3) for _ in range(some.randint(1, 120))]
+            rows = pd.DataFrame({"ts": [pd.Timestamp(86_400 * d + some.randint(0, 5), unit="s") for d in days], "province": 1, "city": range(len(days)),
+                                 "userid": [some.randint(1, 12) for _ in days], "adid": [some.randint(1, 3) for _ in days], "date": days})
+            cut = some.randint(0, len(rows))
+            got = bucket.step(*[part for part in (rows[:cut], rows[cut:]) if len(part)])
+            want = []
+            for user, own in rows.assign(date=pd.to_datetime(rows["date"], unit="D").dt.strftime("%Y-%m-%d")).groupby("userid"):
+                want.append(alone.setdefault(user, User(users.screen_user(threshold, keep_days, exact, everything))).step(own))
+            as_rows = lambda df: sorted(df.drop(columns="date", errors="ignore").itertuples(index=False, name=None))
+            assert as_rows(pd.concat([rows[:0] if got is None else got])) == as_rows(pd.concat([rows[:0], *want]))
+            known = {u: told for (u,), told in bucket.maps["users"].items()}
+            assert {u for u, told in known.items() if told[0]} == {u for u, one in alone.items() if "listed" in one.values}
+            cells = {}
+            for (u, p), (packed,) in bucket.maps["clicks"].items():
+                assert p in known[u][2]
+                cells.update({(u, str(pd.Timestamp(d, unit="D").date()), ad): n for d, ad, n in np.frombuffer(packed, "<i8").reshape(-1, 3).tolist()
+                              if keep_days is None or d > known[u][1] - keep_days})
+            assert cells == {(u, *k): n for u, one in alone.items() for k, n in one.counts().items()}
+
+
+def test_a_bucket_asks_the_state_a_few_times_for_a_user(monkeypatch):
+    """However many days and ads its clicks have; and a bucket of many rows is gathered part by part."""
+    rows = pd.DataFrame({"ts": pd.Timestamp(f"{DAY} 08:00:00"), "province": 1, "city": 1, "userid": np.arange(6000) % 20, "adid": np.arange(6000) // 20,
+                         "date": 19_732 + np.arange(6000) // 20 % 28})   # the days of one period
+    rows["date"] -= 19_732 % users.PERIOD
+    bucket = User(users.screen_users(2, None))
+    monkeypatch.setattr(users, "MANY", 500)
+    assert len(bucket.step(*[rows[i:i + 700] for i in range(0, 6000, 700)])) == 6000
+    assert bucket.touched <= 3 * 20                   # 300 clicks of each user
+    bucket.touched = 0
+    out = bucket.step(rows[:20], rows[20:40])
+    assert len(out) == 40 and out["listed"].sum() == 20 and bucket.touched <= 3 * 20   # clicks of one instant
+    assert not bucket.maps["clicks"] and not len(bucket.step(rows))
+
+
 def test_a_new_run_knows_what_earlier_ones_counted(spark, clicks, log, rows):
     log.add(clicks((f"{DAY} 08:00:00", 1, 1), (f"{DAY} 08:00:01", 1, 1), (f"{DAY} 08:00:02", 2, 1), *[(f"{DAY} 08:00:0{i}", 3, 1) for i in range(3)]))
     log.run(streams.start_ad_job, threshold=3, exact=True)
@@ -219,6 +265,20 @@ def test_a_new_run_knows_what_earlier_ones_counted(spark, clicks, log, rows):
     assert rows(streams.read_blacklist(spark, log.base)) == [(1,), (3,)]
 
 
+def test_a_new_run_knows_earlier_users_of_one_bucket(spark, clicks, log, rows, monkeypatch):
+    """Listed users and large numbers, which a missing number next to them must not make inexact."""
+    monkeypatch.setattr(users, "BUCKETS", 1)
+    big = 2**60 + 1
+    log.add(clicks(*[(f"{DAY} 08:00:0{i}", 3, 1) for i in range(3)], *[(f"{DAY} 08:00:0{i}", big, big + i % 2) for i in range(3)]))
+    log.run(streams.start_ad_job, threshold=3, exact=True)
+    click_records(clicks((f"{DAY} 09:00:00", big, big + 1), (f"{DAY} 09:00:01", 3, 2), (f"{DAY} 09:00:02", 4, 2), (f"{DAY} 09:00:03", big, big))).write.text(
+        f"{log.root}/more")
+    new = parse_clicks(text_stream(spark, f"{log.root}/more"))
+    streams.start_ad_job(new, log.base, f"{log.root}/second", 3, exact=True, trigger=streams.UNTIL_NOW).awaitTermination()
+    assert rows(streams.read_user_counts(spark, log.base)) == sorted([(DAY, 3, 1, 3), (DAY, 4, 2, 1), (DAY, big, big, 3), (DAY, big, big + 1, 2)], key=str)
+    assert rows(streams.read_blacklist(spark, log.base)) == sorted([(3,), (big,)], key=str)
+
+
 def test_a_user_with_very_many_ads(spark, clicks, log):
     """Through Spark's state store; the second run resumes from the checkpoint and lists the user."""
     ids = spark.range(50_000)
@@ -445,6 +505,15 @@ def test_stream_steps_run_where_the_package_is_not(tmp_path):
     assert done.stdout.strip() == "2"
 
 
+def test_a_bucket_is_screened_where_the_package_is_not(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    (tmp_path / "step").write_bytes(cloudpickle.dumps(users.screen_users(3, None)))
+    subprocess.run([sys.executable, "-I", "-c", "import pickle; pickle.load(open('step', 'rb'))"], cwd=tmp_path, check=True)
+
+
 def test_map_state_gets_a_store_that_can_hold_it(spark):
     """In a session made by others too; a store of another kind stays."""
     from footfall import runtime

@@ -126,10 +126,13 @@ def word_rows(codes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> Iterato
 
 def bucket_chances(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The second softmax: a row of chances of the buckets for each row of features."""
-    raw = weights[rows[:, 0]]
+    raw = weights.take(rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
-        raw += weights[rows[:, k]]
-    raw -= raw.max(axis=1, keepdims=True)
+        raw += weights.take(rows[:, k], axis=0)
+    top = raw
+    while top.shape[1] % 2 == 0:    # by halves, which takes whole columns at a time
+        top = np.maximum(*np.split(top, 2, axis=1))
+    raw -= top.max(axis=1, keepdims=True)
     np.exp(raw, out=raw)
     raw /= raw.sum(axis=1, keepdims=True)
     return raw
@@ -140,11 +143,11 @@ def expected_counts(weights: np.ndarray, rows: np.ndarray, into: np.ndarray) ->
 
     Biases are left out: every token has one and three other rows, so they follow from these (:func:`with_biases`).
     """
-    outputs = np.arange(BUCKETS, dtype=np.int64)
-    chances = bucket_chances(weights, rows).ravel().astype(np.float64)
-    for k in range(1, rows.shape[1]):
-        cells = (rows[:, k, None] * np.int64(BUCKETS) + outputs).ravel()
-        into += np.bincount(cells, chances, into.size)
+    chances = np.ascontiguousarray(bucket_chances(weights, rows).T, np.float64)
+    features = np.ascontiguousarray(rows[:, 1:].T, np.intp)
+    cells = into.reshape(-1, BUCKETS)
+    for bucket, chance in enumerate(chances):   # a bucket's cells at a time, which stay in the cache
+        cells[:, bucket] += sum(np.bincount(feature, chance, len(cells)) for feature in features)
 
 
 def with_biases(cells: np.ndarray) -> np.ndarray:
@@ -189,8 +192,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, rows_of in word_rows(codes, block.ids, block.starts):
             use = np.flatnonzero(of_words[at:at + CHUNK])
             bucket = buckets[block.ids[at:at + CHUNK][use]]
-            for k in range(1, rows_of.shape[1]):
-                word_cells += np.bincount(rows_of[use, k] * np.int64(BUCKETS) + bucket, minlength=word_cells.size)
+            word_cells += np.bincount((rows_of[use, 1:] * np.int64(BUCKETS) + bucket[:, None]).ravel(), minlength=word_cells.size)
     if schema is not None:
         found = np.flatnonzero(cells)
         yield _rows(schema, 2, len(found), number=pa.array((found // OUTPUTS).astype(np.int32)),
@@ -309,7 +311,7 @@ def fit_words(given: DataFrame, tables: DataFrame, rounds: int = WORD_ROUNDS) ->
         shared = given.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            into = np.zeros(OUTPUTS * ROWS * BUCKETS)
+            into = np.zeros((BUCKETS, OUTPUTS * ROWS)).T   # a bucket's cells next to each other
             for _, texts in in_blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS):
                 block = Words(texts, close=END)
                 codes = codes_of(block.words)

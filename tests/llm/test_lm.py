@@ -147,6 +147,23 @@ def test_chances_of_buckets_add_up():
         chances[rows[:, 0] == rows[0, 0]].sum())
 
 
+def test_expected_counts_by_bucket_equal_those_token_by_token():
+    """Also in a table that has a bucket's cells next to each other."""
+    some = np.random.default_rng(3)
+    weights = some.normal(size=(lm.OUTPUTS * lm.ROWS, lm.BUCKETS)).astype(np.float32)
+    rows = some.integers(0, len(weights), (500, 4)).astype(np.int32)
+    rows[1::2, 1] = rows[::2, 1]
+    want = np.zeros(weights.shape)
+    for one, chance in zip(rows, lm.bucket_chances(weights, rows)):
+        raw = weights[one].sum(axis=0)
+        assert chance == pytest.approx(np.exp(raw - raw.max()) / np.exp(raw - raw.max()).sum(), rel=1e-4)
+        for feature in one[1:]:
+            want[feature] += chance
+    for into in (np.zeros(weights.size), np.zeros(weights.shape[::-1]).T):
+        lm.expected_counts(weights, rows, into)
+        assert np.allclose(into.reshape(weights.shape), want)
+
+
 def test_codes_in_spark_and_in_python(spark):
     words = [b"a", b"ab", b"abc", b"abcd", "\u00e9l\u00e9".encode(), b"\xff\xfe", lm.END, b"king"]
     rows = spark.createDataFrame([(w,) for w in words], "word binary")

@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.blocks import GOLDEN, MIX1, Words, in_blocks, mixed
+from footfall.llm.blocks import GOLDEN, LOWER, Words, in_blocks, mixed
 from footfall.llm.bpe import binaries
 from footfall.runtime import shared_dir, stored
 
@@ -54,12 +55,20 @@ BIAS_STEP, STEP = 0.25, 0.5    # four features are active at once, so full steps
 BUCKETS, ROWS = 32, 256          # a class has a row of biases, and the others for hashed features
 WORD_ROUNDS, WORD_DAMPING, WORD_STEP = 3, 5.0, 0.5
 EMPTY = -40.0                    # the bias of a bucket without words
-CHUNK = 1 << 15
+CHUNK = 1 << 12                  # tokens whose rows and chances stay in the cache
+FLUSH = 64                       # chunks counted at a time
 SALTS = 16
 BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 50_000
+READ_BYTES, READ_ROWS = 4 << 20, 50_000   # where words are not numbered
 END = b"\n"                      # no word is white space
+NEAR = 32                        # longer words are hashed one by one
 U = np.uint64
 
+# CRC-32 is linear in the bits: that of a word is that of as many zeros, changed by each byte according to how far from the end it stands.
+ZEROS = np.array([zlib.crc32(bytes(n)) for n in range(NEAR + 1)], np.uint32)
+CHANGES = np.array([[zlib.crc32(bytes([b]) + bytes(away)) ^ zlib.crc32(bytes(away + 1)) for b in range(256)]
+                    for away in range(NEAR)] + [[0] * 256], np.uint32)   # none by those further away
+
 
 def codes_of(words: list[bytes]) -> np.ndarray:
     """Each word's class, above 32 bits, and the CRC of the whole word; the end's is 0."""
@@ -67,6 +76,39 @@ def codes_of(words: list[bytes]) -> np.ndarray:
                        np.int64, len(words))
 
 
+def codes_in_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all words of the texts, as :func:`codes_of` has them, without the ends; and where texts with words start."""
+    data = np.frombuffer((END + END.join(texts) + END).translate(LOWER), np.uint8)
+    white = (data == 32) | (data - np.uint8(9) < 5)
+    edges = np.flatnonzero(white[1:] != white[:-1]) + 1
+    firsts, lasts = edges[::2], edges[1::2]
+    codes = np.empty(len(firsts), np.int64)
+    for at in range(0, len(firsts), CHUNK):
+        _hash(data, white, firsts[at:at + CHUNK], lasts[at:at + CHUNK], codes[at:at + CHUNK])
+    before = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    starts = np.unique(np.searchsorted(firsts, before + 1))
+    return codes, starts[starts < len(firsts)]
+
+
+def _hash(data: np.ndarray, white: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, into: np.ndarray) -> None:
+    """The codes of the words that stand from ``firsts`` to ``lasts``, a few thousand at a time."""
+    sizes = lasts - firsts
+    if lasts[-1] - firsts[0] > 2 * NEAR * len(firsts):   # a stretch of long words or white space
+        into[:] = codes_of([data[a:b].tobytes() for a, b in zip(firsts.tolist(), lasts.tolist())])
+        return
+    ends = np.cumsum(sizes)
+    letters = data[firsts[0]:lasts[-1]][~white[firsts[0]:lasts[-1]]]
+    away = np.repeat(ends - 1, sizes) - np.arange(len(letters))
+    crc = np.bitwise_xor.reduceat(CHANGES.take(np.minimum(away, NEAR) * 256 + letters), ends - sizes)
+    crc ^= ZEROS[np.minimum(sizes, NEAR)]
+    kind = ZEROS[np.minimum(sizes, 3)]
+    for k in range(3):
+        kind ^= np.where(sizes > k, CHANGES[k].take(data.take(lasts - 1 - k)), np.uint32(0))
+    into[:] = ((kind % CLASSES).astype(np.int64) + 1 << 32) + crc
+    for i in np.flatnonzero(sizes > NEAR).tolist():
+        into[i] = codes_of([data[firsts[i]:lasts[i]].tobytes()])[0]
+
+
 def code(word: str) -> Column:
     """As :func:`codes_of`, in Spark."""
     last = F.crc32(F.substring(word, -3, 3)) % CLASSES + 1
@@ -124,11 +166,16 @@ def word_rows(codes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> Iterato
         yield at, rows
 
 
-def bucket_chances(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The second softmax: a row of chances of the buckets for each row of features."""
+def added_weights(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     raw = weights.take(rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
         raw += weights.take(rows[:, k], axis=0)
+    return raw
+
+
+def bucket_chances(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The second softmax: a row of chances of the buckets for each row of features."""
+    raw = added_weights(weights, rows)
     top = raw
     while top.shape[1] % 2 == 0:    # by halves, which takes whole columns at a time
         top = np.maximum(*np.split(top, 2, axis=1))
@@ -138,16 +185,34 @@ def bucket_chances(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return raw
 
 
+def quick_chances(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """As :func:`bucket_chances`, in half the time where all exponentials have room without a shift."""
+    with np.errstate(over="ignore"):
+        chances = np.exp(added_weights(weights, rows))
+        total = np.einsum("ij->i", chances)
+    if not ((total > 1e-10) & (total < 1e10)).all():
+        return bucket_chances(weights, rows)
+    chances /= total[:, None]
+    return chances
+
+
 def expected_counts(weights: np.ndarray, rows: np.ndarray, into: np.ndarray) -> None:
     """Add to ``into`` what the second softmax expects in each cell of the features, for tokens with these rows.
 
     Biases are left out: every token has one and three other rows, so they follow from these (:func:`with_biases`).
     """
-    chances = np.ascontiguousarray(bucket_chances(weights, rows).T, np.float64)
-    features = np.ascontiguousarray(rows[:, 1:].T, np.intp)
     cells = into.reshape(-1, BUCKETS)
-    for bucket, chance in enumerate(chances):   # a bucket's cells at a time, which stay in the cache
-        cells[:, bucket] += sum(np.bincount(feature, chance, len(cells)) for feature in features)
+    kind = np.min_scalar_type(len(cells))   # numbers of two bytes are sorted by their bytes
+    rows = rows.take(np.argsort(rows[:, 1].astype(kind), kind="stable"), axis=0)   # which brings a class together
+    for at in range(0, len(rows), CHUNK):
+        part = rows[at:at + CHUNK]
+        chances = quick_chances(weights, part)
+        for k in range(1, rows.shape[1]):
+            row = part[:, k].astype(kind)
+            order = np.argsort(row, kind="stable")
+            row = row[order]
+            firsts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+            cells[row[firsts]] += np.add.reduceat(chances.take(order, axis=0), firsts, axis=0)
 
 
 def with_biases(cells: np.ndarray) -> np.ndarray:
@@ -189,10 +254,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell = contexts(seen, block.starts) * OUTPUTS + seen
         cells += np.bincount(cell[mine], minlength=len(cells))
         of_words, buckets = mine & (seen > 0), bucket_of(codes)
-        for at, rows_of in word_rows(codes, block.ids, block.starts):
-            use = np.flatnonzero(of_words[at:at + CHUNK])
-            bucket = buckets[block.ids[at:at + CHUNK][use]]
-            word_cells += np.bincount((rows_of[use, 1:] * np.int64(BUCKETS) + bucket[:, None]).ravel(), minlength=word_cells.size)
+        for chunks in batched(word_rows(codes, block.ids, block.starts), FLUSH):
+            found = []
+            for at, rows_of in chunks:
+                use = np.flatnonzero(of_words[at:at + CHUNK])
+                bucket = buckets[block.ids[at:at + CHUNK][use]]
+                found.append((rows_of[use, 1:] * np.int64(BUCKETS) + bucket[:, None]).ravel())
+            word_cells += np.bincount(np.concatenate(found), minlength=word_cells.size)
     if schema is not None:
         found = np.flatnonzero(cells)
         yield _rows(schema, 2, len(found), number=pa.array((found // OUTPUTS).astype(np.int32)),
@@ -311,12 +379,11 @@ def fit_words(given: DataFrame, tables: DataFrame, rounds: int = WORD_ROUNDS) ->
         shared = given.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            into = np.zeros((BUCKETS, OUTPUTS * ROWS)).T   # a bucket's cells next to each other
-            for _, texts in in_blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS):
-                block = Words(texts, close=END)
-                codes = codes_of(block.words)
-                for at, rows in word_rows(codes, block.ids, block.starts):
-                    expected_counts(shared.value, rows[(codes > 0)[block.ids[at:at + CHUNK]]], into)
+            into = np.zeros(OUTPUTS * ROWS * BUCKETS)
+            for _, texts in in_blocks(batches, "text", READ_BYTES, READ_ROWS):
+                codes, starts = codes_in_order(texts)   # ends are not drawn, and stand before no word
+                for chunks in batched(word_rows(codes, np.arange(len(codes), dtype=np.int32), starts), FLUSH):
+                    expected_counts(shared.value, np.concatenate([rows for _, rows in chunks]), into)
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(OUTPUTS, dtype=np.int32)), pa.array(np.full(OUTPUTS, part, np.int32)),

@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -164,6 +165,52 @@ def test_expected_counts_by_bucket_equal_those_token_by_token():
         assert np.allclose(into.reshape(weights.shape), want)
 
 
+def test_codes_in_order_equal_those_of_each_word():
+    """Also of long words, of none, and where white space or one word is most of the text; found in less time than by numbering words."""
+    rng = np.random.default_rng(5)
+    texts = [b"", b"King KING a ab abc abcd", b" \t\r\n\x0b\x0c", "\u00e9l\u00e9 \u00c9\u00a0x\u2003y \x1c\x85".encode(), b"\xff\x00 \x00\x08\x0e",
+             b"x" * 31 + b" " + b"y" * 32 + b"  " + b"z" * 33 + b" " + b"long" * 30, b"  a  b ", b"", b"w" * 1_000_000 + b" v", b" " * 500_000 + b"end",
+             b"", *(bytes(rng.integers(0, 256, 400, np.uint8)) for _ in range(200)), b"last", b" "]
+    for some in (texts, texts[:1], texts[2:3], texts[:3], texts[8:9], [b"one"], []):
+        codes, starts = lm.codes_in_order(some)
+        words = [t.translate(LOWER).split() for t in some]
+        assert codes.tolist() == lm.codes_of([w for ws in words for w in ws]).tolist()
+        sizes = np.array([len(ws) for ws in words if ws], int)
+        assert starts.tolist() == (np.cumsum(sizes) - sizes).tolist()
+
+    many = [b" ".join(b"%x" % n for n in rng.integers(0, 1 << 40, 300)) for _ in range(1000)]
+    spent = {lm.codes_in_order: [], lm.Words: []}
+    for _ in range(3):
+        for way, times in spent.items():
+            start = time.process_time()
+            way(many)
+            times.append(time.process_time() - start)
+    assert min(spent[lm.codes_in_order]) < min(spent[lm.Words])
+
+
+def test_features_without_ends_equal_those_with_them():
+    texts = [b"", b"king", b"a king ran", b"", b"", b"a b", b"ling", b""]
+    block = lm.Words(texts, close=lm.END)
+    codes = lm.codes_of(block.words)
+    with_ends = np.concatenate([rows for _, rows in lm.word_rows(codes, block.ids, block.starts)])[codes[block.ids] > 0]
+    codes, starts = lm.codes_in_order(texts)
+    assert (np.concatenate([rows for _, rows in lm.word_rows(codes, np.arange(len(codes)), starts)]) == with_ends).all()
+
+
+@pytest.mark.parametrize("shift", [0, 60, -60, 1000])
+def test_chances_of_weights_far_from_nought(shift):
+    """Chances do not change when all weights of a token do, also where their exponentials have no room in a float."""
+    some = np.random.default_rng(4)
+    weights = some.normal(size=(40, lm.BUCKETS)).astype(np.float32)
+    rows = some.integers(0, 40, (60, 4))
+    moved = weights.copy()
+    moved[rows[0, 0]] += np.float32(shift)
+    want = weights.astype(float)[rows].sum(axis=1)
+    want = np.exp(want) / np.exp(want).sum(axis=1, keepdims=True)
+    assert lm.bucket_chances(moved, rows) == pytest.approx(want, rel=2e-3)
+    assert lm.quick_chances(moved, rows) == pytest.approx(want, rel=2e-3)
+
+
 def test_codes_in_spark_and_in_python(spark):
     words = [b"a", b"ab", b"abc", b"abcd", "\u00e9l\u00e9".encode(), b"\xff\xfe", lm.END, b"king"]
     rows = spark.createDataFrame([(w,) for w in words], "word binary")
